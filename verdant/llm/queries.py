@@ -7,10 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import leak, mixing, skeleton
+from verdant.llm import golden, leak, mixing, skeleton, split
 from verdant.sources import read_table
 
 
+def _items(spark: SparkSession, folder: str) -> DataFrame:
+    parts = [
+        read_table(spark, folder, f"report_{kind}").select(F.lit(kind).alias("item_kind"), F.col(f"{kind}_id").alias("item_id"), "doc_id", "content")
+        for kind in ("section", "chunk")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = split.split_oversized(_items(spark, folder), ["item_kind", "item_id"])
+    return pieces.where("n_pieces > 1").select("item_kind", "item_id").distinct()
+
+
+def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return split.split_oversized(_items(spark, folder), ["item_kind", "doc_id", "item_id"])
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    facts = read_table(spark, folder, "extracted_fact")
+    return golden.best_records(facts, golden.fact_group_key(facts), "fact_id", golden.survivor_fields()).select("fact_id", "evidence_fact_id")
+
+
+def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    return golden.merge_facts(read_table(spark, folder, "extracted_fact"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     found = leak.leaked_passages(read_table(spark, folder, "documents"), read_table(spark, folder, "eval_item"))
     return found.where("words >= 12").select("doc_id", "item_id")
@@ -46,7 +72,7 @@ def p8_consistent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p6_found, p6_leaks, p7_found, p7_mixture, p7_report, p8_found, p8_consistent)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_survivors, p6_found, p6_leaks, p7_found, p7_mixture, p7_report, p8_found, p8_consistent)}
 
 
 def oracle_sql() -> dict[str, str]:

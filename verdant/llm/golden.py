@@ -110,8 +110,8 @@ def merge_facts(facts: DataFrame, half_life_days: float = 365.0) -> DataFrame:
     evidence_fact_id is where it stands; the descriptive fields go by confidence times
     recency votes; duplicate_chunk_ids lists every other chunk of the group once.
     """
-    newest = facts.agg(F.max("extracted_at").alias("_newest"))
-    facts = facts.join(F.broadcast(newest))  # one row
+    newest = facts.agg(F.max("extracted_at").alias("_newest")).withColumn("_one", F.lit(1))
+    facts = facts.withColumn("_one", F.lit(1)).join(F.broadcast(newest), "_one")  # one row
     trust = trust_of_confidence(F.col("confidence"))
     size = F.coalesce(F.char_length(F.trim("evidence")), F.lit(0))
     moment = F.unix_micros(F.col("extracted_at").cast("timestamp"))

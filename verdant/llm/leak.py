@@ -38,7 +38,7 @@ class LeakRule:
 
     min_words: int = 12
     edits: int = 2
-    q: int = 7
+    q: int = 8
 
     def __post_init__(self) -> None:
         if self.min_words < 1 or self.edits < 0 or self.q < 1:
@@ -49,20 +49,42 @@ class LeakRule:
 
 def words_of(text: str | None) -> list[str]:
     """Words compared by this operator; none for null text."""
-    return WORD.findall(consistent(text).lower()) if text else []
+    return joined_words(text).split(" ") if text else []
+
+
+_ASCII_WORDS = bytes(b if chr(b).isalnum() and b < 128 else 32 for b in range(256))
+
+
+def joined_words(text: str) -> str:
+    """The words of a text with single blanks between them."""
+    if text.isascii():
+        return b" ".join(text.lower().encode().translate(_ASCII_WORDS).split()).decode()
+    return " ".join(WORD.findall(consistent(text).lower()))
 
 
 def _gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
-    """One hash for each run of q code points."""
+    """One hash for each run of q code points, by doubling the length that is hashed."""
     if len(codes) < q:
         return np.empty(0, np.uint64)
-    n = len(codes) - q + 1
-    h = np.zeros(n, np.uint64)
-    for i in range(q):
-        h *= _BASE
-        h += codes[i : i + n]
-    h ^= h >> np.uint64(29)
-    h *= _MIX
+    h, done = None, 0
+    power, width = codes, 1  # hashes of runs of `width`
+    with np.errstate(over="ignore"):
+        factor = _BASE
+        rest = q
+        while rest:
+            if rest & 1:
+                if h is None:
+                    h, done = power, width
+                else:  # a run of `done` followed by one of `width`
+                    n = len(h) - width
+                    h, done = h[:n] * factor + power[done : done + n], done + width
+            rest >>= 1
+            if rest:
+                power = power[:-width] * factor + power[width:]
+                factor, width = factor * factor, width * 2
+        h = h[: len(codes) - q + 1].copy()
+        h ^= h >> np.uint64(29)
+        h *= _MIX
     return h
 
 
@@ -101,6 +123,7 @@ class LeakIndex:
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
         self.runs = [{tuple(w[i : i + rule.min_words]) for i in range(len(w) - rule.min_words + 1)} for w in self.words]
+        self.vocabulary = [set(w) for w in self.words]
 
     @property
     def bytes(self) -> int:
@@ -114,9 +137,17 @@ class LeakIndex:
             return []
         codes = _codes("".join(docs))
         h = _gram_hashes(codes, rule.q)
-        at = np.flatnonzero(self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
-        if not len(at):
+        hit = self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)]
+        # A passage holds the threshold of the shortest one within its length, whatever the item: sparse stretches go first.
+        span = max(1, min(self.shortest) - rule.q + 1)
+        total = np.concatenate([[0], np.cumsum(hit)])
+        begins = np.flatnonzero(total[np.minimum(np.arange(len(hit)) + span, len(hit))] - total[:-1] >= min(self.least))
+        if not len(begins):
             return []
+        dense = np.zeros(len(hit) + 1, np.int32)
+        np.add.at(dense, begins, 1)
+        np.add.at(dense, np.minimum(begins + span, len(hit)), -1)
+        at = np.flatnonzero(hit & (np.cumsum(dense[:-1]) > 0))
         key = np.searchsorted(self.keys, h[at])
         key[key == len(self.keys)] = 0
         good = self.keys[key] == h[at]
@@ -156,14 +187,16 @@ class LeakIndex:
         found = both.iloc[tally["row"].to_numpy()]
         return list(zip(found["doc"], found["item"], found["band"] * half, tally["hi"] - tally["lo"], tally["lo"], tally["hi"], strict=True))
 
-    def align(self, doc: str, item: int, low: int, lo: int, hi: int) -> tuple[int, int]:
+    def align(self, doc: str, item: int, low: int, lo: int, hi: int) -> tuple[int, int | None]:
         """(characters of the item, edits) of item[lo:hi+q] against the document, on diagonals low .. low + 2(k + 1) - 1.
 
-        Both ends of the document stretch are free inside the band.
+        Both ends of the document stretch are free inside the band.  The edits are None once
+        they exceed the budget of k for each passage length.
         """
         width = 2 * (self.rule.edits + 1)
         text = self.texts[item][lo : hi + self.rule.q]
         inf = len(text) + width
+        budget = self.rule.edits * max(1, len(text) // self.shortest[item])
         prev = [0] * width
         for i, char in enumerate(text):
             row = [inf] * width
@@ -177,15 +210,21 @@ class LeakIndex:
                     best = row[j - 1] + 1
                 row[j] = best
             prev = row
+            if min(row) > budget:
+                return len(text), None
         return len(text), min(prev)
 
     def longest_run(self, words: list[str], item: int) -> int:
         """Longest run of words that the document and the item share, if it reaches min_words, else 0."""
-        k, runs = self.rule.min_words, self.runs[item]
-        best = run = 0
-        for i in range(len(words) - k + 1):
-            run = run + 1 if tuple(words[i : i + k]) in runs else 0
-            best = max(best, run)
+        k, runs, known = self.rule.min_words, self.runs[item], self.vocabulary[item]
+        best = since = 0  # since: where the words last began to be all known
+        run = 0
+        for i, word in enumerate(words):
+            if word not in known:
+                since, run = i + 1, 0
+            elif i + 1 - since >= k:
+                run = run + 1 if tuple(words[i + 1 - k : i + 1]) in runs else 0
+                best = max(best, run)
         return best + k - 1 if best else 0
 
 
@@ -195,26 +234,24 @@ def _scan(index: LeakIndex):
             texts = batch["text"].tolist()
             ids = batch["doc_id"].tolist()
             start = 0
-            while start < len(texts):  # some 2 million characters at a time, whatever the rows
+            while start < len(texts):  # some million characters at a time, whatever the rows
                 size, end = 0, start
-                while end < len(texts) and (end == start or size < 2_000_000):
+                while end < len(texts) and (end == start or size < 1_000_000):
                     size += len(texts[end] or "")
                     end += 1
-                words = [words_of(t) for t in texts[start:end]]
-                joined = [" ".join(w) for w in words]
-                best: dict[tuple[int, int], tuple] = {}
-                for d, i, low, extent, lo, hi in index.bands(joined):
-                    chars, edits = index.align(joined[d], i, int(low), int(lo), int(hi))
-                    row = (-edits / chars, int(extent), chars, edits, int(lo), int(max(0, low + lo)))
-                    if (d, i) not in best or row > best[d, i]:
-                        best[d, i] = row
+                joined = [joined_words(t) for t in texts[start:end]]
+                best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+                for d, i, low, extent, lo, hi in index.bands(joined):  # the longest region of each pair
+                    best[d, i] = max(best.get((d, i), (-1, 0, 0, 0)), (int(extent), int(low), int(lo), int(hi)))
                 rows = []
-                for (d, i), (_, _, chars, edits, lo, at) in best.items():
-                    exact = index.longest_run(words[d], i)
-                    if exact or edits <= index.rule.edits * max(1, chars // index.shortest[i]):
-                        rows.append((ids[start + d], index.ids[i], exact, chars, edits, lo, at))
+                for (d, i), (_, low, lo, hi) in best.items():
+                    chars, edits = index.align(joined[d], i, low, lo, hi)
+                    exact = index.longest_run(joined[d].split(" "), i)
+                    if exact or edits is not None:
+                        rows.append((ids[start + d], index.ids[i], exact, chars, edits, lo, max(0, low + lo)))
                 if rows:
-                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "words", "matched_chars", "edits", "item_start", "doc_start"])
+                    found = pd.DataFrame(rows, columns=["doc_id", "item_id", "words", "matched_chars", "edits", "item_start", "doc_start"])
+                    yield found.astype({"edits": "Int32"})
                 start = end
 
     return run
@@ -234,11 +271,12 @@ def leaked_passages(
     at most `rule.edits` edits a passage length.
 
     `words` is the longest run of words both have, if it reaches rule.min_words, else 0
-    (an edited passage, for which `edits` over `matched_chars` tell how near it is).
+    (an edited passage, for which `edits` over `matched_chars` tell how near it is; edits are
+    null where the exact words lie in a longer stretch over the edit budget).
 
     Null and empty texts match nothing; items shorter than min_words are no passages;
     repeated rows of a document come out once; an empty table gives no rows; other columns
-    are not read.  Texts of any length are scanned whole, two million characters at a time.
+    are not read.  Texts of any length are scanned whole, some million characters at a time.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.where(F.col("text").isNotNull() & (F.length("text") > 0))

@@ -47,8 +47,9 @@ def mixture_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
     wanted = targets.select(source_key(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("long"))
     wanted = wanted.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     held = sized.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count(F.lit(1)).alias("documents"))
-    total = held.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("total"))
-    plan = wanted.join(held, "source", "left").fillna(0, ["available", "documents"]).join(F.broadcast(total))  # one row
+    one = F.lit(1).alias("_one")
+    total = held.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("total")).select(one, "total")  # one row
+    plan = wanted.select("*", one).join(held, "source", "left").fillna(0, ["available", "documents"]).join(F.broadcast(total), "_one").drop("_one")
     capacity = F.col("available") * F.col("max_repeats")
     goal = F.col("target_share") * F.col("total")
     return plan.withColumns({"capacity": capacity, "wanted": goal}).withColumn(

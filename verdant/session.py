@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +46,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
         folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="verdant-checkpoint-"))
     return df.checkpoint(eager=eager)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a context; they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_verdant_shipped", None) == context.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="verdant-package-")) / "verdant.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._verdant_shipped = context.applicationId

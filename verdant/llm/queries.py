@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import golden, leak, mixing, skeleton, split
+from verdant.llm import canonical, golden, leak, mixing, skeleton, split
 from verdant.sources import read_table
 
 
@@ -37,6 +37,19 @@ def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return golden.merge_facts(read_table(spark, folder, "extracted_fact"))
 
 
+def _mapped(spark: SparkSession, folder: str) -> DataFrame:
+    return canonical.map_values(read_table(spark, folder, "extracted_fact"), ["fact_id"], "metric", read_table(spark, folder, "consumer_master_registry_v1"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _mapped(spark, folder).select("fact_id", "canonical_id").distinct()
+
+
+def p3_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    grouped = _mapped(spark, folder).groupBy("value", "canonical_id", "matched_name", "score")
+    return grouped.agg(F.count(F.lit(1)).alias("facts"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     found = leak.leaked_passages(read_table(spark, folder, "documents"), read_table(spark, folder, "eval_item"))
     return found.where("words >= 12").select("doc_id", "item_id")
@@ -72,7 +85,7 @@ def p8_consistent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_survivors, p6_found, p6_leaks, p7_found, p7_mixture, p7_report, p8_found, p8_consistent)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_survivors, p3_found, p3_dictionary, p6_found, p6_leaks, p7_found, p7_mixture, p7_report, p8_found, p8_consistent)}
 
 
 def oracle_sql() -> dict[str, str]:

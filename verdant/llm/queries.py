@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import canonical, golden, leak, mixing, skeleton, split
+from verdant.llm import canonical, golden, leak, mixing, neardup, skeleton, split
 from verdant.sources import read_table
 
 
@@ -50,6 +50,26 @@ def p3_dictionary(spark: SparkSession, folder: str) -> DataFrame:
     return grouped.agg(F.count(F.lit(1)).alias("facts"))
 
 
+def _near_facts(spark: SparkSession, folder: str) -> neardup.NearDuplicates:
+    facts = read_table(spark, folder, "extracted_fact")
+    text = F.concat(F.coalesce("metric", F.lit("")), F.lit(" "), F.col("evidence"))
+    enough = F.regexp_count(F.lower("evidence"), F.lit("[a-z0-9]+")) >= 8
+    return neardup.near_duplicates(facts, "fact_id", text, neardup.NearRule(words=3, similarity=0.5), enough)
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = _near_facts(spark, folder).pairs()
+    return pairs.select(F.col("id_a").alias("fact_id_a"), F.col("id_b").alias("fact_id_b")).distinct()
+
+
+def p4_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return _near_facts(spark, folder).classes().withColumnRenamed("id", "fact_id")
+
+
+def p4_links(spark: SparkSession, folder: str) -> DataFrame:
+    return _near_facts(spark, folder).named_links()
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     found = leak.leaked_passages(read_table(spark, folder, "documents"), read_table(spark, folder, "eval_item"))
     return found.where("words >= 12").select("doc_id", "item_id")
@@ -85,7 +105,7 @@ def p8_consistent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_survivors, p3_found, p3_dictionary, p6_found, p6_leaks, p7_found, p7_mixture, p7_report, p8_found, p8_consistent)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_survivors, p3_found, p3_dictionary, p4_found, p4_classes, p4_links, p6_found, p6_leaks, p7_found, p7_mixture, p7_report, p8_found, p8_consistent)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -63,19 +63,42 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingle_sets(texts: list[list[str]], k: int) -> tuple[np.ndarray, np.ndarray]:
+_ALNUM = np.array([chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" for b in range(256)])
+_BREAK = 0xFF  # no byte of UTF-8
+_INVERSE = np.uint64(pow(int(_M1), -1, 1 << 64))
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash) of the words of each text, in order, without a loop over words.
+
+    A word's hash is a difference of prefix sums of bytes weighted by powers of an odd
+    number, brought back to power zero; all modulo 2**64.
+    """
+    data = np.frombuffer(bytes([_BREAK]).join([t.lower().encode("utf-8", "surrogatepass") for t in texts]), np.uint8)
+    if not len(data):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    inside = _ALNUM[data]
+    edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    power = np.full(len(data), _M1)
+    power[0] = 1
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data.astype(np.uint64) * np.cumprod(power, dtype=np.uint64), out=sums[1:])
+    power[1:] = _INVERSE
+    h = (sums[end] - sums[start]) * np.cumprod(power, dtype=np.uint64)[start]
+    owner = np.cumsum(data == _BREAK)[start]
+    return owner, _mix(h + (end - start).astype(np.uint64) * _M3)
+
+
+def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, shingle hash) of the distinct shingles of each text, sorted; texts under k words have none."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    flat = np.array([w for t in texts for w in t], dtype=object)
-    if len(flat) < k:
+    owner, words = word_hashes(texts)
+    if len(words) < k:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    codes, words = pd.factorize(flat)
-    word_hash = pd.util.hash_array(np.asarray(words, dtype=object), categorize=False)[codes]
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    n = len(flat) - k + 1
+    n = len(words) - k + 1
     h = np.zeros(n, np.uint64)
     for i in range(k):
-        h = h * _M1 + word_hash[i : i + n]
+        h = h * _M1 + words[i : i + n]
     whole = owner[:n] == owner[k - 1 :]
     h, owner = _mix(h)[whole], owner[:n][whole]
     order = np.lexsort((h, owner))
@@ -95,7 +118,7 @@ class _Sets:
     id_lo: np.ndarray  # 64 bits of the parity fingerprint
 
 
-def _describe(texts: list[list[str]], k: int) -> _Sets:
+def _describe(texts: list[str], k: int) -> _Sets:
     owner, h = shingle_sets(texts, k)
     count = len(texts)
     size = np.bincount(owner, minlength=count).astype(np.int64)
@@ -115,7 +138,7 @@ def _describe(texts: list[list[str]], k: int) -> _Sets:
     return _Sets(owner, h, start, size, hi.view(np.int64), lo.view(np.int64))
 
 
-def _chunks(batches: Iterator[pd.DataFrame], most: int = 4_000_000) -> Iterator[pd.DataFrame]:
+def _chunks(batches: Iterator[pd.DataFrame], most: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """Batches cut to some million characters, whole rows always."""
     for batch in batches:
         ends = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
@@ -130,7 +153,7 @@ def _count(rule: NearRule) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         slots = np.zeros(1 << rule.sketch_bits, np.int64)
         for batch in _chunks(batches):
-            _, h = shingle_sets([plain_words(t) for t in batch["text"]], rule.words)
+            _, h = shingle_sets(batch["text"].tolist(), rule.words)
             slots += np.bincount((h >> np.uint64(64 - rule.sketch_bits)).astype(np.int64), minlength=len(slots))
         for i in range(0, len(slots), block):
             part = slots[i : i + block]
@@ -167,7 +190,8 @@ def rarity_sketch(texts: DataFrame, rule: NearRule) -> np.ndarray:
     return sketch
 
 
-_POSTING = "sym int, size int, place int, id_hi long, id_lo long"
+_POSTING = "entry long, id_hi long, id_lo long"  # entry: positional byte << 32 | size << 16 | place
+_MOST = 0xFFFF  # larger sizes are written as this one and pass the filters to the verification
 
 
 def _post(rule: NearRule, sketch) -> Callable:
@@ -176,15 +200,9 @@ def _post(rule: NearRule, sketch) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, seen = sketch.value, set()
         for batch in _chunks(batches):
-            s = _describe([plain_words(x) for x in batch["text"]], rule.words)
-            ids = list(zip(s.id_hi.tolist(), s.id_lo.tolist()))
+            s = _describe(batch["text"].tolist(), rule.words)
             # copies met before in this partition are posted once
-            new = np.zeros(len(ids), bool)
-            for i, key in enumerate(ids):
-                if key not in seen:
-                    new[i] = True
-                    if len(seen) < _SEEN_LIMIT:
-                        seen.add(key)
+            new = np.array([_first(key, seen) for key in zip(s.id_hi.tolist(), s.id_lo.tolist())], bool)
             rarity = counts[(s.hashes >> np.uint64(64 - rule.sketch_bits)).astype(np.int64)]
             order = np.lexsort((s.hashes, rarity, s.owner))
             h, rarity, owner = s.hashes[order], rarity[order], s.owner[order]
@@ -193,39 +211,87 @@ def _post(rule: NearRule, sketch) -> Callable:
             kept = (place < prefix[owner]) & (rarity > 1) & new[owner]  # a byte that occurs once has no partner
             owner, h = owner[kept], h[kept]
             # the positional byte: 24 bits of position, 8 bits of what stands there
-            sym = ((h >> np.uint64(8)) & np.uint64(0xFFFFFF)) << np.uint64(8) | (h & np.uint64(0xFF))
-            yield pd.DataFrame(
-                {"sym": sym.astype(np.uint32).view(np.int32), "size": s.size[owner].astype(np.int32), "place": place[kept].astype(np.int32), "id_hi": s.id_hi[owner], "id_lo": s.id_lo[owner]}
-            )
+            entry = (h & np.uint64(0xFFFFFFFF)) << np.uint64(32)
+            entry |= np.minimum(s.size[owner], _MOST).astype(np.uint64) << np.uint64(16)
+            entry |= np.minimum(place[kept], _MOST).astype(np.uint64)
+            yield pd.DataFrame({"entry": entry.view(np.int64), "id_hi": s.id_hi[owner], "id_lo": s.id_lo[owner]})
+
+    return run
+
+
+def _members(rule: NearRule) -> Callable:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in _chunks(batches):
+            s = _describe(batch["text"].tolist(), rule.words)
+            yield pd.DataFrame({"id_hi": s.id_hi, "id_lo": s.id_lo, "id": batch["id"].to_numpy()})[s.size > 0]
 
     return run
 
 
-def _members(rule: NearRule, with_text: bool) -> Callable:
+def _texts_of(rule: NearRule, wanted) -> Callable:
+    """The texts whose class is in the filter of wanted ones, each class once a partition."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set = set()
+        bits, seen = wanted.value, set()
         for batch in _chunks(batches):
-            words = [plain_words(x) for x in batch["text"]]
-            s = _describe(words, rule.words)
-            out = pd.DataFrame({"id_hi": s.id_hi, "id_lo": s.id_lo})
-            kept = s.size > 0
-            if with_text:
-                out["words"] = [" ".join(w) for w in words]
-                for i, key in enumerate(zip(s.id_hi.tolist(), s.id_lo.tolist())):
-                    if key in seen:
-                        kept[i] = False
-                    elif len(seen) < _SEEN_LIMIT:
-                        seen.add(key)
-            else:
-                out["id"] = batch["id"].to_numpy()
-            yield out[kept]
+            s = _describe(batch["text"].tolist(), rule.words)
+            kept = (s.size > 0) & bits[_slots(s.id_hi, len(bits))]
+            out = pd.DataFrame({"id_hi": s.id_hi, "id_lo": s.id_lo, "text": batch["text"].to_numpy()})[kept]
+            fresh = np.array([_first(key, seen) for key in zip(out["id_hi"].tolist(), out["id_lo"].tolist())], bool)
+            yield out[fresh]
 
     return run
 
 
+def _first(key: tuple[int, int], seen: set) -> bool:
+    if key in seen:
+        return False
+    if len(seen) < _SEEN_LIMIT:
+        seen.add(key)
+    return True
+
+
+def _slots(id_hi: np.ndarray, size: int) -> np.ndarray:
+    return (_mix(id_hi.view(np.uint64)) % np.uint64(size)).astype(np.int64)
+
+
+def wanted_filter(pairs: DataFrame, bits: int) -> np.ndarray:
+    """A filter of 2**bits slots, set for the classes of the pairs; its size is fixed, whatever the pairs.
+
+    It only keeps texts without a partner out of the shuffle; a slot set by chance costs time.
+    """
+    size, block = 1 << bits, 1 << 16
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        flags = np.zeros(size, bool)
+        for batch in batches:
+            for side in ("a_hi", "b_hi"):
+                flags[_slots(batch[side].to_numpy(np.int64), size)] = True
+        for i in range(0, size, block):
+            if flags[i : i + block].any():
+                yield pd.DataFrame({"block": [i // block], "counts": [zlib.compress(np.packbits(flags[i : i + block]).tobytes(), 1)]})
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        both: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, packed in zip(batch["block"], batch["counts"]):
+                part = np.frombuffer(zlib.decompress(packed), np.uint8)
+                both[b] = both[b] | part if b in both else part
+        for b, part in both.items():
+            yield pd.DataFrame({"block": [b], "counts": [zlib.compress(part.tobytes(), 1)]})
+
+    schema = "block int, counts binary"
+    flags = np.zeros(size, bool)
+    joined = pairs.select("a_hi", "b_hi").mapInPandas(run, schema).repartition(min(16, max(1, size // block)), "block").mapInPandas(join, schema)
+    for row in joined.collect():  # at most 2**(bits - 16) rows
+        part = np.unpackbits(np.frombuffer(zlib.decompress(row["counts"]), np.uint8)).astype(bool)
+        flags[row["block"] * block : row["block"] * block + block] = part[: min(block, size)]
+    return flags
+
+
 def jaccard(a: str, b: str, k: int) -> float:
-    """Jaccard similarity of the sets of k-word shingles of two texts of plain words."""
-    x, y = a.split(" "), b.split(" ")
+    """Jaccard similarity of the sets of k-word shingles of two texts."""
+    x, y = plain_words(a), plain_words(b)
     p, q = set(zip(*(x[i:] for i in range(k)))), set(zip(*(y[i:] for i in range(k))))
     both = len(p & q)
     return both / (len(p) + len(q) - both) if p or q else 0.0
@@ -291,23 +357,29 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     postings = rows.select("text").mapInPandas(_post(rule, sketch), _POSTING)
     a, b = postings.alias("a"), postings.alias("b")
 
+    def part(side: str, shift: int) -> Column:
+        return F.shiftright(F.col(f"{side}.entry"), shift).bitwiseAND(F.lit(_MOST))
+
     t = rule.similarity
-    both = F.col("a.size") + F.col("b.size")
+    n, m, p, q = part("a", 16), part("b", 16), part("a", 0), part("b", 0)
+    both = n + m
     least = F.ceil(both * F.lit(t / (1 + t)) - F.lit(1e-9))
-    # Both rules look at the two sides at once, so the sides stay one plan and one shuffle.
-    reached = (F.col("a.place") <= F.col("a.size") - least) & (F.col("b.place") <= F.col("b.size") - least)
+    # These rules look at the two sides at once, so the sides stay one plan and one shuffle.
+    reached = (p <= n - least) & (q <= m - least)
     differ = F.bit_count(F.col("a.id_lo").bitwiseXOR(F.col("b.id_lo"))) + F.bit_count(F.col("a.id_hi").bitwiseXOR(F.col("b.id_hi")).bitwiseAND(F.lit(0xFFFFFF)))
-    possible = both - differ >= 2 * least
+    possible = (reached & (both - differ >= 2 * least)) | (n == _MOST) | (m == _MOST)
     ordered = (F.col("a.id_hi") < F.col("b.id_hi")) | ((F.col("a.id_hi") == F.col("b.id_hi")) & (F.col("a.id_lo") < F.col("b.id_lo")))
-    near = a.join(b, (F.col("a.sym") == F.col("b.sym")) & ordered & reached & possible)
+    near = a.join(b, (F.shiftright(F.col("a.entry"), 32) == F.shiftright(F.col("b.entry"), 32)) & ordered & possible)
     pairs = near.select(F.col("a.id_hi").alias("a_hi"), F.col("a.id_lo").alias("a_lo"), F.col("b.id_hi").alias("b_hi"), F.col("b.id_lo").alias("b_lo")).distinct()
+    pairs = cut_lineage(pairs)  # four numbers a pair
 
-    texts = rows.select("text").mapInPandas(_members(rule, True), "id_hi long, id_lo long, words string")
-    left = texts.withColumnsRenamed({"id_hi": "a_hi", "id_lo": "a_lo", "words": "a_words"})
-    right = texts.withColumnsRenamed({"id_hi": "b_hi", "id_lo": "b_lo", "words": "b_words"})
+    wanted = spark.sparkContext.broadcast(wanted_filter(pairs, rule.sketch_bits))
+    texts = rows.select("text").mapInPandas(_texts_of(rule, wanted), "id_hi long, id_lo long, text string")
+    left = texts.withColumnsRenamed({"id_hi": "a_hi", "id_lo": "a_lo", "text": "a_text"})
+    right = texts.withColumnsRenamed({"id_hi": "b_hi", "id_lo": "b_lo", "text": "b_text"})
     checked = pairs.join(left, ["a_hi", "a_lo"]).join(right, ["b_hi", "b_lo"])
-    checked = checked.withColumn("similarity", _jaccard_udf(rule.words)("a_words", "b_words")).where(F.col("similarity") >= t - 1e-12)
+    checked = checked.withColumn("similarity", _jaccard_udf(rule.words)("a_text", "b_text")).where(F.col("similarity") >= t - 1e-12)
     links = cut_lineage(checked.groupBy("a_hi", "a_lo", "b_hi", "b_lo").agg(F.max("similarity").alias("similarity")))
     id_type = rows.schema["id"].dataType.simpleString()
-    members = cut_lineage(rows.mapInPandas(_members(rule, False), f"id_hi long, id_lo long, id {id_type}").distinct())
+    members = cut_lineage(rows.mapInPandas(_members(rule), f"id_hi long, id_lo long, id {id_type}").distinct())
     return NearDuplicates(members, links)

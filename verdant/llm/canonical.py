@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -40,13 +41,16 @@ class MatchRule:
             raise ValueError("0 < join <= sure <= 1 and 0 <= edit < 1 are needed")
 
 
+@lru_cache(maxsize=1 << 14)
 def _cyclic(text: str, q: int) -> frozenset[str]:
     wrapped = text + text[: q - 1]
     return frozenset(wrapped[i : i + q] for i in range(len(text)))
 
 
-def _edits(a: str, b: str) -> int:
-    """Levenshtein distance, with a swap of neighbours as one edit."""
+def _edits(a: str, b: str, most: float) -> float:
+    """Levenshtein distance, with a swap of neighbours as one edit; more than `most` once it exceeds that."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
     before: list[int] = []
     prev = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -56,6 +60,8 @@ def _edits(a: str, b: str) -> int:
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
                 cost = min(cost, before[j - 2] + 1)
             row.append(cost)
+        if min(row) > most and min(prev) > most:
+            return most + 1
         before, prev = prev, row
     return prev[-1]
 
@@ -71,7 +77,7 @@ def verify(form: str, name: str, rotations: list[str], rule: MatchRule) -> float
     if score >= rule.sure:
         return score
     most = rule.edit * len(name)
-    return score if any(_edits(form, r) <= most for r in rotations) else -1.0
+    return score if any(_edits(form, r, most) <= most for r in rotations) else -1.0
 
 
 def _verify_udf(rule: MatchRule):
@@ -149,7 +155,10 @@ def map_values(
     left out; an empty reference list leaves all unmatched; other columns are not read.
     """
     kept = rows.select(*key_cols, F.col(value_col).cast("string").alias("_value")).where(F.length(F.trim("_value")) > 0).distinct()
-    words = cut_lineage(kept.select("_value").distinct().withColumn("form", _form("_value")))
+    context = rows.sparkSession
+    parts = max(context.sparkContext.defaultParallelism, int(context.conf.get("spark.sql.shuffle.partitions")))
+    words = kept.select("_value").repartition(parts, "_value").distinct()  # a fixed number: the rows are small, the work on each is not
+    words = cut_lineage(words.withColumn("form", _form("_value")))
     names = cut_lineage(reference_forms(reference, id_col, list(name_cols), alias_col))
     found = match_forms(words.select("form").distinct(), names, rule)
     dictionary = words.join(found, "form", "left")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.llm.skeleton import consistent
+from verdant.session import spread
 
 WORD = re.compile(r"[^\W_]+")
 FOUND_SCHEMA = "doc_id long, item_id long, words int, matched_chars int, edits int, item_start int, doc_start int"
@@ -279,7 +280,7 @@ def leaked_passages(
     are not read.  Texts of any length are scanned whole, some million characters at a time.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    docs = docs.where(F.col("text").isNotNull() & (F.length("text") > 0))
+    docs = spread(docs.where(F.col("text").isNotNull() & (F.length("text") > 0)))
     wanted = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     wanted = wanted.where("text is not null").dropDuplicates(["item_id"])
     out, block, chars = None, [], 0

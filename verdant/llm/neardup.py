@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdant.session import cut_lineage
+from verdant.session import cut_lineage, spread
 
 _WORD = re.compile(r"[a-z0-9]+")
 _SEEN_LIMIT = 200_000
@@ -352,6 +352,7 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     """
     rows = records.where(takes_part) if takes_part is not None else records
     rows = rows.select(F.col(id_col).alias("id"), text.cast("string").alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
+    rows = spread(rows)
     spark = records.sparkSession
     sketch = spark.sparkContext.broadcast(rarity_sketch(rows, rule))
     postings = rows.select("text").mapInPandas(_post(rule, sketch), _POSTING)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdant.session import cut_lineage
+from verdant.session import cut_lineage, spread
 
 # Letters of other alphabets with the shape of a Latin letter, and that letter.
 LOOK_ALIKE_LETTERS = {
@@ -131,7 +131,7 @@ def look_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     text = F.col(text_col)
     return (
-        df.where(text.isNotNull() & (F.length(text) > 0))
+        spread(df.select(id_col, text_col).where(text.isNotNull() & (F.length(text) > 0)))
         .select(F.col(id_col).alias("id"), _digests_udf(text).alias("d"))
         .select("id", "d.look", "d.exact")
     )

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdant.session import spread
+
 _GAP = re.compile(r"\n[^\S\n]*\n\s*|\n|(?<=[.!?;])[\"'”»)\]]*[^\S\n]+")
 _WORD = re.compile(r"[^\W\d_]{4,}")
 PARAGRAPH, ROW, SENTENCE, WORD_END, ANYWHERE = 3, 2, 1, 0, -1
@@ -166,7 +168,7 @@ def split_oversized(items: DataFrame, id_cols: list[str], content_col: str = "co
     if not keep_small:
         rows = rows.where(F.char_length("_text") > 4 * rule.limit)
     names = F.create_map(*(F.lit(x) for pair in KIND_NAMES.items() for x in pair))
-    cut = rows.select(*id_cols, "_text", _cuts(rule)(F.col("_text")).alias("_cuts"))
+    cut = spread(rows).select(*id_cols, "_text", _cuts(rule)(F.col("_text")).alias("_cuts"))
     long = cut.select(*id_cols, "_text", F.xxhash64("_text").alias("_same"), F.size("_cuts").alias("n_pieces"), F.posexplode("_cuts").alias("_at", "_cut"))
     start, end = F.col("_cut")[0], F.col("_cut")[1]
     pieces = long.select(

@@ -48,6 +48,16 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores, ahead of costly work on each row.
+
+    Inputs of many files are left as they are; a small one in a single file would otherwise
+    keep one core busy.  Only the placement of rows changes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once a context; they need not have it installed."""
     context = spark.sparkContext

@@ -47,7 +47,9 @@ def unpivot_tables(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     lines = df.select(*keys, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("row_no", "line")).where(F.trim("line").startswith("|"))
     cells = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), lambda c: F.trim(c))
     rows = lines.select(*keys, "row_no", cells.alias("cells")).withColumn("rule", F.forall("cells", lambda c: c.rlike(r"^:?-{2,}:?$")))
-    w = Window.partitionBy(*keys).orderBy("row_no")
+    run = F.col("row_no") - F.row_number().over(Window.partitionBy(*keys).orderBy("row_no"))
+    rows = rows.withColumn("table_no", run)  # a table ends at the first line that is none of its rows
+    w = Window.partitionBy(*keys, "table_no").orderBy("row_no")
     above = F.lag("cells").over(w)
     rows = rows.withColumns({"head": F.when(F.col("rule"), above), "is_head": F.coalesce(F.lead("rule").over(w), F.lit(False))})
     rows = rows.withColumn("header", F.last("head", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))

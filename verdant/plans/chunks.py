@@ -63,8 +63,9 @@ def broken_links(spark: SparkSession, folder: str) -> DataFrame:
 WITH l AS (SELECT section_id, unnest(string_split(coalesce(content, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(content, ''), chr(10)), 1) - 1 AS row_no FROM {SECTIONS}),
 c AS (SELECT section_id, row_no, list_transform(string_split(regexp_replace(trim(line), '^\\||\\|$', '', 'g'), '|'), lambda x: trim(x)) AS cells FROM l WHERE starts_with(trim(line), '|')),
 r AS (SELECT *, len(list_filter(cells, lambda x: NOT regexp_matches(x, '^:?-{{2,}}:?$'))) = 0 AS rule FROM c),
-h AS (SELECT *, CASE WHEN rule THEN lag(cells) OVER w END AS head, coalesce(lead(rule) OVER w, false) AS is_head FROM r WINDOW w AS (PARTITION BY section_id ORDER BY row_no)),
-b AS (SELECT *, last_value(head IGNORE NULLS) OVER (PARTITION BY section_id ORDER BY row_no ROWS UNBOUNDED PRECEDING) AS header FROM h),
+t AS (SELECT *, row_no - row_number() OVER (PARTITION BY section_id ORDER BY row_no) AS tab FROM r),
+h AS (SELECT *, CASE WHEN rule THEN lag(cells) OVER w END AS head, coalesce(lead(rule) OVER w, false) AS is_head FROM t WINDOW w AS (PARTITION BY section_id, tab ORDER BY row_no)),
+b AS (SELECT *, last_value(head IGNORE NULLS) OVER (PARTITION BY section_id, tab ORDER BY row_no ROWS UNBOUNDED PRECEDING) AS header FROM h),
 x AS (SELECT section_id, row_no, cells[1] AS metric, header, unnest(cells) AS value, generate_subscripts(cells, 1) AS pos FROM b WHERE NOT rule AND NOT is_head AND header IS NOT NULL)
 SELECT section_id, CAST(row_no AS INT) AS row_no, metric, header[pos] AS column_name, value FROM x WHERE pos > 1 AND pos <= len(header) AND value NOT IN ('', '-')""")
 def table_cells(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,15 +10,14 @@ FACT = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("fact_id", "company_id", "doc_id", "section_id", "chunk_id", "decision", "metric", "value", "unit", "period", "period_type", "fact_type", "entity", "segment", "evidence", "metric_definition")]
     + [T.StructField("page_start", T.IntegerType()), T.StructField("page_end", T.IntegerType()), T.StructField("confidence", T.DoubleType()), T.StructField("duplicate_chunk_ids", T.ArrayType(T.StringType()))]
 )
-_LIST = T.ArrayType(FACT)
 
 
 def read_fact_files(spark: SparkSession, path: str) -> DataFrame:
     """Facts of JSON files that hold either a list or {"facts": [...]}; entries that are no objects are dropped."""
     whole = spark.read.text(path, wholetext=True)
-    parsed = F.coalesce(F.from_json("value", T.StructType([T.StructField("facts", _LIST)]))["facts"], F.from_json("value", _LIST))
-    kept = F.filter(parsed, lambda f: f.isNotNull() & f["fact_id"].isNotNull())
-    return whole.select(F.inline(kept))
+    texts = T.ArrayType(T.StringType())  # each entry as its own JSON text, so that one bad entry spoils no other
+    listed = F.coalesce(F.from_json("value", T.StructType([T.StructField("facts", texts)]))["facts"], F.from_json("value", texts))
+    return whole.select(F.explode(listed).alias("entry")).select(F.from_json("entry", FACT).alias("f")).where("f.fact_id is not null").select("f.*")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType = FACT) -> DataFrame:

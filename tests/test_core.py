@@ -290,3 +290,29 @@ def test_guard_refuses(sql):
 
 def test_guard_allows():
     assert router.check_read_only("SELECT 'drop; it' AS x FROM t -- note\n;") == "SELECT 'drop; it' AS x FROM t"
+
+
+def test_names(spark):
+    assert column(spark, ["Improved water use", "Water use", "use of the water", "a1 in 2024", "", None], say.name_risk(F.col("v"))) == ["high", "low", "medium", "high", "high", "high"]
+    assert column(spark, ["The use of water in 3 plants by our own people now", None], say.proposed_id(F.col("v"))) == ["use_water_plants_our_own", None]
+    assert column(spark, ["cities", "boxes", "wastes", "glass", "bus", "is"], say.singular(F.col("v"))) == ["city", "box", "waste", "glass", "bus", "is"]
+
+
+def test_grid_to_text(spark):
+    cells = spark.createDataFrame([("t", 0, 0, 0, 1, "a|b"), ("t", 1, 1, 0, 0, "x"), ("t", 1, 1, 1, 1, None), ("t", 2, 2, 1, 1, "y")], "k string, row int, row_end int, col int, col_end int, text string")
+    assert [r.content for r in chunks.grid_to_text(cells, ["k"]).collect()] == ["| a\\|b | a\\|b |\n|---|---|\n| x |  |\n|  | y |"]
+
+
+def test_page_operators(spark):
+    from verdant.operators import pages
+
+    toc = "Contents\n" + "\n".join(f"Chapter {w} ........ {i * 4 + 2}" for i, w in enumerate(("alpha", "beta", "gamma", "delta", "omega")))
+    body = [("d", 1, toc)] + [("d", i * 4 + 5, f"Chapter {w}\nbody") for i, w in enumerate(("alpha", "beta", "gamma", "delta"))]
+    frame = spark.createDataFrame(body, "doc string, page int, text string")
+    entries = pages.contents_entries(frame, "doc", "page", "text")
+    assert entries.count() == 5
+    assert [(r.doc, r.offset) for r in pages.heading_offset(entries, frame, "doc", "page", "text").collect()][0][0] == "d"
+    rows = spark.createDataFrame([("1", "d", "water"), ("2", "d", "the water used"), ("3", "e", "water"), ("4", "d", "all the water used")], "id string, k string, t string")
+    assert {(r.dropped, r.kept) for r in pages.contained_rows(rows, ["k"], "id", "t").collect()} == {("1", "4"), ("2", "4")}
+    table = spark.createDataFrame([("s", ["h", "-"], [str(i) for i in range(5)])], "k string, h array<string>, b array<string>")
+    assert [r.content for r in pages.split_table_rows(table, ["k"], "h", "b", 2).orderBy("part").collect()] == ["h\n-\n0\n1", "h\n-\n2\n3", "h\n-\n4"]

@@ -92,3 +92,33 @@ def toc_pairs(page: Column) -> Column:
 def heading_key(text: Column) -> Column:
     """Letters and digits of a heading, lower case, single blanks."""
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " "))
+
+
+# Verbs that make a metric name a statement rather than a name.
+STATEMENT_VERBS = ("improved", "increased", "reduced", "achieved", "decreased", "launched", "expanded")
+
+
+def name_risk(name: Column) -> Column:
+    """How little a text is a metric's name: high for a verb first, digits or over six words; medium for over 40 letters or an article inside."""
+    t = F.lower(F.trim(F.coalesce(name, F.lit(""))))
+    words = F.filter(F.split(t, r"[\s_]+"), lambda w: w != "")
+    high = F.element_at(F.concat(words, F.array(F.lit(""))), 1).isin(*STATEMENT_VERBS) | t.rlike(r"\d{2,}") | (F.size(words) > 6)
+    medium = (F.length(t) > 40) | F.exists(words, lambda w: w.isin("the", "a", "an", "our", "we"))
+    return F.when(t == "", "high").when(high, "high").when(medium, "medium").otherwise("low")
+
+
+def proposed_id(name: Column) -> Column:
+    """An id for a metric that has none: its first five content words joined by underscores; null if there are none."""
+    from verdant.functions.text import word_tokens
+
+    return F.nullif(F.array_join(F.slice(F.filter(word_tokens(name), lambda w: ~w.rlike(r"^\d+$")), 1, 5), "_"), F.lit(""))
+
+
+def singular(word: Column) -> Column:
+    """A word without its plural ending: ies to y, es after s, x, z, ch or sh, else s, unless it ends in ss or us."""
+    return (
+        F.when(word.rlike(r"[^aeiou]ies$") & (F.length(word) > 4), F.regexp_replace(word, "ies$", "y"))
+        .when(word.rlike(r"(?:s|x|z|ch|sh)es$"), F.regexp_replace(word, "es$", ""))
+        .when(word.rlike(r"[^su]s$") & (F.length(word) > 3), F.regexp_replace(word, "s$", ""))
+        .otherwise(word)
+    )

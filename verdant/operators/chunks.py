@@ -109,3 +109,22 @@ def keep_with_neighbours(df: DataFrame, group: str, order: list[str], flag: Colu
     """Rows for which the flag holds, and `reach` rows on each side of them."""
     w = Window.partitionBy(group).orderBy(*order).rowsBetween(-reach, reach)
     return df.withColumn("_near", F.max(F.coalesce(flag, F.lit(False)).cast("int")).over(w)).where("_near = 1").drop("_near")
+
+
+def grid_to_text(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """keys + content: pipe tables of cells (row, row_end, col, col_end, text); a cell fills every place it spans, the later writer wins.
+
+    The first row is the header; a pipe inside a cell is escaped; places no cell fills are blank.
+    """
+    filled = cells.select(*keys, "text", F.struct("row", "col").alias("_order"), F.explode(F.sequence("row", "row_end")).alias("r"), "col", "col_end")
+    filled = filled.select(*keys, "text", "_order", "r", F.explode(F.sequence("col", "col_end")).alias("c"))
+    places = filled.groupBy(*keys, "r", "c").agg(F.max_by("text", "_order").alias("text"))
+    width = cells.groupBy(*keys).agg(F.max("col_end").alias("_w"))
+    escaped = F.regexp_replace(F.coalesce("text", F.lit("")), r"\|", r"\\|")
+    rows = places.groupBy(*keys, "r").agg(F.map_from_entries(F.collect_list(F.struct("c", escaped.alias("t")))).alias("m")).join(width, keys)
+    line = F.concat(F.lit("| "), F.array_join(F.transform(F.sequence(F.lit(0), F.col("_w")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))), " | "), F.lit(" |"))
+    rule = F.concat(F.lit("|"), F.repeat(F.lit("---|"), F.col("_w") + 1))
+    lines = rows.select(*keys, "r", line.alias("line"), rule.alias("rule"))
+    ordered = lines.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("r", "line"))).alias("o"), F.first("rule").alias("rule"))
+    body = F.transform("o", lambda x: x["line"])
+    return ordered.select(*keys, F.array_join(F.concat(F.slice(body, 1, 1), F.array("rule"), F.slice(body, F.lit(2), F.size("o"))), "\n").alias("content"))

@@ -52,3 +52,12 @@ def top_matches(queries: DataFrame, entries: DataFrame, key: str, entry: str, k:
 def accept(score: Column, margin: Column, floor: float = 0.65, least_margin: float = 0.2) -> Column:
     """accept over the floor and the margin, review over the floor only, else none."""
     return F.when((score >= floor) & (margin >= least_margin), "accept").when(score >= floor, "review").otherwise("none")
+
+
+def first_decision(rows: DataFrame, key: str, keyed: DataFrame, memory: DataFrame) -> DataFrame:
+    """(key, decision, kind): the decision found under the most specific of a row's keys.
+
+    keyed: key, priority (smaller first), kind, lookup; memory: kind, lookup, decision.
+    """
+    hits = keyed.join(memory, ["kind", "lookup"]).groupBy(key).agg(F.min_by(F.struct("decision", "kind"), F.struct("priority", "decision")).alias("d"))
+    return rows.select(key).join(hits, key, "left").select(key, F.col("d.decision").alias("decision"), F.col("d.kind").alias("kind"))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdant.functions.udf import once
 from verdant.session import spread
 
 _GAP = re.compile(r"\n[^\S\n]*\n\s*|\n|(?<=[.!?;])[\"'”»)\]]*[^\S\n]+")
@@ -153,7 +154,7 @@ def _cuts(rule: SplitRule):
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else [list(x) for x in cut_points(t, rule)])
 
-    return run
+    return once(run)
 
 
 def split_oversized(items: DataFrame, id_cols: list[str], content_col: str = "content", rule: SplitRule = SplitRule(), keep_small: bool = False) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdant.functions.udf import once
 from verdant.llm.wording import metric_form, name_forms
 from verdant.session import cut_lineage
 
@@ -85,7 +86,7 @@ def _verify_udf(rule: MatchRule):
     def run(forms: pd.Series, names: pd.Series, rotations: pd.Series) -> pd.Series:
         return pd.Series([verify(f, n, list(r), rule) for f, n, r in zip(forms, names, rotations)], dtype="float64")
 
-    return run
+    return once(run)
 
 
 @F.pandas_udf(T.StringType())

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdant.functions.udf import once
 from verdant.session import cut_lineage, spread
 
 _WORD = re.compile(r"[a-z0-9]+")
@@ -302,7 +303,7 @@ def _jaccard_udf(k: int):
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([jaccard(x, y, k) for x, y in zip(a, b)], dtype="float64")
 
-    return run
+    return once(run)
 
 
 @dataclass(frozen=True)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant.functions.quantity import SCALES, exact_unit, read_quantity, reference_units, unit_key, unit_tokens
+from verdant.functions.udf import once
 from verdant.session import cut_lineage
 
 MIN_FUZZY = 5  # shorter keys are matched exactly only
@@ -27,6 +28,7 @@ _UNIT = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("sc
 _STEM = T.StructType([T.StructField("stem", T.StringType()), T.StructField("scale", T.DoubleType())])
 
 
+@once
 @F.pandas_udf(_QUANTITY)
 def _read(value: pd.Series, unit: pd.Series, metric: pd.Series, evidence: pd.Series) -> pd.DataFrame:
     none = (None, None, None, None)
@@ -34,11 +36,13 @@ def _read(value: pd.Series, unit: pd.Series, metric: pd.Series, evidence: pd.Ser
     return pd.DataFrame(rows, columns=["number", "beside", "unit_text", "found_in"])
 
 
+@once
 @F.pandas_udf(_UNIT)
 def _exact(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([exact_unit(t) or (None, None) for t in texts], columns=["symbol", "scale"])
 
 
+@once
 @F.pandas_udf(_STEM)
 def _stem(texts: pd.Series) -> pd.DataFrame:
     """The key without a leading or trailing scale word, and that scale."""
@@ -81,6 +85,7 @@ def weighted_distance(a: str, b: str, most: float) -> float:
     return prev[-1]
 
 
+@once
 @F.pandas_udf(T.DoubleType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([weighted_distance(x, y, MAX_COST * max(len(x), len(y))) for x, y in zip(a, b)])

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdant.functions.udf import once
+
 SLOTS = 512
 
 
@@ -19,6 +21,7 @@ def sequence_ratio(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0
 
 
+@once
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([sequence_ratio(x, y) for x, y in zip(a, b)], dtype="float64")

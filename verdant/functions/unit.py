@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdant.functions.udf import once
 from verdant.functions.quantity import SCALES, exact_unit, parse_number, read_value, unit_key, unit_tokens
 
 # Symbol -> (common symbol of its family, factor). The clean conversion table of the reports.
@@ -71,6 +72,7 @@ def normalise_value(value: str | None, unit: str | None, name: str | None = None
 _VALUE = T.StructType([T.StructField("value", T.DoubleType()), T.StructField("symbol", T.StringType()), T.StructField("confidence", T.StringType())])
 
 
+@once
 @F.pandas_udf(_VALUE)
 def _normalised(value: pd.Series, unit: pd.Series, name: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([normalise_value(*x) for x in zip(value, unit, name)], columns=["value", "symbol", "confidence"]).astype({"value": "float64"})

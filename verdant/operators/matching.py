@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from verdant.functions.number import families_compatible, unit_family
 from verdant.functions.semantics import gate_reasons, semantics_of
 from verdant.functions.similarity import sequence_ratio
+from verdant.functions.udf import once
 from verdant.operators import resolve
 
 # Weights of definition, core and alias similarity, and the limits of acceptance.
@@ -17,6 +18,7 @@ WEIGHTS = (0.70, 0.20, 0.10)
 FLOOR, MARGIN, CORROBORATION = 0.65, 0.20, 0.45
 
 
+@once
 @F.pandas_udf(T.DoubleType())
 def _best_ratio(name: pd.Series, names: pd.Series) -> pd.Series:
     return pd.Series([max((sequence_ratio(n, x) for x in xs), default=0.0) for n, xs in zip(name, names)], dtype="float64")

@@ -52,8 +52,11 @@ def spread(df: DataFrame) -> DataFrame:
     """df in at least as many partitions as there are cores, ahead of costly work on each row.
 
     Inputs of many files are left as they are; a small one in a single file would otherwise
-    keep one core busy.  Only the placement of rows changes.
+    keep one core busy.  Only the placement of rows changes.  A plan that shuffles already is
+    not touched, as counting its partitions would run it.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 

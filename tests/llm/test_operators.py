@@ -89,6 +89,53 @@ def test_edited_passage_is_found(spark):
     assert [(r.words, r.edits) for r in rows] == [(0, 2)]
 
 
+def fewest_edits(text, doc):
+    """Plain dynamic programming over the whole document, both ends free."""
+    prev = [0] * (len(doc) + 1)
+    for i, c in enumerate(text, 1):
+        row = [i]
+        for p, d in enumerate(doc, 1):
+            row.append(min(prev[p - 1] + (c != d), prev[p] + 1, row[-1] + 1))
+        prev = row
+    return min(prev)
+
+
+def test_edited_passages_match_brute_force(spark):
+    rng = random.Random(11)
+    vocabulary = [f"wind{i}" if i % 3 else f"solar{i}power" for i in range(80)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(12, 45)))) for i in range(8)]
+    texts = []
+    for n in range(40):
+        words = items[n % 8][1].split()
+        kept = [w if rng.random() < 0.93 else w[:-1] + rng.choice(["", "z", "zz"]) for w in words]
+        cut = rng.randrange(len(kept))
+        kept[cut : cut + rng.randint(0, 3)] = [rng.choice(vocabulary) for _ in range(rng.randint(0, 3))]
+        first = rng.randint(0, 8)
+        texts.append(" ".join(["lead"] * rng.randint(0, 5) + kept[first : first + rng.randint(9, 30)] + ["tail"]))
+    want = set()
+    for i, t in items:
+        w = t.split()
+        for d, text in enumerate(texts):
+            if any(fewest_edits(" ".join(w[k : k + 12]), text) <= 2 for k in range(len(w) - 11)):
+                want.add((d, i))
+    rows = leak.leaked_passages(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == want and 5 < len(want) < 35
+    for r in rows:
+        text = dict(items)[r.item_id][r.item_start : r.item_start + r.matched_chars]
+        assert len(text.split()) >= 12 and r.edits == fewest_edits(text, texts[r.doc_id])
+
+
+def test_every_region_is_verified_and_must_span_min_words(spark):
+    words = [f"{a}{b}" for a in ("alpha", "bravo", "carbon", "delta") for b in ("kilo", "lima", "metric", "nova", "orbit", "papa", "quota", "river", "sigma", "total")]
+    item = " ".join(words)
+    gap = " ".join("x" * len(w) for w in words[13:27])
+    near = lambda run: " ".join(run[:4] + [run[4][:-1] + "q"] + run[5:])
+    two = " ".join([near(words[:13]), gap, near(words[27:])])  # same diagonal, other text between
+    eleven = " ".join(words[:11])
+    rows = leak.leaked_passages(docs(spark, [two, eleven]), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.words, r.edits) for r in rows] == [(0, 0, 1)]
+
+
 # ---- problem 7
 
 

@@ -5,7 +5,7 @@ runs of letters and digits, lower case, consistent form) joined by single blanks
 q-grams a document shares with an item are counted in overlapping diagonal bands; by the
 q-gram lemma a passage of L characters found with at most k edits shares at least
 L + 1 - q * (k + 1) of them inside one band, so bands with fewer are dropped without
-loss.  What is left is verified by a banded alignment.
+loss.  Every run of min_words item words left is verified by a banded alignment.
 
 The items are the stated query set: their index is broadcast after its size is checked
 against `max_index_mb`; a larger set is run in blocks of items, each over all documents.
@@ -98,13 +98,17 @@ class LeakIndex:
 
     def __init__(self, items: list[tuple[int, str | None]], rule: LeakRule):
         self.rule, self.ids, self.words, self.least, self.shortest, self.texts = rule, [], [], [], [], []
+        self.begins, self.stops = [], []  # character positions of each run of min_words words
         hashes, owner, place = [], [], []
         for item_id, text in items:
             words = words_of(text)
             if len(words) < rule.min_words:
                 continue  # no passage of that length exists
             sizes = np.cumsum([0, *(len(w) + 1 for w in words)])
-            shortest = int((sizes[rule.min_words :] - sizes[: -rule.min_words]).min()) - 1
+            begins, stops = sizes[: -rule.min_words], sizes[rule.min_words :] - 1
+            shortest = int((stops - begins).min())
+            self.begins.append(begins)
+            self.stops.append(stops)
             joined = " ".join(words)
             # Short passages get a smaller q-gram threshold, never below one shared gram.
             self.least.append(max(1, shortest + 1 - rule.q * (rule.edits + 1)))
@@ -130,12 +134,12 @@ class LeakIndex:
     def bytes(self) -> int:
         return int(sum(x.nbytes for x in (self.owner, self.place, self.keys, self.starts, self.counts, self.seen))) + 200 * sum(map(len, self.words))
 
-    def bands(self, docs: list[str]) -> list[tuple[int, int, int, int, int, int]]:
-        """(document, item, lowest diagonal, extent, first and last item position) of regions over the threshold."""
-        rule = self.rule
+    def bands(self, docs: list[str]) -> np.ndarray:
+        """Rows of document, item, lowest diagonal, first word: every run of min_words words over its threshold in a band."""
+        rule, none = self.rule, np.empty((4, 0), np.int64)
         lengths = np.fromiter(map(len, docs), np.int64, len(docs))
         if not len(self.keys) or not lengths.sum():
-            return []
+            return none
         codes = _codes("".join(docs))
         h = _gram_hashes(codes, rule.q)
         hit = self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)]
@@ -144,7 +148,7 @@ class LeakIndex:
         total = np.concatenate([[0], np.cumsum(hit)])
         begins = np.flatnonzero(total[np.minimum(np.arange(len(hit)) + span, len(hit))] - total[:-1] >= min(self.least))
         if not len(begins):
-            return []
+            return none
         dense = np.zeros(len(hit) + 1, np.int32)
         np.add.at(dense, begins, 1)
         np.add.at(dense, np.minimum(begins + span, len(hit)), -1)
@@ -182,38 +186,76 @@ class LeakIndex:
         fits = last < len(group)
         last[~fits] = 0
         fits &= (group[last] == group) & (where[last] - where <= shortest - rule.q)
-        first = np.flatnonzero(fits)
-        regions = pd.DataFrame({"row": order[first], "group": group[first], "lo": where[first], "hi": where[last[first]]})
-        tally = regions.groupby("group", sort=False).agg(row=("row", "first"), lo=("lo", "min"), hi=("hi", "max"))
-        found = both.iloc[tally["row"].to_numpy()]
-        return list(zip(found["doc"], found["item"], found["band"] * half, tally["hi"] - tally["lo"], tally["lo"], tally["hi"], strict=True))
-
-    def align(self, doc: str, item: int, low: int, lo: int, hi: int) -> tuple[int, int | None]:
-        """(characters of the item, edits) of item[lo:hi+q] against the document, on diagonals low .. low + 2(k + 1) - 1.
-
-        Both ends of the document stretch are free inside the band.  The edits are None once
-        they exceed the budget of k for each passage length.
+        # In bands that have one, the lemma is applied to each passage of whole words by itself.
+        kept = np.unique(group[fits])
+        begin, end = np.searchsorted(group, kept), np.searchsorted(group, kept, side="right")
+        of_doc, of_item, low = both["doc"].to_numpy()[order[begin]], item[begin], both["band"].to_numpy()[order[begin]] * half
+        found = []
+        for n, (b, e) in enumerate(zip(begin, end, strict=True)):
+            starts, stops = self.begins[of_item[n]], self.stops[of_item[n]]
+            shared = np.searchsorted(where[b:e], stops - rule.q, side="right") - np.searchsorted(where[b:e], starts)
+            some = np.flatnonzero(shared >= np.maximum(1, stops - starts + 1 - rule.q * half))
+            found.append(np.stack([np.full(len(some), x) for x in (of_doc[n], of_item[n], low[n])] + [some]))
+        return np.concatenate(found, axis=1) if found else none
+
+    def edits(self, docs: list[str], doc: np.ndarray, item: np.ndarray, low: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Least edits of each item[start:stop] against its document on diagonals low .. low + 2(k + 1) - 1.
+
+        Both ends of the document stretch are free inside the band; the stretches are taken side by side.
         """
         width = 2 * (self.rule.edits + 1)
-        text = self.texts[item][lo : hi + self.rule.q]
-        inf = len(text) + width
-        budget = self.rule.edits * max(1, len(text) // self.shortest[item])
-        prev = [0] * width
-        for i, char in enumerate(text):
-            row = [inf] * width
-            for j in range(width):
-                p = lo + i + low + j
-                match = 0 <= p < len(doc) and doc[p] == char
-                best = prev[j] + (not match)
-                if j + 1 < width:
-                    best = min(best, prev[j + 1] + 1)
-                if j and row[j - 1] + 1 < best:
-                    best = row[j - 1] + 1
-                row[j] = best
-            prev = row
-            if min(row) > budget:
-                return len(text), None
-        return len(text), min(prev)
+        codes, texts = _codes("".join(docs)), _codes("".join(self.texts))
+        size = np.fromiter(map(len, docs), np.int64, len(docs))
+        offset = np.cumsum(size) - size
+        held = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
+        base = np.cumsum(held) - held
+        length = stop - start
+        out = np.zeros(len(doc), np.int64)
+        by_length = np.argsort(-length, kind="stable")
+        for part in np.split(by_length, range(4096, len(by_length), 4096)):
+            cost = np.zeros((len(part), width), np.int32)
+            first = (start + low)[part][:, None] + np.arange(width)
+            for i in range(int(length[part[0]]) if len(part) else 0):
+                live = int(np.searchsorted(-length[part], -i))  # the longer ones come first
+                rows = part[:live]
+                at = first[:live] + i
+                inside = (at >= 0) & (at < size[doc[rows]][:, None])
+                char = texts[base[item[rows]] + start[rows] + i]
+                match = inside & (codes[np.where(inside, at + offset[doc[rows]][:, None], 0)] == char[:, None])
+                prev = cost[:live]
+                row = prev + ~match
+                row[:, :-1] = np.minimum(row[:, :-1], prev[:, 1:] + 1)
+                for j in range(1, width):
+                    row[:, j] = np.minimum(row[:, j], row[:, j - 1] + 1)
+                cost[:live] = row
+            out[part] = cost.min(axis=1)
+        return out
+
+    def passages(self, docs: list[str]) -> dict[tuple[int, int], tuple[int, int, int, int]]:
+        """(characters, edits, item position, diagonal) of the longest passage of each (document, item).
+
+        A passage is a stretch of the item's words on one band of which every run of min_words
+        words is in the document with at most k edits; of equally long ones that with fewest edits.
+        """
+        doc, item, low, run = self.bands(docs)
+        if not len(doc):
+            return {}
+        start = np.array([self.begins[i][r] for i, r in zip(item, run, strict=True)])
+        stop = np.array([self.stops[i][r] for i, r in zip(item, run, strict=True)])
+        good = self.edits(docs, doc, item, low, start, stop) <= self.rule.edits
+        doc, item, low, run, start, stop = (x[good] for x in (doc, item, low, run, start, stop))
+        if not len(doc):
+            return {}
+        new = np.ones(len(doc), bool)  # where a stretch begins
+        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (low[1:] != low[:-1]) | (run[1:] != run[:-1] + 1)
+        heads = np.flatnonzero(new)
+        doc, item, low, start, stop = doc[heads], item[heads], low[heads], start[heads], stop[np.append(heads[1:], len(doc)) - 1]
+        cost = self.edits(docs, doc, item, low, start, stop)
+        best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+        for d, i, w, s, e, c in zip(*(x.tolist() for x in (doc, item, low, start, stop, cost)), strict=True):
+            if (d, i) not in best or (e - s, -c) > (best[d, i][0], -best[d, i][1]):
+                best[d, i] = (e - s, c, s, w)
+        return best
 
     def longest_run(self, words: list[str], item: int) -> int:
         """Longest run of words that the document and the item share, if it reaches min_words, else 0."""
@@ -241,18 +283,12 @@ def _scan(index: LeakIndex):
                     size += len(texts[end] or "")
                     end += 1
                 joined = [joined_words(t) for t in texts[start:end]]
-                best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-                for d, i, low, extent, lo, hi in index.bands(joined):  # the longest region of each pair
-                    best[d, i] = max(best.get((d, i), (-1, 0, 0, 0)), (int(extent), int(low), int(lo), int(hi)))
                 rows = []
-                for (d, i), (_, low, lo, hi) in best.items():
-                    chars, edits = index.align(joined[d], i, low, lo, hi)
+                for (d, i), (chars, edits, lo, low) in index.passages(joined).items():
                     exact = index.longest_run(joined[d].split(" "), i)
-                    if exact or edits is not None:
-                        rows.append((ids[start + d], index.ids[i], exact, chars, edits, lo, max(0, low + lo)))
+                    rows.append((ids[start + d], index.ids[i], exact, chars, edits, lo, max(0, low + lo)))
                 if rows:
-                    found = pd.DataFrame(rows, columns=["doc_id", "item_id", "words", "matched_chars", "edits", "item_start", "doc_start"])
-                    yield found.astype({"edits": "Int32"})
+                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "words", "matched_chars", "edits", "item_start", "doc_start"])
                 start = end
 
     return run
@@ -268,12 +304,12 @@ def leaked_passages(
     item_text_col: str = "text",
     max_index_mb: int = 64,
 ) -> DataFrame:
-    """One row per document and item with a passage in common: `min_words` words of the item with
-    at most `rule.edits` edits a passage length.
+    """One row per document and item with a passage in common: `min_words` whole words of the item
+    in a row, found in the document with at most `rule.edits` edits.
 
     `words` is the longest run of words both have, if it reaches rule.min_words, else 0
-    (an edited passage, for which `edits` over `matched_chars` tell how near it is; edits are
-    null where the exact words lie in a longer stretch over the edit budget).
+    (an edited passage, for which `edits` over `matched_chars` tell how near it is).  These
+    describe the longest stretch of item words of which every run of min_words qualifies.
 
     Null and empty texts match nothing; items shorter than min_words are no passages;
     repeated rows of a document come out once; an empty table gives no rows; other columns

@@ -214,6 +214,15 @@ def test_matching(spark):
     assert column(spark, [("Water bottles", "water_in"), ("Water", "water_in")], matching.blacklisted(F.col("a"), F.col("b"), listed), "a string, b string") == [True, False]
 
 
+def test_unmatched_facts_get_a_verdict(spark):
+    registry = spark.createDataFrame([("water_in", "Total water withdrawal", "L", ["water intake"])], "canonical_id string, display_name string, unit string, aliases array<string>")
+    facts = spark.createDataFrame([("1", "total water withdrawal", "L"), ("3", "chess club", None), ("4", None, "L")], "key string, name string, unit string")
+    decided = matching.decide(matching.candidates(facts, registry, unmatched=True))
+    assert {r.key: (r.canonical_id, r.score, r.margin, r.verdict) for r in decided.collect()} == {"1": ("water_in", 1.0, 1.0, "accept"), "3": (None, 0.0, 0.0, "new"), "4": (None, 0.0, 0.0, "new")}
+    truth = spark.createDataFrame([("1", "water_in"), ("3", "water_in")], "key string, expected string")
+    assert [(r.facts, r.right) for r in matching.calibrate(decided, truth).collect()] == [(2, 1)]
+
+
 def test_nearest_equals_brute_force(spark):
     import numpy as np
 

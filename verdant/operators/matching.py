@@ -24,7 +24,7 @@ def _best_ratio(name: pd.Series, names: pd.Series) -> pd.Series:
     return pd.Series([max((sequence_ratio(n, x) for x in xs), default=0.0) for n, xs in zip(name, names)], dtype="float64")
 
 
-def candidates(facts: DataFrame, registry: DataFrame, shortlist: int = 8) -> DataFrame:
+def candidates(facts: DataFrame, registry: DataFrame, shortlist: int = 8, unmatched: bool = False) -> DataFrame:
     """(key, canonical_id, definition, core, alias, blocked, score): the shortlist of each fact, scored.
 
     facts: key, name, unit.  Vectors meet on shared slots; the sequence ratios, which no
@@ -39,13 +39,14 @@ def candidates(facts: DataFrame, registry: DataFrame, shortlist: int = 8) -> Dat
         "text", "canonical_id", "display_name", F.col("score").alias("definition"), F.col("unit").alias("c_unit"),
         _best_ratio("text", F.array("display_name")).alias("core"), _best_ratio("text", "names").alias("alias"),
     )
-    joined = facts.join(scored, facts["name"] == scored["text"])
+    joined = facts.join(scored, facts["name"] == scored["text"], "left" if unmatched else "inner")
+    joined = joined.fillna(0.0, ["definition", "core", "alias"])
     why = gate_reasons(semantics_of(F.lower("name")), semantics_of(F.lower("display_name")), unit_family(F.col("unit")), unit_family(F.col("c_unit")))
     fits = families_compatible(unit_family(F.col("unit")), unit_family(F.col("c_unit")), F.lit("scalar"))
     blocked = (F.size(F.filter(why, lambda w: w != "role_mismatch")) > 0) | ~fits
     a, b, c = WEIGHTS
     weighted = a * F.col("definition") + b * F.col("core") + c * F.col("alias")
-    score = F.round(F.when(blocked, 0.0).otherwise(F.least(F.lit(1.0), weighted)), 6)
+    score = F.round(F.when(blocked | F.col("canonical_id").isNull(), 0.0).otherwise(F.least(F.lit(1.0), weighted)), 6)
     return joined.select("key", "canonical_id", "definition", "core", "alias", blocked.alias("blocked"), score.alias("score"))
 
 

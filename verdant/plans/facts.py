@@ -59,14 +59,14 @@ def period_types(spark: SparkSession, folder: str) -> DataFrame:
     return star.facts(spark, folder).select("fact_id", say.period_type(F.col("period_type"), F.col("period"), F.col("evidence"), F.col("fact_type")).alias("period_type"))
 
 
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
+def _scored(spark: SparkSession, folder: str, unmatched: bool = True) -> DataFrame:
     facts = star.facts(spark, folder).select(F.col("fact_id").alias("key"), F.lower(F.trim("metric")).alias("name"), "unit")
-    return matching.candidates(facts, read_table(spark, folder, "consumer_master_registry_v1"))
+    return matching.candidates(facts, read_table(spark, folder, "consumer_master_registry_v1"), unmatched=unmatched)
 
 
 @query("metric_candidates")
 def metric_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, folder)
+    return _scored(spark, folder, unmatched=False)
 
 
 @query("metric_decisions")

@@ -1,6 +1,10 @@
 """Golden rows and fixtures for the core functions, operators, sources and streams."""
 
+import hashlib
 import json
+import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -214,6 +218,36 @@ def test_matching(spark):
     assert column(spark, [("Water bottles", "water_in"), ("Water", "water_in")], matching.blacklisted(F.col("a"), F.col("b"), listed), "a string, b string") == [True, False]
 
 
+def test_definition_score_is_weighted_words_and_pairs(spark):
+    entries = [("w", "Total water consumption"), ("e", "Total energy consumption"), ("g", "Total emissions during the year"), ("x", "")]
+    stop = {*"the a an of and or to for in on by with within from that this is are be as at into during across".split()}
+
+    def tokens(text):
+        words = [w for w in re.findall("[a-z0-9]+", text.lower()) if w not in stop]
+        return words + [f"{a}_{b}" for a, b in zip(words, words[1:])]
+
+    df = Counter(t for _, text in entries for t in set(tokens(text)))
+    idf = {t: math.log((1 + len(entries)) / (1 + n)) + 1 for t, n in df.items()}
+
+    def vector(text):
+        v = Counter()
+        for t in tokens(text):
+            v[int(hashlib.md5(t.encode()).hexdigest(), 16) % 512] += idf.get(t, 1.0)
+        size = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {k: x / size for k, x in v.items()}
+
+    def score(a, b):
+        x, y = vector(a), vector(b)
+        return sum(w * y.get(k, 0.0) for k, w in x.items())
+
+    registry = spark.createDataFrame([(i, t, "L", None) for i, t in entries], "canonical_id string, display_name string, unit string, aliases array<string>")
+    names = ["water consumption in total", "emissions across total energy", "water"]
+    facts = spark.createDataFrame([(n, n, "L") for n in names], "key string, name string, unit string")
+    got = {(r.key, r.canonical_id): r.definition for r in matching.candidates(facts, registry).collect()}
+    want = {(n, i): round(score(n, t), 6) for n in names for i, t in entries if score(n, t) > 0}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
+
+
 def test_unmatched_facts_get_a_verdict(spark):
     registry = spark.createDataFrame([("water_in", "Total water withdrawal", "L", ["water intake"])], "canonical_id string, display_name string, unit string, aliases array<string>")
     facts = spark.createDataFrame([("1", "total water withdrawal", "L"), ("3", "chess club", None), ("4", None, "L")], "key string, name string, unit string")

@@ -27,14 +27,17 @@ def _best_ratio(name: pd.Series, names: pd.Series) -> pd.Series:
 def candidates(facts: DataFrame, registry: DataFrame, shortlist: int = 8, unmatched: bool = False) -> DataFrame:
     """(key, canonical_id, definition, core, alias, blocked, score): the shortlist of each fact, scored.
 
-    facts: key, name, unit.  Vectors meet on shared slots; the sequence ratios, which no
+    facts: key, name, unit.  Vectors of words and word pairs, weighted by their rarity in the
+    registry, meet on shared slots; the sequence ratios, which no
     built-in expression equals, are computed for the shortlist only.  A candidate of another
     unit family, or whose subject, source or polarity contradicts the fact's, scores 0.
     """
     names = facts.select(F.col("name").alias("text")).where("text is not null").distinct()
-    vectors = resolve.hashed_vectors(names, "text", "text")
+    idf = resolve.idf_weights(registry.select("display_name"), resolve.definition_tokens(F.col("display_name")))
+    vectors = resolve.hashed_vectors(names, "text", "text", idf, resolve.definition_tokens)
     entries = registry.select("canonical_id", "display_name", "unit", F.concat(F.array("display_name", "canonical_id"), F.coalesce("aliases", F.array().cast("array<string>"))).alias("names"))
-    top = resolve.top_matches(vectors, resolve.hashed_vectors(entries, "canonical_id", "display_name"), "text", "canonical_id", shortlist)
+    known = resolve.hashed_vectors(entries, "canonical_id", "display_name", idf, resolve.definition_tokens)
+    top = resolve.top_matches(vectors, known, "text", "canonical_id", shortlist)
     scored = top.join(entries, "canonical_id").select(
         "text", "canonical_id", "display_name", F.col("score").alias("definition"), F.col("unit").alias("c_unit"),
         _best_ratio("text", F.array("display_name")).alias("core"), _best_ratio("text", "names").alias("alias"),

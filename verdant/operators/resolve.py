@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,18 @@ def by_alias(rows: DataFrame, name: str, aliases: DataFrame) -> DataFrame:
     return keyed.join(aliases.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
 
 
+# Words left out of definitions besides STOPWORDS.
+DEFINITION_STOPWORDS = "as at into during across".split()
+
+
+def definition_tokens(text: Column) -> Column:
+    """Words of a definition and its pairs of neighbouring words, as `a_b`."""
+    words = F.filter(word_tokens(text), lambda w: ~w.isin(*DEFINITION_STOPWORDS))
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit("_"), b))
+    return F.concat(words, pairs)
+
+
 def idf_weights(texts: DataFrame, tokens: Column) -> DataFrame:
     """(token, df, idf): ln((1 + N) / (1 + df)) + 1 over all rows."""
     total = texts.agg(F.count(F.lit(1)).alias("_total")).withColumn("_one", F.lit(1))
@@ -29,9 +43,9 @@ def idf_weights(texts: DataFrame, tokens: Column) -> DataFrame:
     return df.join(F.broadcast(total), "_one").select("token", "df", (F.log((F.col("_total") + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
 
 
-def hashed_vectors(texts: DataFrame, key: str, text: str, idf: DataFrame | None = None) -> DataFrame:
-    """(key, slot, w): sparse unit vectors over 512 hashed slots of the text's words."""
-    long = texts.select(F.col(key), F.explode(word_tokens(F.col(text))).alias("token"))
+def hashed_vectors(texts: DataFrame, key: str, text: str, idf: DataFrame | None = None, tokens: Callable[[Column], Column] = word_tokens) -> DataFrame:
+    """(key, slot, w): sparse unit vectors over 512 hashed slots of the text's tokens; those `idf` does not know weigh 1."""
+    long = texts.select(F.col(key), F.explode(tokens(F.col(text))).alias("token"))
     weighted = long.join(idf.select("token", "idf"), "token", "left").withColumn("x", F.coalesce("idf", F.lit(1.0))) if idf is not None else long.withColumn("x", F.lit(1.0))
     slots = weighted.groupBy(key, hashed_slot(F.col("token")).alias("slot")).agg(F.sum("x").alias("x"))
     length = slots.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_len"))

@@ -248,6 +248,13 @@ def test_definition_score_is_weighted_words_and_pairs(spark):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
 
 
+def test_canonical_duplicates_keep_their_chunks(spark):
+    rows = [("3", "partial", "c9"), ("1", "partial", "c2"), ("2", "normalized", "c5"), ("4", None, "c2"), ("5", "partial", None), ("6", "partial", " "), ("7", "partial", "c5")]
+    frame = spark.createDataFrame([("d", "m", "2024", "5", *r) for r in rows], "source_doc_id string, canonical_id string, period_label string, raw_value string, obs_id string, normalization_status string, chunk_id string")
+    kept = dedup.dedup_by_canonical(frame, {"normalized": 0, "partial": 1}, "chunk_id").collect()
+    assert [(r.obs_id, r.members, r.merged) for r in kept] == [("2", 7, ["c2", "c5", "c9"])]
+
+
 def test_unmatched_facts_get_a_verdict(spark):
     registry = spark.createDataFrame([("water_in", "Total water withdrawal", "L", ["water intake"])], "canonical_id string, display_name string, unit string, aliases array<string>")
     facts = spark.createDataFrame([("1", "total water withdrawal", "L"), ("3", "chess club", None), ("4", None, "L")], "key string, name string, unit string")

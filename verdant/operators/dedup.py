@@ -82,15 +82,24 @@ def dedup_cascade(facts: DataFrame) -> DataFrame:
     return rows.drop("_score")
 
 
-def dedup_by_canonical(facts: DataFrame, order: dict[str, int]) -> DataFrame:
-    """One row per (source_doc_id, canonical_id, period_label, raw_value): the better status, then the smaller obs_id; `members` counts the group."""
+def dedup_by_canonical(facts: DataFrame, order: dict[str, int], chunk: str | None = None) -> DataFrame:
+    """One row per (source_doc_id, canonical_id, period_label, raw_value): the better status, then the smaller obs_id; `members` counts the group.
+
+    With `chunk`, `merged` holds the sorted distinct chunk ids of the rows replaced, blank ones left out.
+    """
     rank = F.lit(len(order))
     for status, place in order.items():
         rank = F.when(F.col("normalization_status") == status, place).otherwise(rank)
     keys = ["source_doc_id", "canonical_id", "period_label", "raw_value"]
     known = facts.where("canonical_id is not null")
-    best = known.withColumn("_rank", rank).groupBy(*keys).agg(F.min(F.struct("_rank", "obs_id")).alias("b"), F.count(F.lit(1)).alias("members"))
-    return best.select(F.col("b.obs_id").alias("obs_id"), *keys, "members")
+    ranked = known.withColumn("_rank", rank)
+    found = [F.min(F.struct("_rank", "obs_id")).alias("b"), F.count(F.lit(1)).alias("members")]
+    if chunk is None:
+        return ranked.groupBy(*keys).agg(*found).select(F.col("b.obs_id").alias("obs_id"), *keys, "members")
+    best = ranked.groupBy(*keys).agg(*found, F.collect_list(F.struct("obs_id", F.col(chunk).alias("chunk"))).alias("_rows"))
+    replaced = F.filter("_rows", lambda r: (r["obs_id"] != F.col("b.obs_id")) & (F.trim(F.coalesce(r["chunk"], F.lit(""))) != ""))
+    merged = F.array_sort(F.array_distinct(F.transform(replaced, lambda r: r["chunk"])))
+    return best.select(F.col("b.obs_id").alias("obs_id"), *keys, "members", merged.alias("merged"))
 
 
 def renumber_candidates(rows: DataFrame, group: str, keys: list[Column], seq: str) -> DataFrame:

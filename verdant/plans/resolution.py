@@ -44,6 +44,12 @@ def dedup_by_canonical(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.dedup_by_canonical(star.observations(spark, folder), {"normalized": 0, "partial": 1})
 
 
+@query("dedup_by_canonical_chunks")
+def dedup_by_canonical_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """dedup_by_canonical with `merged`, the chunk ids of the rows replaced."""
+    return dedup.dedup_by_canonical(star.observations(spark, folder), {"normalized": 0, "partial": 1}, "chunk_id")
+
+
 @query("renumbered_candidates", f"""
 WITH f AS (SELECT chunk_id, min(fact_id) AS fact_id FROM {FACTS} GROUP BY chunk_id, {_CL.format(c='evidence')}, {_CL.format(c='value')}, {_CL.format(c='unit')})
 SELECT chunk_id, fact_id, 'c' || lpad(CAST(row_number() OVER (PARTITION BY chunk_id ORDER BY fact_id) AS VARCHAR), 3, '0') AS candidate FROM f""")

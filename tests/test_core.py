@@ -255,6 +255,27 @@ def test_canonical_duplicates_keep_their_chunks(spark):
     assert [(r.obs_id, r.members, r.merged) for r in kept] == [("2", 7, ["c2", "c5", "c9"])]
 
 
+def test_page_exclusion(spark):
+    pages = [
+        ("Mr Rao DIN: 00123 is a non-executive director", "board_bio"),
+        ("Anil Kumar Rao sits\nMary Ann Jones sits\nPeter Paul Smith sits\nJohn Henry Ford sits", "board_bio"),
+        ("to the members of the company", "auditor"),
+        ("pursuant to section 12 of the act", "legal_notice"),
+        ("pursuant to section 12 water use, water use, water use, water use, water use", None),
+        ("12 13 14 15 16 17 18 19 20 total", "numeric"),
+        ("8 of 10 words: 1 2 3 4 5 6 water", None),
+        ("5 notes to the  consolidated financial statements", "statement_notes"),
+        ("exhibit list of 1.1 1.2 1.3 2.1 10.2", "exhibit_index"),
+        ("1 disclosure reference GRI 303", "reference_index"),
+        ("1 certificate of non-disqualification of directors", "director_certificate"),
+        ("Water use fell to 5 kL", None), ("", None), (None, None),
+    ]
+    why = text.page_exclusion(F.col("a"), F.array(F.lit("water use"), F.lit("waste")))
+    assert column(spark, [(t,) for t, _ in pages], why, "a string") == [w for _, w in pages]
+    hits = text.keyword_hits(F.col("a"), F.array(F.lit("water use"), F.lit("waste")))
+    assert column(spark, [("Waste, wastes, groundwater used waste",)], hits, "a string") == [3]
+
+
 def test_unmatched_facts_get_a_verdict(spark):
     registry = spark.createDataFrame([("water_in", "Total water withdrawal", "L", ["water intake"])], "canonical_id string, display_name string, unit string, aliases array<string>")
     facts = spark.createDataFrame([("1", "total water withdrawal", "L"), ("3", "chess club", None), ("4", None, "L")], "key string, name string, unit string")

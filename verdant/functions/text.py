@@ -70,6 +70,54 @@ def word_tokens(text: Column) -> Column:
     return F.filter(words, lambda w: ~w.isin(*STOPWORDS))
 
 
+def keyword_hits(text: Column, keywords: Column) -> Column:
+    """How often the keywords of an array occur: phrases anywhere, single words between other characters than a-z and 0-9."""
+    lower = F.lower(text)
+
+    def hits(word: Column) -> Column:
+        quoted = F.concat(F.lit(r"\Q"), word, F.lit(r"\E"))
+        whole = F.concat(F.lit("(?<![a-z0-9])"), quoted, F.lit("(?![a-z0-9])"))
+        return F.regexp_count(lower, F.when(word.contains(" ") | word.contains("&"), quoted).otherwise(whole))
+
+    return F.aggregate(keywords, F.lit(0), lambda total, word: total + hits(word))
+
+
+def page_exclusion(text: Column, keywords: Column) -> Column:
+    """Why a page is left out, the first that holds: board_bio, auditor, legal_notice, numeric, statement_notes,
+
+    exhibit_index, reference_index or director_certificate; null for a page that stays.
+    keywords: an array of the lower-case names of the registry.
+    """
+    t = F.coalesce(text, F.lit(""))
+    lower, count = F.lower(t), keyword_hits(t, keywords)
+    spaced = [F.lower(F.regexp_replace(F.substring(t, 1, n), r"(?U)\s+", " ")) for n in (1600, 1800)]
+    words = F.filter(F.split(t, r"(?U)\s+"), lambda w: w != "")
+    opening = F.array_join(F.slice(words, 1, 100), " ")
+    paragraphs = F.filter(F.split(t, r"\n+"), lambda x: x.rlike(r"(?U)\S"))
+    dense = F.when(F.size(paragraphs) > 0, F.size(words) / F.size(paragraphs)).otherwise(999.0)
+    names = F.regexp_count(opening, F.lit(r"(?U)\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,3}\b"))
+    din = F.substring(t, 1, 1200).rlike(r"(?U)\bDIN\s*:\s*\d+") & F.lower(F.substring(t, 1, 1200)).rlike(r"(?U)\b(non[-\s]?executive|chairman|director|committee|board)\b")
+    bio = din | ((numeric_tokens(opening) == 0) & (names > 3) & (dense < 55))
+    auditor = lower.contains("to the members of") | lower.contains("we have audited") | lower.contains("independent auditor")
+    meeting = F.substring(lower, 1, 1200).rlike("notice of (the )?annual general meeting")
+    legal = lower.contains("notice is hereby given") | lower.contains("pursuant to section") | lower.contains("companies act")
+    numeric = F.size(F.filter(words, lambda w: w.rlike(r"(?U)\d"))) > 0.80 * F.size(words)
+    notes = r"(?U)\bnotes\s+(?:to\s+(?:the\s+)?(?:consolidated\s+|standalone\s+)?|forming\s+part\s+of\s+(?:the\s+)?)financial\s+statements\b"
+    numbered = F.regexp_count(F.substring(lower, 1, 1600), F.lit(r"(?U)\b(?:exhibit\s+)?\d{1,2}\.\d{1,2}\b"))
+    exhibit = (F.regexp_count(lower, F.lit("incorporated by reference")) >= 2) | (F.substring(lower, 1, 1600).contains("exhibit") & (numbered >= 5))
+    return (
+        F.when(bio, "board_bio")
+        .when(auditor, "auditor")
+        .when(meeting, "legal_notice")
+        .when(F.when(legal, count < 5).otherwise(False), "legal_notice")
+        .when(F.when(numeric, count < 5).otherwise(False), "numeric")
+        .when(F.when(spaced[0].rlike(notes), count < 25).otherwise(False), "statement_notes")
+        .when(exhibit, "exhibit_index")
+        .when(spaced[1].contains("disclosure reference") & spaced[1].contains("gri"), "reference_index")
+        .when(spaced[0].contains("non-disqualification of directors"), "director_certificate")
+    )
+
+
 def metric_key(text: Column) -> Column:
     """Sorted distinct words of a metric without numbers, the plural s of words over four letters dropped."""
     words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z% ]+", " ")), r"\s+")

@@ -276,6 +276,13 @@ def test_page_exclusion(spark):
     assert column(spark, [("Waste, wastes, groundwater used waste",)], hits, "a string") == [3]
 
 
+def test_unit_words_for_nothing_leave_the_unit_to_the_metric(spark):
+    given = [None, "", " - ", "—", "n/a", "N/A ", "\tnil", "none", "null", "\u00a0na"]
+    rows = spark.createDataFrame([(str(i), "12", u, "Water withdrawal (kL)", None) for i, u in enumerate(given)] + [("t", "12", "GJ", "Water withdrawal (kL)", None)], "k string, v string, u string, m string, e string")
+    got = {r.k: (r.unit_text, r.found_in) for r in units.read_quantities(rows, "k", "v", "u", "m", "e").collect()}
+    assert {got[str(i)] for i in range(len(given))} == {("kL", "metric")} and got["t"] == ("GJ", "unit")
+
+
 def test_unmatched_facts_get_a_verdict(spark):
     registry = spark.createDataFrame([("water_in", "Total water withdrawal", "L", ["water intake"])], "canonical_id string, display_name string, unit string, aliases array<string>")
     facts = spark.createDataFrame([("1", "total water withdrawal", "L"), ("3", "chess club", None), ("4", None, "L")], "key string, name string, unit string")

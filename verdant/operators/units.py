@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdant.functions.quantity import SCALES, exact_unit, read_quantity, reference_units, unit_key, unit_tokens
+from verdant.functions.quantity import MISSING, SCALES, exact_unit, read_quantity, reference_units, unit_key, unit_tokens
 from verdant.functions.udf import once
 from verdant.session import cut_lineage
 
@@ -126,10 +126,11 @@ def read_quantities(rows: DataFrame, key: str, value: str, unit: str, metric: st
     """(key, number, beside, unit_text, found_in) of each distinct key whose value has a number.
 
     See read_quantity for where the unit is taken from.  The longer texts are handed to
-    Python only where the unit column is blank.
+    Python only where the unit column states none, by the same test as read_quantity.
     """
     nothing = F.lit(None).cast("string")
-    stated = F.length(F.trim(F.coalesce(F.col(unit), F.lit("")))) > 1
+    word = F.lower(F.regexp_replace(F.coalesce(F.col(unit).cast("string"), F.lit("")), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
+    stated = ~word.isin(*sorted(MISSING))
     q = _read(
         F.col(value).cast("string"),
         F.col(unit).cast("string"),

@@ -17,7 +17,7 @@ def rows_of(df):
 
 def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "one two three four", "a"), (2, "one two three four!", "A "), (3, None, None), (None, "x y", "b")], "doc_id long, text string, source string")
-    odd = clashing(docs, "id", "look", "exact", "d", "changed", "words", "item_id", "n_tokens", "copies", "size", "part", "rank", "entry", "id_hi", "id_lo", "block", "counts")
+    odd = clashing(docs, "id", "look", "exact", "d", "changed", "words", "item_id", "n_tokens", "copies", "size", "part", "rank", "key", "size", "place", "slot", "id_hi", "id_lo", "block", "counts")
     assert rows_of(skeleton.look_alike_pairs(docs)) == rows_of(skeleton.look_alike_pairs(odd))
     assert rows_of(skeleton.consistent_texts(docs)) == rows_of(skeleton.consistent_texts(odd))
     items = spark.createDataFrame([(7, "one two three four")], "item_id long, text string")
@@ -26,7 +26,7 @@ def test_clashing_columns(spark):
     targets = spark.createDataFrame([("a", 0.5, 2), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
     for a, b in zip(mixing.mix_sources(docs, targets), mixing.mix_sources(odd, clashing(targets, "available", "wanted", "total"))):
         assert rows_of(a) == rows_of(b)
-    near = neardup.NearRule(words=1, similarity=0.5, sketch_bits=16)
+    near = neardup.NearRule(words=1, similarity=0.5)
     a, b = (neardup.near_duplicates(x, "doc_id", F.col("text"), near) for x in (docs, odd))
     assert rows_of(a.pairs()) == rows_of(b.pairs()) and rows_of(a.classes()) == rows_of(b.classes())
     long = docs.withColumn("text", F.repeat(F.col("text"), 400))

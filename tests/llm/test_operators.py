@@ -276,9 +276,24 @@ def test_near_duplicates_match_brute_force(spark, k, t):
         texts.append("-".join(w) if rng.random() < 0.2 else " ".join(w).upper())
     texts += [None, "", "one two", texts[0], "long text " * 70_000, "long text " * 70_000]
     frame = docs(spark, texts).unionByName(docs(spark, texts[:5]))
-    rule = neardup.NearRule(words=k, similarity=t, sketch_bits=16)
+    rule = neardup.NearRule(words=k, similarity=t)
     near = neardup.near_duplicates(frame, "doc_id", F.col("text"), rule)
     assert {(r.id_a, r.id_b) for r in near.pairs().distinct().collect()} == brute_pairs(texts, k, t)
     assert near.classes().count() == sum(len(neardup.plain_words(x or "")) >= k for x in texts)
     empty = neardup.near_duplicates(frame.limit(0), "doc_id", F.col("text"), rule)
     assert empty.pairs().count() == 0 and empty.classes().count() == 0 and empty.named_links().count() == 0
+
+
+def test_one_text_in_many_copies_and_long_texts(spark):
+    """Copies in every partition, sets past 65,535 shingles, and a tally of one and of many."""
+    rng = random.Random(8)
+    long = [f"v{rng.randrange(10**9)}" for _ in range(70_000)]
+    nearly = long[:35_000] + ["other"] * 40 + long[35_040:]
+    texts = ["hot text of a good many words that is copied over and over"] * 500 + ["hot text of a good many words that is copied over and again", " ".join(long), " ".join(nearly)]
+    frame = docs(spark, texts).repartition(7)
+    for tally in (1, 3, 50):
+        near = neardup.near_duplicates(frame, "doc_id", F.col("text"), neardup.NearRule(words=3, similarity=0.6, tally=tally))
+        links = {(r.class_a, r.class_b, round(r.similarity, 6)) for r in near.named_links().collect()}
+        sets = [set(zip(*(t.split()[j:] for j in range(3)))) for t in (texts[0], texts[500], texts[501], texts[502])]
+        assert links == {(0, 500, round(len(sets[0] & sets[1]) / len(sets[0] | sets[1]), 6)), (501, 502, round(len(sets[2] & sets[3]) / len(sets[2] | sets[3]), 6))}
+        assert near.classes().where("class_id = 0").first().copies == 500

@@ -1,20 +1,26 @@
 """Problem 4: records whose texts are nearly the same.
 
 Method: byte-position inverted index with count filtering.  A text is the set of its word
-shingles; the hash of a shingle names one of 2**24 positions and the byte that stands there,
-so the set is a sparse row of positional bytes.  Two texts with Jaccard similarity t share
-at least ceil(t / (1 + t) * (n + m)) of them, the guaranteed minimum.
-
-* Index: only the rarest positional bytes of a text are posted, as many as the guaranteed
-  minimum leaves room to miss; a pair that reaches the minimum meets in one of them.
-* Count filter: every posting carries an 88-bit parity fingerprint of the whole set.  The
-  bits in which two fingerprints differ bound the positional bytes that are not shared, so
-  pairs that cannot reach the minimum are dropped inside the join, before any shuffle.
-* Verification: the Jaccard similarity of what is left is computed from the words.
-
-Both filters are exact bounds: no link is lost.  Rarity comes from a counting sketch of
-fixed size filled from all rows; it only orders the bytes, so its collisions cost time and
-never results.  Equal sets form one class: links are made between classes.
+shingles, written as a sparse row of positional bytes: the upper 56 bits of a shingle's hash
+name a position, the lower 8 are the byte that stands there.  Two texts of n and m
+positional bytes with Jaccard similarity t share at least T = ceil(t / (1 + t) * (n + m)).
+
+* Index: the positional bytes of a text are ordered from rare to frequent and only the first
+  n - ceil(t n) + 1 are posted, so the longest lists are never read in full.
+* Tally: the postings that two texts share are counted for each pair.  Of the first
+  n - T + c and m - T + c places at least c must be shared (fewer where less was posted):
+  this is the guaranteed minimum, and pairs that do not reach it are dropped.
+* Verification: the Jaccard similarity of what is left is computed from the whole sets.
+
+Every posting also carries an 88-bit parity fingerprint of the whole set.  Each positional
+byte that is not shared changes at most one of its bits, which bounds what a pair can share
+at all; pairs that cannot reach T are not even tallied.  All filters are exact bounds: no
+link is lost.  Rarity comes from a counting sketch filled from all rows, with about as many
+slots as there are shingles; it only orders the bytes, so its collisions cost time and never
+results.  Equal sets form one class: links are made between classes.
+
+The texts are read three times (classes and counts, postings, the sets of the candidates);
+nothing but 16-byte class ids and the posted bytes is shuffled of texts without a partner.
 """
 
 from __future__ import annotations
@@ -28,27 +34,31 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from verdant.functions.udf import once
 from verdant.session import cut_lineage, spread
 
+LEAST_BITS, MOST_BITS = 16, 26  # 64 KB to 64 MB of sketch
+_BLOCK = 1 << 16  # slots of a sketch that travel together
 _WORD = re.compile(r"[a-z0-9]+")
-_SEEN_LIMIT = 200_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 @dataclass(frozen=True)
 class NearRule:
-    """words: shingle length; similarity: least Jaccard; sketch_bits: log2 of the sketch's slots."""
+    """words: shingle length; similarity: least Jaccard; tally: shared postings c that are
+    asked for where the prefixes allow it; sketch_bits: log2 of the sketch's slots, by the
+    size of the texts if None."""
 
     words: int = 5
     similarity: float = 0.8
-    sketch_bits: int = 22
+    tally: int = 3
+    sketch_bits: int | None = None
 
     def __post_init__(self) -> None:
-        if self.words < 1 or not 0 < self.similarity <= 1 or not 10 <= self.sketch_bits <= 26:
-            raise ValueError("words >= 1, 0 < similarity <= 1 and 10 <= sketch_bits <= 26 are needed")
+        if self.words < 1 or not 0 < self.similarity <= 1 or self.tally < 1:
+            raise ValueError("words >= 1, 0 < similarity <= 1 and tally >= 1 are needed")
+        if self.sketch_bits is not None and not LEAST_BITS <= self.sketch_bits <= MOST_BITS:
+            raise ValueError(f"sketch_bits from {LEAST_BITS} to {MOST_BITS}")
 
 
 def plain_words(text: str) -> list[str]:
@@ -148,146 +158,133 @@ def _chunks(batches: Iterator[pd.DataFrame], most: int = 1_000_000) -> Iterator[
             yield batch[part == p]
 
 
-def _count(rule: NearRule) -> Callable:
-    block = 1 << 16
+def _described(rule: NearRule, bits: int) -> Callable:
+    """The class of every text, and at the end of the partition its shingles counted by slot."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slots = np.zeros(1 << rule.sketch_bits, np.int64)
+        slots = np.zeros(1 << bits, np.uint32)
         for batch in _chunks(batches):
-            _, h = shingle_sets(batch["text"].tolist(), rule.words)
-            slots += np.bincount((h >> np.uint64(64 - rule.sketch_bits)).astype(np.int64), minlength=len(slots))
-        for i in range(0, len(slots), block):
-            part = slots[i : i + block]
-            if part.any():
-                yield pd.DataFrame({"block": [i // block], "counts": [zlib.compress(part.astype(np.int64).tobytes(), 1)]})
+            s = _describe(batch["text"].tolist(), rule.words)
+            slots += np.bincount((s.hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=len(slots)).astype(np.uint32)
+            yield pd.DataFrame({"id": batch["id"].to_numpy(), "id_hi": s.id_hi, "id_lo": s.id_lo, "block": -1, "counts": None})[s.size > 0]
+        yield from _blocks(slots, {"id": None, "id_hi": 0, "id_lo": 0})
 
     return run
 
 
-def _sum_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of a block added up and put on a logarithmic scale of one byte; 0 and 1 stay exact."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for b, counts in zip(batch["block"], batch["counts"]):
-            part = np.frombuffer(zlib.decompress(counts), np.int64)
-            sums[b] = sums[b] + part if b in sums else part
-    for b, part in sums.items():
-        scaled = np.where(part < 2, part, np.minimum(255, 2 + np.ceil(6 * np.log2(np.maximum(part, 1)))))
-        yield pd.DataFrame({"block": [b], "counts": [zlib.compress(scaled.astype(np.uint8).tobytes(), 1)]})
+def _blocks(slots: np.ndarray, rest: dict) -> Iterator[pd.DataFrame]:
+    for i in range(0, len(slots), _BLOCK):
+        part = slots[i : i + _BLOCK]
+        if part.any():
+            yield pd.DataFrame({**rest, "block": [i // _BLOCK], "counts": [zlib.compress(part.tobytes(), 1)]})
 
 
-def rarity_sketch(texts: DataFrame, rule: NearRule) -> np.ndarray:
-    """One byte for each slot: how often shingles of that slot occur in all texts.
+def _merged(kind: type, join: Callable, scale: Callable) -> Callable:
+    """Blocks of the same number brought together; a task holds the blocks that hash to it."""
 
-    Its size is fixed by the rule (4 MB at 22 bits), whatever the corpus.
-    """
-    parts = texts.select("text").mapInPandas(_count(rule), "block int, counts binary")
-    blocks = 1 << max(0, rule.sketch_bits - 16)
-    summed = parts.repartition(min(16, blocks), "block").mapInPandas(_sum_blocks, "block int, counts binary")
-    sketch = np.zeros(1 << rule.sketch_bits, np.uint8)
-    for row in summed.collect():  # at most 2**(sketch_bits - 16) rows
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, counts in zip(batch["block"], batch["counts"]):
+                part = np.frombuffer(zlib.decompress(counts), kind)
+                sums[b] = join(sums[b], part) if b in sums else scale(part, False)
+        for b, part in sums.items():
+            yield pd.DataFrame({"block": [b], "counts": [zlib.compress(scale(part, True).astype(np.uint8).tobytes(), 1)]})
+
+    return run
+
+
+def _logarithmic(part: np.ndarray, last: bool) -> np.ndarray:
+    """Counts on a scale of one byte, six steps to a factor of two; 0 and 1 stay exact."""
+    part = part.astype(np.int64)
+    return np.where(part < 2, part, np.minimum(255, 2 + np.ceil(6 * np.log2(np.maximum(part, 1))))) if last else part
+
+
+def _collected(blocks: DataFrame, size: int, run: Callable) -> np.ndarray:
+    """The blocks merged by block number and put together: size bytes, which is what bounds the driver's share."""
+    out = np.zeros(size, np.uint8)
+    for row in blocks.repartition("block").mapInPandas(run, "block int, counts binary").toLocalIterator():
         part = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
-        sketch[row["block"] << 16 : (row["block"] << 16) + len(part)] = part
-    return sketch
+        out[row["block"] * _BLOCK : row["block"] * _BLOCK + len(part)] = part
+    return out
 
 
-_POSTING = "entry long, id_hi long, id_lo long"  # entry: positional byte << 32 | size << 16 | place
-_MOST = 0xFFFF  # larger sizes are written as this one and pass the filters to the verification
+def sketch_bits(rows: DataFrame) -> int:
+    """A slot for every eight characters, about as many as there are shingles, within LEAST_BITS and MOST_BITS."""
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    return min(MOST_BITS, max(LEAST_BITS, (chars // 8).bit_length()))
 
 
-def _post(rule: NearRule, sketch) -> Callable:
-    t = rule.similarity
+_POSTING = "key long, size int, place int, id_hi long, id_lo long"
 
+
+def prefix_length(size: np.ndarray, similarity: float) -> np.ndarray:
+    """How many of a text's positional bytes are posted."""
+    return size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
+
+
+def _post(rule: NearRule, bits: int, sketch) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, seen = sketch.value, set()
         for batch in _chunks(batches):
             s = _describe(batch["text"].tolist(), rule.words)
-            # copies met before in this partition are posted once
-            new = np.array([_first(key, seen) for key in zip(s.id_hi.tolist(), s.id_lo.tolist())], bool)
-            rarity = counts[(s.hashes >> np.uint64(64 - rule.sketch_bits)).astype(np.int64)]
-            order = np.lexsort((s.hashes, rarity, s.owner))
+            new = _unseen(s, seen)  # copies within this partition are posted once
+            rarity = counts[(s.hashes >> np.uint64(64 - bits)).astype(np.int64)]
+            order = np.argsort((s.owner << 8) | rarity, kind="stable")  # the hashes of a text are in order already
             h, rarity, owner = s.hashes[order], rarity[order], s.owner[order]
             place = np.arange(len(h)) - s.start[owner]
-            prefix = s.size - np.ceil(t * s.size - 1e-9).astype(np.int64) + 1
-            kept = (place < prefix[owner]) & (rarity > 1) & new[owner]  # a byte that occurs once has no partner
-            owner, h = owner[kept], h[kept]
-            # the positional byte: 24 bits of position, 8 bits of what stands there
-            entry = (h & np.uint64(0xFFFFFFFF)) << np.uint64(32)
-            entry |= np.minimum(s.size[owner], _MOST).astype(np.uint64) << np.uint64(16)
-            entry |= np.minimum(place[kept], _MOST).astype(np.uint64)
-            yield pd.DataFrame({"entry": entry.view(np.int64), "id_hi": s.id_hi[owner], "id_lo": s.id_lo[owner]})
+            kept = (place < prefix_length(s.size, rule.similarity)[owner]) & (rarity > 1) & new[owner]  # what occurs once has no partner
+            owner = owner[kept]
+            yield pd.DataFrame(
+                {"key": h[kept].view(np.int64), "size": s.size[owner].astype(np.int32), "place": place[kept].astype(np.int32), "id_hi": s.id_hi[owner], "id_lo": s.id_lo[owner]}
+            )
 
     return run
 
 
-def _members(rule: NearRule) -> Callable:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _chunks(batches):
-            s = _describe(batch["text"].tolist(), rule.words)
-            yield pd.DataFrame({"id_hi": s.id_hi, "id_lo": s.id_lo, "id": batch["id"].to_numpy()})[s.size > 0]
+def _unseen(s: _Sets, seen: set) -> np.ndarray:
+    """Which texts are the first of their class in this partition; the set grows with the partition only."""
+    keys = list(zip(s.id_hi.tolist(), s.id_lo.tolist()))
+    new = np.zeros(len(keys), bool)
+    for i, key in enumerate(keys):
+        if key not in seen:
+            seen.add(key)
+            new[i] = True
+    return new
 
-    return run
+
+def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (_mix(hashes.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _texts_of(rule: NearRule, wanted) -> Callable:
-    """The texts whose class is in the filter of wanted ones, each class once a partition."""
+def _sets_of(rule: NearRule, bits: int, wanted) -> Callable:
+    """The sets of the texts whose id is in the filter of wanted ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits, seen = wanted.value, set()
         for batch in _chunks(batches):
-            s = _describe(batch["text"].tolist(), rule.words)
-            kept = (s.size > 0) & bits[_slots(s.id_hi, len(bits))]
-            out = pd.DataFrame({"id_hi": s.id_hi, "id_lo": s.id_lo, "text": batch["text"].to_numpy()})[kept]
-            fresh = np.array([_first(key, seen) for key in zip(out["id_hi"].tolist(), out["id_lo"].tolist())], bool)
-            yield out[fresh]
+            batch = batch[wanted.value[_slots(batch["slot"].to_numpy(np.int64), bits)] > 0]
+            if len(batch):
+                s = _describe(batch["text"].tolist(), rule.words)
+                sets = np.split(s.hashes.view(np.int64), s.start[1:])
+                yield pd.DataFrame({"id_hi": s.id_hi, "id_lo": s.id_lo, "hashes": sets})[s.size > 0]
 
     return run
 
 
-def _first(key: tuple[int, int], seen: set) -> bool:
-    if key in seen:
-        return False
-    if len(seen) < _SEEN_LIMIT:
-        seen.add(key)
-    return True
-
-
-def _slots(id_hi: np.ndarray, size: int) -> np.ndarray:
-    return (_mix(id_hi.view(np.uint64)) % np.uint64(size)).astype(np.int64)
-
-
-def wanted_filter(pairs: DataFrame, bits: int) -> np.ndarray:
-    """A filter of 2**bits slots, set for the classes of the pairs; its size is fixed, whatever the pairs.
+def wanted_filter(ids: DataFrame, bits: int) -> np.ndarray:
+    """A filter of 2**bits slots, set for the hashes in the column `slot`; its size is fixed, whatever the rows.
 
     It only keeps texts without a partner out of the shuffle; a slot set by chance costs time.
     """
-    size, block = 1 << bits, 1 << 16
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        flags = np.zeros(size, bool)
+        flags = np.zeros(1 << bits, np.uint8)
         for batch in batches:
-            for side in ("a_hi", "b_hi"):
-                flags[_slots(batch[side].to_numpy(np.int64), size)] = True
-        for i in range(0, size, block):
-            if flags[i : i + block].any():
-                yield pd.DataFrame({"block": [i // block], "counts": [zlib.compress(np.packbits(flags[i : i + block]).tobytes(), 1)]})
-
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        both: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for b, packed in zip(batch["block"], batch["counts"]):
-                part = np.frombuffer(zlib.decompress(packed), np.uint8)
-                both[b] = both[b] | part if b in both else part
-        for b, part in both.items():
-            yield pd.DataFrame({"block": [b], "counts": [zlib.compress(part.tobytes(), 1)]})
+            flags[_slots(batch["slot"].to_numpy(np.int64), bits)] = 1
+        yield from _blocks(flags, {})
 
-    schema = "block int, counts binary"
-    flags = np.zeros(size, bool)
-    joined = pairs.select("a_hi", "b_hi").mapInPandas(run, schema).repartition(min(16, max(1, size // block)), "block").mapInPandas(join, schema)
-    for row in joined.collect():  # at most 2**(bits - 16) rows
-        part = np.unpackbits(np.frombuffer(zlib.decompress(row["counts"]), np.uint8)).astype(bool)
-        flags[row["block"] * block : row["block"] * block + block] = part[: min(block, size)]
-    return flags
+    blocks = ids.select("slot").mapInPandas(run, "block int, counts binary")
+    return _collected(blocks, 1 << bits, _merged(np.uint8, np.bitwise_or, lambda part, last: part))
 
 
 def jaccard(a: str, b: str, k: int) -> float:
@@ -298,14 +295,6 @@ def jaccard(a: str, b: str, k: int) -> float:
     return both / (len(p) + len(q) - both) if p or q else 0.0
 
 
-def _jaccard_udf(k: int):
-    @F.pandas_udf(T.DoubleType())
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y, k) for x, y in zip(a, b)], dtype="float64")
-
-    return once(run)
-
-
 @dataclass(frozen=True)
 class NearDuplicates:
     """members: (id, id_hi, id_lo), the class of each record; links: (a_hi, a_lo, b_hi, b_lo, similarity) between classes."""
@@ -353,35 +342,55 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     """
     rows = records.where(takes_part) if takes_part is not None else records
     rows = rows.select(F.col(id_col).alias("id"), text.cast("string").alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    rows = spread(rows)
     spark = records.sparkSession
-    sketch = spark.sparkContext.broadcast(rarity_sketch(rows, rule))
-    postings = rows.select("text").mapInPandas(_post(rule, sketch), _POSTING)
-    a, b = postings.alias("a"), postings.alias("b")
+    rows = spread(rows)
+    bits = rule.sketch_bits or sketch_bits(rows)
+    id_type = rows.schema["id"].dataType.simpleString()
+    tasks = 8 * spark.sparkContext.defaultParallelism  # each task hands on one sketch, so there are not more of them than that
+    described = rows.coalesce(tasks).mapInPandas(_described(rule, bits), f"id {id_type}, id_hi long, id_lo long, block int, counts binary")
+    described = cut_lineage(described)
+    counted = described.where("block >= 0").select("block", "counts")
+    sketch = spark.sparkContext.broadcast(_collected(counted, 1 << bits, _merged(np.uint32, np.add, _logarithmic)))
+    members = cut_lineage(described.where("block < 0").select("id", "id_hi", "id_lo").distinct())
+
+    postings = rows.select("text").mapInPandas(_post(rule, bits, sketch), _POSTING)
+    # After the shuffle by key each class is left once on a list, however many copies it has.
+    postings = postings.repartition("key").distinct()
+    pairs = cut_lineage(tallied_pairs(postings, rule))  # four numbers a pair
+
+    first = members.groupBy("id_hi", "id_lo").agg(F.min("id").alias("id"))
+    ends = pairs.select(F.col("a_hi").alias("id_hi"), F.col("a_lo").alias("id_lo")).unionAll(pairs.select("b_hi", "b_lo"))
+    wanted = first.join(ends, ["id_hi", "id_lo"], "left_semi").select(F.xxhash64("id").alias("slot"))
+    wanted = spark.sparkContext.broadcast(wanted_filter(wanted, bits))
+    sets = rows.select("text", F.xxhash64("id").alias("slot")).mapInPandas(_sets_of(rule, bits, wanted), "id_hi long, id_lo long, hashes array<long>")
+    left = sets.withColumnsRenamed({"id_hi": "a_hi", "id_lo": "a_lo", "hashes": "a_set"})
+    right = sets.withColumnsRenamed({"id_hi": "b_hi", "id_lo": "b_lo", "hashes": "b_set"})
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    checked = pairs.join(left, ["a_hi", "a_lo"]).join(right, ["b_hi", "b_lo"])
+    checked = checked.select("a_hi", "a_lo", "b_hi", "b_lo", (both / (F.size("a_set") + F.size("b_set") - both)).alias("similarity"))
+    checked = checked.where(F.col("similarity") >= rule.similarity - 1e-12)
+    links = cut_lineage(checked.groupBy("a_hi", "a_lo", "b_hi", "b_lo").agg(F.max("similarity").alias("similarity")))
+    return NearDuplicates(members, links)
 
-    def part(side: str, shift: int) -> Column:
-        return F.shiftright(F.col(f"{side}.entry"), shift).bitwiseAND(F.lit(_MOST))
 
-    t = rule.similarity
-    n, m, p, q = part("a", 16), part("b", 16), part("a", 0), part("b", 0)
-    both = n + m
-    least = F.ceil(both * F.lit(t / (1 + t)) - F.lit(1e-9))
+def tallied_pairs(postings: DataFrame, rule: NearRule) -> DataFrame:
+    """(a_hi, a_lo, b_hi, b_lo): pairs of classes whose shared postings reach the guaranteed minimum."""
+    t, c = rule.similarity, rule.tally
+    a, b = postings.alias("a"), postings.alias("b")
+    n, m, p, q = F.col("a.size"), F.col("b.size"), F.col("a.place"), F.col("b.place")
+    least = F.ceil((n + m) * F.lit(t / (1 + t)) - F.lit(1e-9))
     # These rules look at the two sides at once, so the sides stay one plan and one shuffle.
-    reached = (p <= n - least) & (q <= m - least)
+    counted = (p < n - least + c) & (q < m - least + c)
     differ = F.bit_count(F.col("a.id_lo").bitwiseXOR(F.col("b.id_lo"))) + F.bit_count(F.col("a.id_hi").bitwiseXOR(F.col("b.id_hi")).bitwiseAND(F.lit(0xFFFFFF)))
-    possible = (reached & (both - differ >= 2 * least)) | (n == _MOST) | (m == _MOST)
+    possible = n + m - differ >= 2 * least
     ordered = (F.col("a.id_hi") < F.col("b.id_hi")) | ((F.col("a.id_hi") == F.col("b.id_hi")) & (F.col("a.id_lo") < F.col("b.id_lo")))
-    near = a.join(b, (F.shiftright(F.col("a.entry"), 32) == F.shiftright(F.col("b.entry"), 32)) & ordered & possible)
-    pairs = near.select(F.col("a.id_hi").alias("a_hi"), F.col("a.id_lo").alias("a_lo"), F.col("b.id_hi").alias("b_hi"), F.col("b.id_lo").alias("b_lo")).distinct()
-    pairs = cut_lineage(pairs)  # four numbers a pair
-
-    wanted = spark.sparkContext.broadcast(wanted_filter(pairs, rule.sketch_bits))
-    texts = rows.select("text").mapInPandas(_texts_of(rule, wanted), "id_hi long, id_lo long, text string")
-    left = texts.withColumnsRenamed({"id_hi": "a_hi", "id_lo": "a_lo", "text": "a_text"})
-    right = texts.withColumnsRenamed({"id_hi": "b_hi", "id_lo": "b_lo", "text": "b_text"})
-    checked = pairs.join(left, ["a_hi", "a_lo"]).join(right, ["b_hi", "b_lo"])
-    checked = checked.withColumn("similarity", _jaccard_udf(rule.words)("a_text", "b_text")).where(F.col("similarity") >= t - 1e-12)
-    links = cut_lineage(checked.groupBy("a_hi", "a_lo", "b_hi", "b_lo").agg(F.max("similarity").alias("similarity")))
-    id_type = rows.schema["id"].dataType.simpleString()
-    members = cut_lineage(rows.mapInPandas(_members(rule), f"id_hi long, id_lo long, id {id_type}").distinct())
-    return NearDuplicates(members, links)
+    shared = a.join(b, (F.col("a.key") == F.col("b.key")) & ordered & counted & possible)
+
+    def spare(size: Column) -> Column:
+        # what the posted prefix guarantees: T - n + (n - ceil(t n) + 1)
+        return least - F.ceil(size * F.lit(t) - F.lit(1e-9)) + 1
+
+    minimum = F.least(F.lit(c), spare(n), spare(m))
+    shared = shared.select(F.col("a.id_hi").alias("a_hi"), F.col("a.id_lo").alias("a_lo"), F.col("b.id_hi").alias("b_hi"), F.col("b.id_lo").alias("b_lo"), minimum.alias("minimum"))
+    tally = shared.groupBy("a_hi", "a_lo", "b_hi", "b_lo").agg(F.count(F.lit(1)).alias("shared"), F.max("minimum").alias("minimum"))
+    return tally.where("shared >= minimum").select("a_hi", "a_lo", "b_hi", "b_lo")

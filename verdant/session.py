@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CLUSTER_SAFE_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -48,6 +49,16 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+BROADCAST_ROWS = 200_000  # of narrow rows, some 10 MB
+
+
+def small_join(big: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """big joined to a side of narrow rows that is usually small: broadcast if it is found to have
+    at most BROADCAST_ROWS rows, else joined as Spark plans it, with a shuffle."""
+    fits = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # a look at the size; the join takes all rows
+    return big.join(F.broadcast(small) if fits else small, keys, how)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df in at least as many partitions as there are cores, ahead of costly work on each row.
 

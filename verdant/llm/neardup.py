@@ -1,8 +1,8 @@
 """Problem 4: records whose texts are nearly the same.
 
 Method: byte-position inverted index with count filtering.  A text is the set of its word
-shingles, written as a sparse row of positional bytes: the upper 56 bits of a shingle's hash
-name a position, the lower 8 are the byte that stands there.  Two texts of n and m
+shingles, written as a sparse row of positional bytes: of the 48-bit hash of a shingle the
+first 32 bits name a position and the next 8 are the byte that stands there.  Two texts of n and m
 positional bytes with Jaccard similarity t share at least T = ceil(t / (1 + t) * (n + m)).
 
 * Index: the positional bytes of a text are ordered from rare to frequent and only the first
@@ -20,7 +20,8 @@ slots as there are shingles; it only orders the bytes, so its collisions cost ti
 results.  Equal sets form one class: links are made between classes.
 
 The texts are read three times (classes and counts, postings, the sets of the candidates);
-nothing but 16-byte class ids and the posted bytes is shuffled of texts without a partner.
+of texts without a partner only 16-byte class ids and the posted bytes are shuffled.  Copies
+are found before anything is posted, so a text copied a billion times is posted once.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdant.session import cut_lineage, spread
+from verdant.session import cut_lineage, small_join, spread
 
 LEAST_BITS, MOST_BITS = 16, 26  # 64 KB to 64 MB of sketch
 _BLOCK = 1 << 16  # slots of a sketch that travel together
@@ -102,21 +103,22 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, shingle hash) of the distinct shingles of each text, sorted; texts under k words have none."""
+    """(text number, 48-bit hash) of the distinct shingles of each of at most 65,536 texts, sorted; texts under k words have none."""
     owner, words = word_hashes(texts)
     if len(words) < k:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     n = len(words) - k + 1
     h = np.zeros(n, np.uint64)
     for i in range(k):
-        h = h * _M1 + words[i : i + n]
+        h *= _M1
+        h += words[i : i + n]
     whole = owner[:n] == owner[k - 1 :]
-    h, owner = _mix(h)[whole], owner[:n][whole]
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    return owner[fresh], h[fresh]
+    both = (owner[:n][whole].astype(np.uint64) << np.uint64(48)) | (_mix(h)[whole] >> np.uint64(16))
+    both.sort()
+    fresh = np.ones(len(both), bool)
+    np.not_equal(both[1:], both[:-1], out=fresh[1:])
+    both = both[fresh]
+    return (both >> np.uint64(48)).astype(np.int64), both & np.uint64(0xFFFFFFFFFFFF)
 
 
 @dataclass
@@ -139,7 +141,7 @@ def _describe(texts: list[str], k: int) -> _Sets:
         filled = size > 0
         total = np.zeros(count, np.uint64)
         total[filled] = np.add.reduceat(_mix(h ^ _M2), start[filled])
-        bit = ((h >> np.uint64(40)) % np.uint64(88)).astype(np.int64)
+        bit = (h % np.uint64(88)).astype(np.int64)
         one = np.uint64(1)
         low = np.where(bit < 64, one << np.minimum(bit, 63).astype(np.uint64), np.uint64(0))
         high = np.where(bit >= 64, one << np.maximum(bit - 64, 0).astype(np.uint64), np.uint64(0))
@@ -150,9 +152,9 @@ def _describe(texts: list[str], k: int) -> _Sets:
 
 
 def _chunks(batches: Iterator[pd.DataFrame], most: int = 1_000_000) -> Iterator[pd.DataFrame]:
-    """Batches cut to some million characters, whole rows always."""
+    """Batches cut to some million characters and to 65,536 rows, whole rows always."""
     for batch in batches:
-        ends = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
+        ends = np.cumsum(batch["text"].str.len().to_numpy(np.int64) + most // 65_536)
         part = ends // most
         for p in np.unique(part):
             yield batch[part == p]
@@ -162,12 +164,18 @@ def _described(rule: NearRule, bits: int) -> Callable:
     """The class of every text, and at the end of the partition its shingles counted by slot."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slots = np.zeros(1 << bits, np.uint32)
+        slots, held = np.zeros(1 << bits, np.uint32), []
         for batch in _chunks(batches):
             s = _describe(batch["text"].tolist(), rule.words)
-            slots += np.bincount((s.hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=len(slots)).astype(np.uint32)
-            yield pd.DataFrame({"id": batch["id"].to_numpy(), "id_hi": s.id_hi, "id_lo": s.id_lo, "block": -1, "counts": None})[s.size > 0]
-        yield from _blocks(slots, {"id": None, "id_hi": 0, "id_lo": 0})
+            held.append((s.hashes >> np.uint64(48 - bits)).astype(np.int32))
+            if sum(map(len, held)) > len(slots) // 4:
+                slots += np.bincount(np.concatenate(held), minlength=len(slots)).astype(np.uint32)
+                held = []
+            out = pd.DataFrame({"id": batch["id"].to_numpy(), "mark": batch["mark"].to_numpy(), "id_hi": s.id_hi, "id_lo": s.id_lo, "block": -1, "counts": None})
+            yield out[s.size > 0]
+        if held:
+            slots += np.bincount(np.concatenate(held), minlength=len(slots)).astype(np.uint32)
+        yield from _blocks(slots, {"id": None, "mark": 0, "id_hi": 0, "id_lo": 0})
 
     return run
 
@@ -210,9 +218,9 @@ def _collected(blocks: DataFrame, size: int, run: Callable) -> np.ndarray:
 
 
 def sketch_bits(rows: DataFrame) -> int:
-    """A slot for every eight characters, about as many as there are shingles, within LEAST_BITS and MOST_BITS."""
+    """A slot for every 8 to 16 characters, about as many as there are shingles, within LEAST_BITS and MOST_BITS."""
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    return min(MOST_BITS, max(LEAST_BITS, (chars // 8).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, (chars // 16).bit_length()))
 
 
 _POSTING = "key long, size int, place int, id_hi long, id_lo long"
@@ -225,34 +233,25 @@ def prefix_length(size: np.ndarray, similarity: float) -> np.ndarray:
 
 def _post(rule: NearRule, bits: int, sketch) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, seen = sketch.value, set()
+        counts = np.frombuffer(zlib.decompress(sketch.value), np.uint8)
         for batch in _chunks(batches):
             s = _describe(batch["text"].tolist(), rule.words)
-            new = _unseen(s, seen)  # copies within this partition are posted once
-            rarity = counts[(s.hashes >> np.uint64(64 - bits)).astype(np.int64)]
-            order = np.argsort((s.owner << 8) | rarity, kind="stable")  # the hashes of a text are in order already
-            h, rarity, owner = s.hashes[order], rarity[order], s.owner[order]
-            place = np.arange(len(h)) - s.start[owner]
-            kept = (place < prefix_length(s.size, rule.similarity)[owner]) & (rarity > 1) & new[owner]  # what occurs once has no partner
-            owner = owner[kept]
+            rarity = counts[(s.hashes >> np.uint64(48 - bits)).astype(np.int32)]
+            # text, rarity and positional byte in one number: its order is that of the prefix
+            order = (s.owner.astype(np.uint64) << np.uint64(48)) | (rarity.astype(np.uint64) << np.uint64(40)) | (s.hashes >> np.uint64(8))
+            order.sort()
+            place = np.arange(len(order)) - s.start[s.owner]
+            rarity = (order >> np.uint64(40)).astype(np.uint8)
+            kept = (place < prefix_length(s.size, rule.similarity)[s.owner]) & (rarity > 1)  # what occurs once has no partner
+            owner = s.owner[kept]
+            key = order[kept] & np.uint64(0xFFFFFFFFFF)
             yield pd.DataFrame(
-                {"key": h[kept].view(np.int64), "size": s.size[owner].astype(np.int32), "place": place[kept].astype(np.int32), "id_hi": s.id_hi[owner], "id_lo": s.id_lo[owner]}
+                {"key": key.view(np.int64), "size": s.size[owner].astype(np.int32), "place": place[kept].astype(np.int32), "id_hi": s.id_hi[owner], "id_lo": s.id_lo[owner]}
             )
 
     return run
 
 
-def _unseen(s: _Sets, seen: set) -> np.ndarray:
-    """Which texts are the first of their class in this partition; the set grows with the partition only."""
-    keys = list(zip(s.id_hi.tolist(), s.id_lo.tolist()))
-    new = np.zeros(len(keys), bool)
-    for i, key in enumerate(keys):
-        if key not in seen:
-            seen.add(key)
-            new[i] = True
-    return new
-
-
 def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (_mix(hashes.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -261,8 +260,9 @@ def _sets_of(rule: NearRule, bits: int, wanted) -> Callable:
     """The sets of the texts whose id is in the filter of wanted ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        flags = np.frombuffer(zlib.decompress(wanted.value), np.uint8)
         for batch in _chunks(batches):
-            batch = batch[wanted.value[_slots(batch["slot"].to_numpy(np.int64), bits)] > 0]
+            batch = batch[flags[_slots(batch["slot"].to_numpy(np.int64), bits)] > 0]
             if len(batch):
                 s = _describe(batch["text"].tolist(), rule.words)
                 sets = np.split(s.hashes.view(np.int64), s.start[1:])
@@ -297,19 +297,25 @@ def jaccard(a: str, b: str, k: int) -> float:
 
 @dataclass(frozen=True)
 class NearDuplicates:
-    """members: (id, id_hi, id_lo), the class of each record; links: (a_hi, a_lo, b_hi, b_lo, similarity) between classes."""
+    """members: (id, id_hi, id_lo), the class of each record, rows delivered again included;
+    copies: those of the classes of two or more ids; linked: those of the classes in links;
+    links: (a_hi, a_lo, b_hi, b_lo, similarity) between classes."""
 
     members: DataFrame
+    copies: DataFrame
+    linked: DataFrame
     links: DataFrame
 
     def pairs(self) -> DataFrame:
-        """(id_a, id_b, similarity) of all records, copies expanded."""
-        one, two = self.members.alias("x"), self.members.alias("y")
-        big = self.members.groupBy("id_hi", "id_lo").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        copies = self.members.join(big.drop("n"), ["id_hi", "id_lo"], "left_semi")
-        left, right = copies.alias("x"), copies.alias("y")
+        """(id_a, id_b, similarity) of all records, copies expanded: as many rows as there are pairs.
+
+        For a text copied very often take classes() and named_links(), which lose nothing and
+        grow with the records only.
+        """
+        left, right = self.copies.alias("x"), self.copies.alias("y")
         inside = left.join(right, (F.col("x.id_hi") == F.col("y.id_hi")) & (F.col("x.id_lo") == F.col("y.id_lo")) & (F.col("x.id") < F.col("y.id")))
         inside = inside.select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"), F.lit(1.0).alias("similarity"))
+        one, two = self.linked.alias("x"), self.linked.alias("y")
         across = self.links.join(one, (F.col("a_hi") == F.col("x.id_hi")) & (F.col("a_lo") == F.col("x.id_lo")))
         across = across.select("b_hi", "b_lo", "similarity", F.col("x.id").alias("p"))
         across = across.join(two, (F.col("b_hi") == F.col("y.id_hi")) & (F.col("b_lo") == F.col("y.id_lo")))
@@ -318,27 +324,35 @@ class NearDuplicates:
 
     def classes(self) -> DataFrame:
         """(id, class_id, copies, links): class_id is the smallest id of the class, links the classes it is linked to."""
-        named = self.members.groupBy("id_hi", "id_lo").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
+        members = self.members.distinct()
+        named = members.groupBy("id_hi", "id_lo").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
         ends = self.links.select(F.col("a_hi").alias("id_hi"), F.col("a_lo").alias("id_lo")).unionAll(self.links.select("b_hi", "b_lo"))
         degree = ends.groupBy("id_hi", "id_lo").agg(F.count(F.lit(1)).alias("links"))
         named = named.join(degree, ["id_hi", "id_lo"], "left").fillna(0, ["links"])
-        return self.members.join(named, ["id_hi", "id_lo"]).select("id", "class_id", "copies", "links")
+        return members.join(named, ["id_hi", "id_lo"]).select("id", "class_id", "copies", "links")
 
     def named_links(self) -> DataFrame:
         """(class_a, class_b, similarity): links between the smallest ids of the classes."""
-        named = self.members.groupBy("id_hi", "id_lo").agg(F.min("id").alias("class_id"))
+        named = self.linked.groupBy("id_hi", "id_lo").agg(F.min("id").alias("class_id"))
         a, b = named.withColumnsRenamed({"id_hi": "a_hi", "id_lo": "a_lo", "class_id": "p"}), named.withColumnsRenamed({"id_hi": "b_hi", "id_lo": "b_lo", "class_id": "q"})
         joined = self.links.join(a, ["a_hi", "a_lo"]).join(b, ["b_hi", "b_lo"])
         return joined.select(F.least("p", "q").alias("class_a"), F.greatest("p", "q").alias("class_b"), "similarity")
 
 
+_CLASS = ["id_hi", "id_lo"]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return zlib.compress(values.tobytes(), 1)
+
+
 def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRule = NearRule(), takes_part: Column | None = None) -> NearDuplicates:
     """Classes of equal shingle sets and the links between those with the rule's similarity.
 
     Null texts and texts of fewer words than a shingle take no part, nor do rows for which
-    `takes_part` is not true.  Rows repeating an id with the same text count once.  An empty
-    table gives no classes and no links; other columns are not read.  Texts of any length
-    are taken whole.
+    `takes_part` is not true.  Rows repeating an id with the same text count once; an id with
+    several texts belongs to the class of each.  An empty table gives no classes and no links;
+    other columns are not read.  Texts of any length are taken whole.
     """
     rows = records.where(takes_part) if takes_part is not None else records
     rows = rows.select(F.col(id_col).alias("id"), text.cast("string").alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
@@ -347,21 +361,24 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     bits = rule.sketch_bits or sketch_bits(rows)
     id_type = rows.schema["id"].dataType.simpleString()
     tasks = 8 * spark.sparkContext.defaultParallelism  # each task hands on one sketch, so there are not more of them than that
-    described = rows.coalesce(tasks).mapInPandas(_described(rule, bits), f"id {id_type}, id_hi long, id_lo long, block int, counts binary")
+    marked = rows.select("id", "text", F.xxhash64("text").alias("mark"))
+    described = marked.coalesce(tasks).mapInPandas(_described(rule, bits), f"id {id_type}, mark long, id_hi long, id_lo long, block int, counts binary")
     described = cut_lineage(described)
     counted = described.where("block >= 0").select("block", "counts")
-    sketch = spark.sparkContext.broadcast(_collected(counted, 1 << bits, _merged(np.uint32, np.add, _logarithmic)))
-    members = cut_lineage(described.where("block < 0").select("id", "id_hi", "id_lo").distinct())
-
-    postings = rows.select("text").mapInPandas(_post(rule, bits, sketch), _POSTING)
-    # After the shuffle by key each class is left once on a list, however many copies it has.
-    postings = postings.repartition("key").distinct()
+    sketch = spark.sparkContext.broadcast(_packed(_collected(counted, 1 << bits, _merged(np.uint32, np.add, _logarithmic))))
+    members = described.where("block < 0").select("id", "id_hi", "id_lo", "mark")
+
+    # One record of each class is posted; the others are its copies.
+    several = members.groupBy(_CLASS).agg(F.min(F.struct("id", "mark")).alias("first"), F.max("id").alias("last")).where("first.id <> last")
+    copies = cut_lineage(small_join(members, cut_lineage(several.select(*_CLASS, "first")), _CLASS, "inner"))
+    posted = small_join(marked, copies.where("id <> first.id").select("id", "mark").distinct(), ["id", "mark"], "left_anti")
+    postings = posted.select("text").mapInPandas(_post(rule, bits, sketch), _POSTING)
     pairs = cut_lineage(tallied_pairs(postings, rule))  # four numbers a pair
 
-    first = members.groupBy("id_hi", "id_lo").agg(F.min("id").alias("id"))
-    ends = pairs.select(F.col("a_hi").alias("id_hi"), F.col("a_lo").alias("id_lo")).unionAll(pairs.select("b_hi", "b_lo"))
-    wanted = first.join(ends, ["id_hi", "id_lo"], "left_semi").select(F.xxhash64("id").alias("slot"))
-    wanted = spark.sparkContext.broadcast(wanted_filter(wanted, bits))
+    ends = pairs.select(F.col("a_hi").alias("id_hi"), F.col("a_lo").alias("id_lo")).unionAll(pairs.select("b_hi", "b_lo")).distinct()
+    linked = cut_lineage(small_join(members.drop("mark"), cut_lineage(ends), _CLASS, "left_semi"))
+    wanted = linked.groupBy(_CLASS).agg(F.min("id").alias("id")).select(F.xxhash64("id").alias("slot"))
+    wanted = spark.sparkContext.broadcast(_packed(wanted_filter(wanted, bits)))
     sets = rows.select("text", F.xxhash64("id").alias("slot")).mapInPandas(_sets_of(rule, bits, wanted), "id_hi long, id_lo long, hashes array<long>")
     left = sets.withColumnsRenamed({"id_hi": "a_hi", "id_lo": "a_lo", "hashes": "a_set"})
     right = sets.withColumnsRenamed({"id_hi": "b_hi", "id_lo": "b_lo", "hashes": "b_set"})
@@ -370,7 +387,7 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     checked = checked.select("a_hi", "a_lo", "b_hi", "b_lo", (both / (F.size("a_set") + F.size("b_set") - both)).alias("similarity"))
     checked = checked.where(F.col("similarity") >= rule.similarity - 1e-12)
     links = cut_lineage(checked.groupBy("a_hi", "a_lo", "b_hi", "b_lo").agg(F.max("similarity").alias("similarity")))
-    return NearDuplicates(members, links)
+    return NearDuplicates(members.drop("mark"), copies.select("id", "id_hi", "id_lo"), linked, links)
 
 
 def tallied_pairs(postings: DataFrame, rule: NearRule) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -34,21 +36,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Write df to the shared checkpoint folder and read it back.
+def _shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of this session.
 
-    The folder is the one the cluster names in spark.checkpoint.dir; only where that
-    setting is absent (tests, a laptop) a temporary one is made.  Unlike a local
-    checkpoint the copy survives the loss of any executor.
+    It is the one the cluster names in spark.checkpoint.dir.  Only where that setting is
+    absent and the master is local (tests, a laptop) a folder of this machine is made; on a
+    cluster executors could not read each other's files there, so that is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="verdant-checkpoint-"))
+        if not folder:
+            if not re.fullmatch(r"local(\[[^,]*(,\d+)?\])?", context.master):
+                raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {context.master} share")
+            folder = tempfile.mkdtemp(prefix="verdant-checkpoint-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Write df to the shared checkpoint folder and read it back.
+
+    Unlike a local checkpoint the copy survives the loss of any executor.
+    """
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=eager)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written as a table in the shared checkpoint folder and read back.
+
+    A third of the size of a checkpoint, and later plans know how large it is; its
+    partitioning is not kept, so use it for what is read by columns or joined by several keys.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 BROADCAST_ROWS = 200_000  # of narrow rows, some 10 MB
 
 

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdant.session import cut_lineage, small_join, spread
+from verdant.session import cut_lineage, small_join, spread, stored
 
 LEAST_BITS, MOST_BITS = 16, 26  # 64 KB to 64 MB of sketch
 _BLOCK = 1 << 16  # slots of a sketch that travel together
@@ -363,7 +363,7 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     tasks = 8 * spark.sparkContext.defaultParallelism  # each task hands on one sketch, so there are not more of them than that
     marked = rows.select("id", "text", F.xxhash64("text").alias("mark"))
     described = marked.coalesce(tasks).mapInPandas(_described(rule, bits), f"id {id_type}, mark long, id_hi long, id_lo long, block int, counts binary")
-    described = cut_lineage(described)
+    described = stored(described)
     counted = described.where("block >= 0").select("block", "counts")
     sketch = spark.sparkContext.broadcast(_packed(_collected(counted, 1 << bits, _merged(np.uint32, np.add, _logarithmic))))
     members = described.where("block < 0").select("id", "id_hi", "id_lo", "mark")

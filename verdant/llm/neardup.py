@@ -10,7 +10,7 @@ positional bytes with Jaccard similarity t share at least T = ceil(t / (1 + t) *
 * Tally: the postings that two texts share are counted for each pair.  Of the first
   n - T + c and m - T + c places at least c must be shared (fewer where less was posted):
   this is the guaranteed minimum, and pairs that do not reach it are dropped.
-* Verification: the Jaccard similarity of what is left is computed from the whole sets.
+* Verification: the Jaccard similarity of what is left is computed from the words.
 
 Every posting also carries an 88-bit parity fingerprint of the whole set.  Each positional
 byte that is not shared changes at most one of its bits, which bounds what a pair can share
@@ -19,7 +19,7 @@ link is lost.  Rarity comes from a counting sketch filled from all rows, with ab
 slots as there are shingles; it only orders the bytes, so its collisions cost time and never
 results.  Equal sets form one class: links are made between classes.
 
-The texts are read three times (classes and counts, postings, the sets of the candidates);
+The texts are read three times (classes and counts, postings, the candidates for verification);
 of texts without a partner only 16-byte class ids and the posted bytes are shuffled.  Copies
 are found before anything is posted, so a text copied a billion times is posted once.
 """
@@ -35,7 +35,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from verdant.functions.udf import once
 from verdant.session import cut_lineage, small_join, spread, stored
 
 LEAST_BITS, MOST_BITS = 16, 26  # 64 KB to 64 MB of sketch
@@ -183,29 +185,29 @@ def _described(rule: NearRule, bits: int) -> Callable:
 def _blocks(slots: np.ndarray, rest: dict) -> Iterator[pd.DataFrame]:
     for i in range(0, len(slots), _BLOCK):
         part = slots[i : i + _BLOCK]
-        if part.any():
-            yield pd.DataFrame({**rest, "block": [i // _BLOCK], "counts": [zlib.compress(part.tobytes(), 1)]})
+        if most := int(part.max()):
+            kind = np.min_scalar_type(most)
+            yield pd.DataFrame({**rest, "block": [i // _BLOCK], "counts": [kind.char.encode() + zlib.compress(part.astype(kind).tobytes(), 6)]})
 
 
-def _merged(kind: type, join: Callable, scale: Callable) -> Callable:
+def _merged(join: Callable, scale: Callable) -> Callable:
     """Blocks of the same number brought together; a task holds the blocks that hash to it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for b, counts in zip(batch["block"], batch["counts"]):
-                part = np.frombuffer(zlib.decompress(counts), kind)
-                sums[b] = join(sums[b], part) if b in sums else scale(part, False)
+                part = np.frombuffer(zlib.decompress(counts[1:]), counts[:1].decode())
+                sums[b] = join(sums[b], part) if b in sums else part.astype(np.int64)
         for b, part in sums.items():
-            yield pd.DataFrame({"block": [b], "counts": [zlib.compress(scale(part, True).astype(np.uint8).tobytes(), 1)]})
+            yield pd.DataFrame({"block": [b], "counts": [zlib.compress(scale(part).astype(np.uint8).tobytes(), 1)]})
 
     return run
 
 
-def _logarithmic(part: np.ndarray, last: bool) -> np.ndarray:
+def _logarithmic(part: np.ndarray) -> np.ndarray:
     """Counts on a scale of one byte, six steps to a factor of two; 0 and 1 stay exact."""
-    part = part.astype(np.int64)
-    return np.where(part < 2, part, np.minimum(255, 2 + np.ceil(6 * np.log2(np.maximum(part, 1))))) if last else part
+    return np.where(part < 2, part, np.minimum(255, 2 + np.ceil(6 * np.log2(np.maximum(part, 1)))))
 
 
 def _collected(blocks: DataFrame, size: int, run: Callable) -> np.ndarray:
@@ -256,8 +258,8 @@ def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (_mix(hashes.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _sets_of(rule: NearRule, bits: int, wanted) -> Callable:
-    """The sets of the texts whose id is in the filter of wanted ones."""
+def _texts_of(rule: NearRule, bits: int, wanted) -> Callable:
+    """The texts whose id is in the filter of wanted ones, with their class."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flags = np.frombuffer(zlib.decompress(wanted.value), np.uint8)
@@ -265,8 +267,7 @@ def _sets_of(rule: NearRule, bits: int, wanted) -> Callable:
             batch = batch[flags[_slots(batch["slot"].to_numpy(np.int64), bits)] > 0]
             if len(batch):
                 s = _describe(batch["text"].tolist(), rule.words)
-                sets = np.split(s.hashes.view(np.int64), s.start[1:])
-                yield pd.DataFrame({"id_hi": s.id_hi, "id_lo": s.id_lo, "hashes": sets})[s.size > 0]
+                yield pd.DataFrame({"id_hi": s.id_hi, "id_lo": s.id_lo, "text": batch["text"].to_numpy()})[s.size > 0]
 
     return run
 
@@ -284,7 +285,7 @@ def wanted_filter(ids: DataFrame, bits: int) -> np.ndarray:
         yield from _blocks(flags, {})
 
     blocks = ids.select("slot").mapInPandas(run, "block int, counts binary")
-    return _collected(blocks, 1 << bits, _merged(np.uint8, np.bitwise_or, lambda part, last: part))
+    return _collected(blocks, 1 << bits, _merged(np.bitwise_or, lambda part: part))
 
 
 def jaccard(a: str, b: str, k: int) -> float:
@@ -295,6 +296,14 @@ def jaccard(a: str, b: str, k: int) -> float:
     return both / (len(p) + len(q) - both) if p or q else 0.0
 
 
+def _jaccard_udf(k: int):
+    @F.pandas_udf(T.DoubleType())
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(x, y, k) for x, y in zip(a, b)], dtype="float64")
+
+    return once(run)
+
+
 @dataclass(frozen=True)
 class NearDuplicates:
     """members: (id, id_hi, id_lo), the class of each record, rows delivered again included;
@@ -365,7 +374,7 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     described = marked.coalesce(tasks).mapInPandas(_described(rule, bits), f"id {id_type}, mark long, id_hi long, id_lo long, block int, counts binary")
     described = stored(described)
     counted = described.where("block >= 0").select("block", "counts")
-    sketch = spark.sparkContext.broadcast(_packed(_collected(counted, 1 << bits, _merged(np.uint32, np.add, _logarithmic))))
+    sketch = spark.sparkContext.broadcast(_packed(_collected(counted, 1 << bits, _merged(np.add, _logarithmic))))
     members = described.where("block < 0").select("id", "id_hi", "id_lo", "mark")
 
     # One record of each class is posted; the others are its copies.
@@ -379,13 +388,11 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     linked = cut_lineage(small_join(members.drop("mark"), cut_lineage(ends), _CLASS, "left_semi"))
     wanted = linked.groupBy(_CLASS).agg(F.min("id").alias("id")).select(F.xxhash64("id").alias("slot"))
     wanted = spark.sparkContext.broadcast(_packed(wanted_filter(wanted, bits)))
-    sets = rows.select("text", F.xxhash64("id").alias("slot")).mapInPandas(_sets_of(rule, bits, wanted), "id_hi long, id_lo long, hashes array<long>")
-    left = sets.withColumnsRenamed({"id_hi": "a_hi", "id_lo": "a_lo", "hashes": "a_set"})
-    right = sets.withColumnsRenamed({"id_hi": "b_hi", "id_lo": "b_lo", "hashes": "b_set"})
-    both = F.size(F.array_intersect("a_set", "b_set"))
+    texts = rows.select("text", F.xxhash64("id").alias("slot")).mapInPandas(_texts_of(rule, bits, wanted), "id_hi long, id_lo long, text string")
+    left = texts.withColumnsRenamed({"id_hi": "a_hi", "id_lo": "a_lo", "text": "a_text"})
+    right = texts.withColumnsRenamed({"id_hi": "b_hi", "id_lo": "b_lo", "text": "b_text"})
     checked = pairs.join(left, ["a_hi", "a_lo"]).join(right, ["b_hi", "b_lo"])
-    checked = checked.select("a_hi", "a_lo", "b_hi", "b_lo", (both / (F.size("a_set") + F.size("b_set") - both)).alias("similarity"))
-    checked = checked.where(F.col("similarity") >= rule.similarity - 1e-12)
+    checked = checked.withColumn("similarity", _jaccard_udf(rule.words)("a_text", "b_text")).where(F.col("similarity") >= rule.similarity - 1e-12)
     links = cut_lineage(checked.groupBy("a_hi", "a_lo", "b_hi", "b_lo").agg(F.max("similarity").alias("similarity")))
     return NearDuplicates(members.drop("mark"), copies.select("id", "id_hi", "id_lo"), linked, links)
 

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import random
 import re
 from collections import Counter
 
@@ -71,7 +72,32 @@ def test_unit_dictionary_is_fuzzy_but_strict(spark):
     texts = ["kilogarms of CO2 equivalnt", "kilolitters", "thousand tonns", "GJ", "blorps", "index points", "level", "rating", "", None, "k" * 5000]
     got = {r.unit_text: (r.symbol, r.scale) for r in units.unit_dictionary(spark.createDataFrame([(t,) for t in texts], "unit_text string")).collect()}
     assert got == {"kilogarms of CO2 equivalnt": ("kgCO2e", 1.0), "kilolitters": ("kL", 1.0), "thousand tonns": ("tonne", 1000.0), "GJ": ("GJ", 1.0)}
-    assert units.weighted_distance("tonne1", "tonne2", 9.0) == 2.0 and units.weighted_distance("tonne", "tonnne", 9.0) == 0.5
+    assert quantity.weighted_distance("tonne1", "tonne2", 9.0) == 2.0 and quantity.weighted_distance("tonnne", "tonne", 9.0) == 0.5
+    # short keys, misspelt scale words, and a unit that only the conversion table knows
+    odd = ["tone", "litr", "kwhh", "milion tonnes CO2e", "INR croer", "Mt CO2e", "MTCO2e", "acres", "acre feet"]
+    frame = spark.createDataFrame([(t,) for t in odd], "unit_text string")
+    got = {r.unit_text: (r.symbol, r.scale) for r in units.unit_dictionary(frame, symbols=(*quantity.SYMBOLS, "acre")).collect()}
+    assert got == {"tone": ("tonne", 1.0), "litr": ("L", 1.0), "kwhh": ("kWh", 1.0), "milion tonnes CO2e": ("tCO2e", 1e6), "INR croer": ("INR", 1e7), "Mt CO2e": ("MtCO2e", 1.0), "MTCO2e": ("tCO2e", 1.0), "acres": ("acre", 1.0)}
+
+
+def test_bigram_join_loses_no_unit(spark):
+    """Every pair within the cost budget is found, against all pairs by brute force; no phrase is cut short."""
+    rng = random.Random(4)
+    names = list(quantity.unit_book().names)
+    odd = set()
+    for _ in range(150):
+        w = list(rng.choice(names))
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randrange(len(w))
+            w[i : i + rng.randrange(2)] = rng.choice("aeisntkml ")
+        odd.add(" ".join("".join(w).split()))
+    got = {r.unit_text for r in units.unit_dictionary(spark.createDataFrame([(t,) for t in odd], "unit_text string")).collect()}
+    most = lambda a, b: quantity.MAX_COST * max(len(a), len(b))
+    spelt = {t: " ".join(quantity.unit_tokens(t)) for t in odd}
+    want = {t for t, a in spelt.items() if a and any(quantity.weighted_distance(a, n, most(a, n)) <= most(a, n) for n in names)}
+    assert got == want and len(want) > 40
+    far = "12 " + "million " * 1 + "kilogrammes of " + "CO2 equivalents per metric ton produced"
+    assert quantity.unit_phrase_after(far[3:])[:2] == ("kgCO2e/tonne", 1e6)
 
 
 def test_observation_check(spark):

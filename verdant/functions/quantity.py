@@ -8,46 +8,26 @@ from __future__ import annotations
 
 import math
 import re
+from dataclasses import dataclass
 from functools import lru_cache
 
 # Scale words and what they multiply by.
 SCALES = {
-    "thousand": 1e3, "thousands": 1e3, "lakh": 1e5, "lakhs": 1e5, "lac": 1e5, "lacs": 1e5, "million": 1e6, "millions": 1e6, "mn": 1e6,
-    "mln": 1e6, "crore": 1e7, "crores": 1e7, "cr": 1e7, "billion": 1e9, "billions": 1e9, "bn": 1e9,
+    "thousand": 1e3, "lakh": 1e5, "lac": 1e5, "million": 1e6, "mn": 1e6, "mln": 1e6, "crore": 1e7, "cr": 1e7, "billion": 1e9, "bn": 1e9,
 }
-# Ways of writing each base unit; scales, plurals of per-units and CO2 suffixes are added by rule.
-SPELLINGS = {
-    "L": "l litre litres liter liters ltr ltrs",
-    "kL": "kl kilolitre kilolitres kiloliter kiloliters kls",
-    "m3": "m3 cubicmetre cubicmetres cubicmeter cubicmeters cbm cum",
-    "ML": "ml megalitre megalitres megaliter megaliters",
-    "gal_us": "usgallon usgallons gallonus gallonsus gallon gallons gal",
-    "kg": "kg kgs kilogram kilograms kilogramme kilogrammes",
-    "tonne": "t tonne tonnes ton tons mt mts metrictonne metrictonnes metricton metrictons",
-    "kt": "kt kilotonne kilotonnes kiloton kilotons",
-    "g": "g gm gms gram grams gramme grammes",
-    "quintal": "quintal quintals qtl qtls",
-    "lb": "lb lbs pound pounds",
-    "GJ": "gj gigajoule gigajoules",
-    "MJ": "mj megajoule megajoules",
-    "TJ": "tj terajoule terajoules",
-    "kWh": "kwh kilowatthour kilowatthours kwhr unitskwh",
-    "MWh": "mwh megawatthour megawatthours",
-    "GWh": "gwh gigawatthour gigawatthours",
-    "%": "% percent percentage pct",
-    "bps": "bps basispoint basispoints bp",
-    "count": "count counts number numbers no nos unit units people persons person cases case headcount",
-    "INR": "inr rs rupee rupees",
-}
-# How carbon dioxide equivalent is written after a mass.
-CO2_SUFFIXES = ("co2e", "co2eq", "co2equivalent", "co2equivalents")
-CO2_UNITS = {"kg": "kgCO2e", "tonne": "tCO2e", "kt": "ktCO2e"}
-# Numerators and denominators of intensities, with the symbol they make.
-INTENSITIES = {
-    ("tCO2e", "tonne"): "tCO2e/tonne", ("kgCO2e", "tonne"): "kgCO2e/tonne", ("GJ", "tonne"): "GJ/tonne", ("MJ", "tonne"): "MJ/tonne",
-    ("kWh", "tonne"): "kWh/tonne", ("kL", "tonne"): "kL/tonne", ("m3", "tonne"): "m3/tonne", ("L", "kg"): "L/kg", ("L", "tonne"): "L/tonne",
-    ("kg", "tonne"): "kg/tonne", ("g", "kg"): "g/kg", ("g", "tonne"): "g/tonne",
+# Names of the base units that symbols are made of. Prefixed, compound and scaled
+# names follow by rule; plurals, other spellings and misspellings are left to the fuzzy search.
+BASE_NAMES = {
+    "L": ("l", "litre"), "m3": ("m3", "cubic metre", "cbm", "cu m"), "g": ("g", "gram", "gm"), "tonne": ("t", "tonne", "ton", "mt", "metric tonne", "metric ton"),
+    "J": ("j", "joule"), "Wh": ("wh", "watt hour", "whr"), "lb": ("lb", "pound"), "quintal": ("quintal", "qtl"), "gal_us": ("us gallon", "gallon us", "gallon", "gal"),
+    "%": ("%", "percent", "percentage", "pct"), "bps": ("bps", "basis point", "bp"), "INR": ("inr", "rs", "rupee"),
+    "count": ("count", "number", "no", "unit", "people", "person", "case", "headcount"),
 }
+PREFIXES = {"k": "kilo", "M": "mega", "G": "giga", "T": "tera"}
+# How carbon dioxide equivalent is written after a mass.
+CO2_NAMES = ("co2e", "co2eq", "co2 eq", "co2 equivalent")
+# The symbols of common report units, for callers that have no conversion table.
+SYMBOLS = tuple("L kL m3 ML gal_us kg tonne kt g quintal lb GJ MJ TJ kWh MWh GWh tCO2e kgCO2e ktCO2e MtCO2e tCO2e/tonne kgCO2e/tonne GJ/tonne MJ/tonne kWh/tonne kL/tonne m3/tonne L/kg L/tonne kg/tonne g/kg g/tonne % bps count INR".split())
 # What stands for "nothing stated".
 MISSING = {"", "-", "–", "—", "n/a", "na", "nil", "none", "null"}
 
@@ -90,46 +70,150 @@ def unit_key(text: str) -> str:
     return "".join(unit_tokens(text))
 
 
-@lru_cache(maxsize=1)
-def reference_units() -> dict[str, tuple[str, float]]:
-    """Key -> (symbol of unit_conversion, scale) for every spelling made by rule."""
-    plain = {word: symbol for symbol, words in SPELLINGS.items() for word in words.split()}
-    for word, symbol in list(plain.items()):
-        if symbol in CO2_UNITS:
-            plain |= {word + suffix: CO2_UNITS[symbol] for suffix in CO2_SUFFIXES}
-    found = {word: (symbol, 1.0) for word, symbol in plain.items()}
-    for word, symbol in plain.items():
-        for over, per in INTENSITIES:
-            if symbol == over:
-                found |= {f"{word}per{below}": (INTENSITIES[over, per], 1.0) for below in SPELLINGS[per].split()}
-    scaled = {}
-    for key, (symbol, _) in found.items():
-        for scale, times in SCALES.items():
-            scaled.setdefault(scale + key, (symbol, times))
-            if symbol == "INR":
-                scaled.setdefault(key + scale, (symbol, times))
+_VOWELS = frozenset("aeiou")
+MAX_COST = 0.15  # weighted edit cost a letter of the longer spelling
+
+
+def weighted_distance(a: str, b: str, most: float) -> float:
+    """Cost of writing the reference spelling b as a, or more than `most`.
+
+    A blank costs 0.05, a plural s at a word's end 0.2, a vowel left out 0.25; a vowel for
+    another, a vowel too many, a vowel and its neighbour swapped and a letter doubled or
+    undoubled cost 0.5; a changed digit costs 2, as it is another unit; all else 1.
+    """
+    if abs(len(a) - len(b)) * 0.05 > most:
+        return most + 1.0
+    drop_b = [0.05 if y == " " else 0.25 if y in _VOWELS else 2.0 if y.isdigit() else 0.5 if j and y == b[j - 1] else 1.0 for j, y in enumerate(b)]
+    before, prev = None, [0.0] * (len(b) + 1)
+    for j in range(1, len(b) + 1):
+        prev[j] = prev[j - 1] + drop_b[j - 1]
+    for i in range(1, len(a) + 1):
+        x = a[i - 1]
+        plural = x == "s" and i > 1 and (i == len(a) or a[i] == " ")
+        add = 0.05 if x == " " else 0.2 if plural else 2.0 if x.isdigit() else 0.5 if x in _VOWELS or i > 1 and x == a[i - 2] else 1.0
+        row = [prev[0] + add]
+        for j in range(1, len(b) + 1):
+            y = b[j - 1]
+            change = 0.0 if x == y else 2.0 if x.isdigit() or y.isdigit() else 0.5 if x in _VOWELS and y in _VOWELS else 1.0
+            cost = min(prev[j - 1] + change, prev[j] + add, row[j - 1] + drop_b[j - 1])
+            if before is not None and j > 1 and x == b[j - 2] and a[i - 2] == y and x != y and not (x.isdigit() or y.isdigit()):
+                cost = min(cost, before[j - 2] + (0.5 if x in _VOWELS or y in _VOWELS else 1.0))
+            row.append(cost)
+        if min(row) > most and min(prev) > most:
+            return most + 1.0
+        before, prev = prev, row
+    return prev[-1]
+
+
+def _plain_names(symbol: str) -> list[str]:
+    """Names of an unscaled symbol of a conversion table, made by rule; of an unknown one its own words."""
+    if "/" in symbol:
+        over, per = symbol.split("/", 1)
+        return [f"{x} per {y}" for x in _plain_names(over) for y in _plain_names(per)]
+    if symbol.endswith("CO2e") and symbol != "CO2e":
+        mass = _plain_names(symbol[:-4])
+        return [f"{x}{y}" if len(x) <= 2 else f"{x} {y}" for x in mass for y in CO2_NAMES]
+    if symbol in BASE_NAMES:
+        return list(BASE_NAMES[symbol])
+    base = "tonne" if symbol[1:] == "t" else symbol[1:]
+    if symbol == "t":
+        return list(BASE_NAMES["tonne"])
+    if symbol[:1] in PREFIXES and base in BASE_NAMES:
+        short = [] if symbol == "Mt" else [symbol.lower()]  # mt is the metric tonne unless written Mt
+        short += [f"{symbol[0].lower()}{n}" for n in BASE_NAMES[base] if n == "whr"]
+        return short + [PREFIXES[symbol[0]] + n for n in BASE_NAMES[base] if (len(n) > 3 or n == "ton") and not n.startswith("metric")]
+    return [" ".join(unit_tokens(symbol.replace("_", " ")))]
+
+
+@dataclass(frozen=True)
+class UnitBook:
+    """The reference spellings of the units of a conversion table.
+
+    names: spelling of words with single blanks -> (symbol, scale); squeezed: the same without
+    blanks; words: all words of the spellings.
+    """
+
+    names: dict[str, tuple[str, float]]
+    squeezed: dict[str, tuple[str, float]]
+    words: tuple[str, ...]
+
+    def word(self, token: str) -> str | None:
+        """The word of a reference spelling that a token stands for, misspelt or not."""
+        return _nearest_word(token, self.words)
+
+    def exact(self, text: str) -> tuple[str, float] | None:
+        """(symbol, scale) of a text all of whose words stand for those of a reference spelling."""
+        if re.search(r"(?<![A-Za-z])Mt\s?CO[2₂]", text) and "MtCO2e" in self.symbols:
+            return ("MtCO2e", 1.0)  # megatonnes only in exactly this writing; MT is the metric tonne
+        tokens = unit_tokens(text)
+        if hit := self.squeezed.get("".join(tokens)):
+            return hit
+        words = [self.word(t) for t in tokens]
+        return None if None in words else self.squeezed.get("".join(words))
+
+    @property
+    def symbols(self) -> set[str]:
+        return {symbol for symbol, _ in self.names.values()}
+
+
+@lru_cache(maxsize=8)
+def unit_book(symbols: tuple[str, ...] = SYMBOLS) -> UnitBook:
+    """The spellings of these symbols. Symbols that only scale another one (INR_lakh) follow from that one."""
+    scale_words = set(SCALES) | {"thousand"}
+    plain: dict[str, tuple[str, float]] = {}
+    for symbol in sorted(symbols, key=lambda x: (x in BASE_NAMES, x)):
+        if not scale_words & set(symbol.lower().split("_")):
+            plain |= {name: (symbol, 1.0) for name in _plain_names(symbol) if name}
+    names = {}
     for scale, times in SCALES.items():
-        scaled[scale] = ("count", times)
-    return scaled | found
+        for name, (symbol, _) in plain.items():
+            names[f"{scale} {name}"] = (symbol, times)
+            if symbol == "INR":
+                names[f"{name} {scale}"] = (symbol, times)
+        if "count" in symbols:
+            names[scale] = ("count", times)
+    names |= plain
+    squeezed: dict[str, tuple[str, float]] = {}
+    for name, hit in names.items():
+        squeezed.setdefault(name.replace(" ", ""), hit)
+    squeezed |= {name.replace(" ", ""): hit for name, hit in plain.items()}
+    parts = {*PREFIXES.values(), *(w for base in BASE_NAMES.values() for n in base for w in n.split())}  # of names written apart
+    return UnitBook(names, squeezed, tuple(sorted(parts | {w for n in names for w in n.split()})))
+
+
+@lru_cache(maxsize=1 << 16)
+def _nearest_word(token: str, words: tuple[str, ...]) -> str | None:
+    if token in words:
+        return token
+    near = []
+    for word in words:
+        longer = max(len(token), len(word))
+        if abs(len(token) - len(word)) <= 3 and (cost := weighted_distance(token, word, MAX_COST * longer)) <= MAX_COST * longer:
+            near.append((cost, word))
+    return min(near)[1] if near else None
 
 
 def exact_unit(text: str) -> tuple[str, float] | None:
-    """(symbol, scale) of a spelling that is one of the reference spellings."""
-    if re.search(r"(?<![A-Za-z])Mt\s?CO[2₂]", text):  # megatonnes only in exactly this writing; MT is the metric tonne
-        return ("MtCO2e", 1.0)
-    return reference_units().get(unit_key(text))
-
-
-def unit_phrase_after(text: str, longest: int = 6) -> tuple[str, float, str] | None:
-    """(symbol, scale, phrase) of the longest unit that text begins with."""
-    words = re.findall(r"\S+", text[:120])[:longest]
-    for n in range(len(words), 0, -1):
-        phrase = " ".join(words[:n])
-        bare = phrase.rstrip(".,;:)")
-        for form in (phrase, bare):
-            if (hit := exact_unit(form)) and not (n == 1 and unit_key(form) in ("no", "g", "t", "l") and form.lower() != unit_key(form)):
-                return (*hit, form)
-    return None
+    """(symbol, scale) of a text that is a spelling of a common unit."""
+    return unit_book().exact(text)
+
+
+def unit_phrase_after(text: str, book: UnitBook | None = None) -> tuple[str, float, str] | None:
+    """(symbol, scale, phrase) of the longest unit that text begins with: words are taken while they are words of units."""
+    book = book or unit_book()
+    best = None
+    for m in re.finditer(r"\S+", text):
+        if any(book.word(t) is None for t in unit_tokens(m.group())):
+            break
+        phrase = text[: m.end()].strip()
+        for form in (phrase, phrase.rstrip(".,;:)")):
+            hit = book.exact(form)
+            if hit and not (m.start() == 0 and unit_key(form) in ("no", "g", "t", "l") and form.lower() != unit_key(form)):
+                best = (*hit, form)
+                break
+        if re.search(r"[;:)]$", m.group()):
+            break
+    return best
 
 
 _LEAD = re.compile(r"^\s*(?:c\.|ca\.|circa|about|around|approx\.?|approximately|nearly|over|~|≈|[<>])?\s*", re.I)
@@ -155,22 +239,22 @@ def read_value(value: str | None) -> tuple[float, str] | None:
 _IN_METRIC = (re.compile(r"[(\[]([^()\[\]]*(?:\([^()]*\)[^()\[\]]*)?)[)\]]"), re.compile(r",\s*in\s+(.+?)\s*$", re.I), re.compile(r"\s[-–]\s+(.+?)\s*$"))
 
 
-def unit_in_metric(metric: str | None) -> str | None:
+def unit_in_metric(metric: str | None, book: UnitBook) -> str | None:
     """A unit written in brackets, after ", in" or after a dash in the metric's name."""
     plain = re.sub(r"\s+/\s+|_", " ", metric or "")
     for pattern in _IN_METRIC:
         for hit in pattern.findall(plain):
-            if exact_unit(hit):
+            if book.exact(hit):
                 return hit
     return None
 
 
-def unit_in_evidence(number: float, evidence: str | None) -> str | None:
+def unit_in_evidence(number: float, evidence: str | None, book: UnitBook) -> str | None:
     """The unit phrase that follows the same number in the evidence."""
     for m in NUMBER.finditer(evidence or ""):
         other = parse_number(m.group())
         if other is not None and math.isclose(other, number, rel_tol=1e-9, abs_tol=1e-12):
-            if hit := unit_phrase_after(evidence[m.end() :].lstrip("  ")):
+            if hit := unit_phrase_after(evidence[m.end() :].lstrip("  "), book):
                 before = re.search(r"(₹|\bRs\.?|\bINR)\s*$", evidence[: m.start()], re.I)
                 return f"INR {hit[2]}" if before and hit[0] == "count" else hit[2]
             if re.search(r"(₹|\bRs\.?|\bINR)\s*$", evidence[: m.start()], re.I):
@@ -178,7 +262,9 @@ def unit_in_evidence(number: float, evidence: str | None) -> str | None:
     return None
 
 
-def read_quantity(value: str | None, unit: str | None, metric: str | None, evidence: str | None) -> tuple[float, float, str, str] | None:
+def read_quantity(
+    value: str | None, unit: str | None, metric: str | None, evidence: str | None, book: UnitBook | None = None
+) -> tuple[float, float, str, str] | None:
     """(number, scale beside the number, unit text, where it stands) of a stated quantity.
 
     The unit is that of the value text, of the unit column, of the metric or of the evidence,
@@ -188,17 +274,18 @@ def read_quantity(value: str | None, unit: str | None, metric: str | None, evide
     read = read_value(value)
     if read is None:
         return None
+    book = book or unit_book()
     number, rest = read
-    scale = SCALES.get(unit_key(rest), None)
+    scale = SCALES.get(book.word(unit_key(rest)) or "") if rest else None
     stated = unit if unit is not None and unit.strip().lower() not in MISSING else None
     if rest and scale is None:
         return number, 1.0, rest, "value"
     if stated is not None:
         return number, scale or 1.0, stated, "unit"
-    if found := unit_in_metric(metric):
+    if found := unit_in_metric(metric, book):
         return number, scale or 1.0, found, "metric"
-    if found := unit_in_evidence(number, evidence):
-        own = exact_unit(found)
+    if found := unit_in_evidence(number, evidence, book):
+        own = book.exact(found)
         return number, 1.0 if own and own[1] != 1.0 else scale or 1.0, found, "evidence"
     if scale is not None:
         return number, 1.0, rest, "value"

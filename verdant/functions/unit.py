@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant.functions.udf import once
-from verdant.functions.quantity import SCALES, exact_unit, parse_number, read_value, unit_key, unit_tokens
+from verdant.functions.quantity import SCALES, exact_unit, parse_number, read_value, unit_book, unit_key, unit_tokens
 
 # Symbol -> (common symbol of its family, factor). The clean conversion table of the reports.
 COMMON = {
@@ -38,7 +38,7 @@ def normalise_unit(unit: str | None, name: str | None = None) -> tuple[str | Non
     if hit := exact_unit(unit):
         symbol, factor = COMMON[hit[0]]
         return symbol, factor * hit[1], "exact" if hit[1] == 1.0 else "inferred"
-    tokens = unit_tokens(unit)
+    tokens = [unit_book().word(t) or t for t in unit_tokens(unit)]
     key = "".join(tokens)
     if "per" in tokens:
         at = tokens.index("per")
@@ -64,7 +64,7 @@ def normalise_value(value: str | None, unit: str | None, name: str | None = None
         return None, symbol, "needs_context" if how in ("exact", "inferred") else how
     number, rest = read
     stated = unit if unit and unit.strip() not in ("", "-") else (rest or None)
-    beside = SCALES.get(unit_key(rest), 1.0) if stated is unit else 1.0
+    beside = SCALES.get(unit_book().word(unit_key(rest)) or "", 1.0) if rest and stated is unit else 1.0
     symbol, factor, how = normalise_unit(stated, name)
     return (number * beside * factor if factor is not None else None), symbol, how
 

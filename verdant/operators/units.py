@@ -1,88 +1,52 @@
 """Quantities in common units (problem 5).
 
-The number and the unit text of each row are read once.  The distinct unit texts are mapped
-to the symbols of the conversion table: spellings made by rule match exactly, the others
-through an inverted index of character bigrams, a count filter and a weighted edit distance.
-The alias dictionary that results is joined to all rows, and the conversion table to it.
+The number and the unit text of each row are read once.  Reference spellings are made by rule
+from the symbols of the conversion table.  The distinct unit texts, all of them, are mapped to
+these through an inverted index of character bigrams, a count filter and a weighted edit
+distance; the alias dictionary that results is joined to all rows, and the table to it.
 """
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdant.functions.quantity import MISSING, SCALES, exact_unit, read_quantity, reference_units, unit_key, unit_tokens
+from verdant.functions.quantity import MAX_COST, MISSING, SYMBOLS, read_quantity, unit_book, unit_tokens, weighted_distance
 from verdant.functions.udf import once
 from verdant.session import cut_lineage
 
-MIN_FUZZY = 5  # shorter keys are matched exactly only
-MAX_COST = 0.18  # weighted edit cost a letter of the longer key
-_VOWELS = frozenset("aeiou")
-
 _QUANTITY = T.StructType(
     [T.StructField("number", T.DoubleType()), T.StructField("beside", T.DoubleType()), T.StructField("unit_text", T.StringType()), T.StructField("found_in", T.StringType())]
 )
-_UNIT = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("scale", T.DoubleType())])
-_STEM = T.StructType([T.StructField("stem", T.StringType()), T.StructField("scale", T.DoubleType())])
+_SPELLING = T.StructType([T.StructField("spelling", T.StringType()), T.StructField("symbol", T.StringType())])
 
 
-@once
-@F.pandas_udf(_QUANTITY)
-def _read(value: pd.Series, unit: pd.Series, metric: pd.Series, evidence: pd.Series) -> pd.DataFrame:
-    none = (None, None, None, None)
-    rows = [read_quantity(*x) or none for x in zip(value, unit, metric, evidence)]
-    return pd.DataFrame(rows, columns=["number", "beside", "unit_text", "found_in"])
+def _read_udf(symbols: tuple[str, ...]):
+    @F.pandas_udf(_QUANTITY)
+    def run(value: pd.Series, unit: pd.Series, metric: pd.Series, evidence: pd.Series) -> pd.DataFrame:
+        book, none = unit_book(symbols), (None, None, None, None)
+        rows = [read_quantity(*x, book) or none for x in zip(value, unit, metric, evidence)]
+        return pd.DataFrame(rows, columns=["number", "beside", "unit_text", "found_in"])
 
+    return once(run)
 
-@once
-@F.pandas_udf(_UNIT)
-def _exact(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([exact_unit(t) or (None, None) for t in texts], columns=["symbol", "scale"])
 
+def _spelling_udf(symbols: tuple[str, ...]):
+    @F.pandas_udf(_SPELLING)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        """The words of a unit text, and the symbol if it is written in exactly the letters of one that lower case would hide."""
+        rows = []
+        for text in texts:
+            bare = re.sub(r"\s", "", text).replace("₂", "2")
+            mega = bare.startswith("MtCO2") and "MtCO2e" in symbols
+            rows.append((" ".join(unit_tokens(text)), "MtCO2e" if mega else None))
+        return pd.DataFrame(rows, columns=["spelling", "symbol"])
 
-@once
-@F.pandas_udf(_STEM)
-def _stem(texts: pd.Series) -> pd.DataFrame:
-    """The key without a leading or trailing scale word, and that scale."""
-    rows = []
-    for text in texts:
-        tokens, scale = unit_tokens(text), 1.0
-        if len(tokens) > 1 and tokens[0] in SCALES:
-            scale, tokens = SCALES[tokens[0]], tokens[1:]
-        elif len(tokens) > 1 and tokens[-1] in SCALES:
-            scale, tokens = SCALES[tokens[-1]], tokens[:-1]
-        rows.append(("".join(tokens), scale))
-    return pd.DataFrame(rows, columns=["stem", "scale"])
-
-
-def weighted_distance(a: str, b: str, most: float) -> float:
-    """Edit cost between keys, or more than `most`.
-
-    A vowel for a vowel, two neighbours swapped and a letter doubled or undoubled cost half;
-    a changed digit costs 2, as it is another unit.
-    """
-    if abs(len(a) - len(b)) * 0.5 > most:
-        return most + 1.0
-    before, prev = None, [0.0] * (len(b) + 1)
-    for j in range(1, len(b) + 1):
-        prev[j] = prev[j - 1] + 1.0
-    for i in range(1, len(a) + 1):
-        x, row = a[i - 1], [prev[0] + 1.0] + [0.0] * len(b)
-        drop = 2.0 if x.isdigit() else 0.5 if i > 1 and x == a[i - 2] else 1.0
-        for j in range(1, len(b) + 1):
-            y = b[j - 1]
-            add = 2.0 if y.isdigit() else 0.5 if j > 1 and y == b[j - 2] else 1.0
-            change = 0.0 if x == y else 2.0 if x.isdigit() or y.isdigit() else 0.5 if x in _VOWELS and y in _VOWELS else 1.0
-            cost = min(prev[j - 1] + change, prev[j] + drop, row[j - 1] + add)
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and x != y:
-                cost = min(cost, before[j - 2] + 0.5)
-            row[j] = cost
-        if min(row) > most:
-            return most + 1.0
-        before, prev = prev, row
-    return prev[-1]
+    return once(run)
 
 
 @once
@@ -91,38 +55,54 @@ def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([weighted_distance(x, y, MAX_COST * max(len(x), len(y))) for x, y in zip(a, b)])
 
 
-def _bigrams(key: Column) -> Column:
-    padded = F.concat(F.lit("^"), key, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))))
+def _skeleton(spelling: Column) -> Column:
+    """The letters and digits that no cheap edit touches: without blanks, vowels, s, and doubled letters."""
+    bare = F.regexp_replace(spelling, "[ aeious]", "")
+    return F.when(spelling == "", "").otherwise(F.concat(F.lit("^"), F.regexp_replace(bare, r"(.)\1+", "$1"), F.lit("$")))
+
 
+def _bigrams(skeleton: Column) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(skeleton) - 1), lambda i: F.substring(skeleton, i, F.lit(2))))
 
-def unit_dictionary(texts: DataFrame, text_col: str = "unit_text") -> DataFrame:
+
+def unit_dictionary(texts: DataFrame, text_col: str = "unit_text", symbols: tuple[str, ...] = SYMBOLS) -> DataFrame:
     """(unit_text, symbol, scale, cost): every distinct unit text that denotes a unit.
 
-    cost is 0.0 for a spelling made by rule, else the weighted edit distance.  Texts that
-    denote none are absent.  Ties go to the smaller reference spelling.
+    cost is the weighted edit distance to the reference spelling, 0.0 for that spelling
+    itself.  Texts that denote none are absent.  Ties go to the shorter and then smaller
+    reference spelling.  The reference is made from the symbols of the conversion table, a
+    fixed list, and is broadcast.
     """
-    distinct = texts.select(F.col(text_col).alias("unit_text")).where("unit_text is not null and trim(unit_text) <> ''").distinct()
-    looked = cut_lineage(distinct.withColumn("u", _exact("unit_text")).select("unit_text", "u.symbol", "u.scale"))
-    sure = looked.where("symbol is not null").withColumn("cost", F.lit(0.0))
-
     spark = texts.sparkSession
-    plain = [(key, symbol, scale) for key, (symbol, scale) in reference_units().items() if len(key) >= MIN_FUZZY and scale == 1.0]
-    known = spark.createDataFrame(pd.DataFrame(plain, columns=["key", "known_symbol", "known_scale"]))
-    known = known.withColumn("gram", F.explode(_bigrams(F.col("key"))))
-    odd = looked.where("symbol is null").withColumn("s", _stem("unit_text")).select("unit_text", "s.stem", F.col("s.scale").alias("scale"))
-    odd = odd.where(F.length("stem") >= MIN_FUZZY).withColumn("gram", F.explode(_bigrams(F.col("stem"))))
-    shared = odd.join(known, "gram").groupBy("unit_text", "stem", "scale", "key", "known_symbol", "known_scale").agg(F.count(F.lit(1)).alias("shared"))
-    longer = F.greatest(F.length("stem"), F.length("key"))
-    # an edit spoils at most two bigrams; at most one letter in four may be edited
-    near = shared.where(F.col("shared") >= longer + 1 - 2 * F.ceil(longer / 4) - F.lit(1))
-    near = near.withColumn("cost", _distance("stem", "key")).where(F.col("cost") <= MAX_COST * longer)
-    best = Window.partitionBy("unit_text").orderBy("cost", "key")
+    distinct = texts.select(F.col(text_col).alias("unit_text")).where("unit_text is not null and trim(unit_text) <> ''").distinct()
+    looked = distinct.withColumn("u", _spelling_udf(symbols)("unit_text")).select("unit_text", "u.*")
+    looked = cut_lineage(looked.withColumn("skeleton", _skeleton(F.col("spelling"))).where("spelling <> '' or symbol is not null"))
+    sure = looked.where("symbol is not null").select("unit_text", "symbol", F.lit(1.0).alias("scale"), F.lit(0.0).alias("cost"))
+
+    book = unit_book(symbols)
+    known = spark.createDataFrame([(n, s, x) for n, (s, x) in book.names.items()], "name string, known string, scale double")
+    known = known.withColumn("known_skeleton", _skeleton(F.col("name"))).withColumn("gram", F.explode(_bigrams(F.col("known_skeleton"))))
+    grams = looked.where("symbol is null").withColumn("gram", F.explode(_bigrams(F.col("skeleton"))))
+    shared = grams.join(F.broadcast(known), "gram").groupBy("unit_text", "spelling", "skeleton", "name", "known", "scale", "known_skeleton").agg(F.count(F.lit(1)).alias("shared"))
+    longer = F.greatest(F.length("spelling"), F.length("name"))
+    # An edit of cost 1 spoils at most three bigrams of the skeleton and cheaper ones none; so
+    # does a changed vowel beside a consonant.  One more is left for bigrams that occur twice.
+    least = F.greatest(F.length("skeleton"), F.length("known_skeleton")) - 2 - F.floor(longer * 3 * MAX_COST)
+    near = shared.where(F.col("shared") >= least)
+    near = near.withColumn("cost", _distance("spelling", "name")).where(F.col("cost") <= MAX_COST * longer)
+    best = Window.partitionBy("unit_text").orderBy("cost", F.length("name"), "name")
     fuzzy = near.withColumn("n", F.row_number().over(best)).where("n = 1")
-    return sure.unionByName(fuzzy.select("unit_text", F.col("known_symbol").alias("symbol"), (F.col("scale") * F.col("known_scale")).alias("scale"), "cost"))
+    return sure.unionByName(fuzzy.select("unit_text", F.col("known").alias("symbol"), "scale", "cost"))
+
+
+def table_symbols(conversion: DataFrame) -> tuple[str, ...]:
+    """The symbols of a conversion table, a fixed list of some dozens."""
+    return tuple(sorted(r[0] for r in conversion.select("from_symbol").where("from_symbol is not null").distinct().collect()))
 
 
-def read_quantities(rows: DataFrame, key: str, value: str, unit: str, metric: str | None = None, evidence: str | None = None) -> DataFrame:
+def read_quantities(
+    rows: DataFrame, key: str, value: str, unit: str, metric: str | None = None, evidence: str | None = None, symbols: tuple[str, ...] = SYMBOLS
+) -> DataFrame:
     """(key, number, beside, unit_text, found_in) of each distinct key whose value has a number.
 
     See read_quantity for where the unit is taken from.  The longer texts are handed to
@@ -131,7 +111,7 @@ def read_quantities(rows: DataFrame, key: str, value: str, unit: str, metric: st
     nothing = F.lit(None).cast("string")
     word = F.lower(F.regexp_replace(F.coalesce(F.col(unit).cast("string"), F.lit("")), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
     stated = ~word.isin(*sorted(MISSING))
-    q = _read(
+    q = _read_udf(symbols)(
         F.col(value).cast("string"),
         F.col(unit).cast("string"),
         F.when(~stated, F.col(metric)) if metric else nothing,
@@ -148,7 +128,7 @@ def common_quantities(read: DataFrame, conversion: DataFrame, key: str) -> DataF
     of the dictionary, which is joined to all rows; the join splits a skewed side under AQE.
     """
     read = cut_lineage(read)  # the texts are read once, for the dictionary and for the rows
-    units = unit_dictionary(read)
+    units = unit_dictionary(read, symbols=table_symbols(conversion))
     table = conversion.select("unit_family", F.col("from_symbol").alias("symbol"), F.col("to_symbol").alias("common_unit"), "factor").dropDuplicates(["symbol"])
     known = units.join(table, "symbol", "left")
     joined = read.join(known, "unit_text", "left")
@@ -163,7 +143,7 @@ def check_observations(observations: DataFrame, facts: DataFrame, conversion: Da
     normalised_value is null or NaN, `wrong` where it is off by more than the tolerance,
     `right`, or `unknown` where the fact states no quantity.
     """
-    read = read_quantities(facts, "fact_id", "value", "unit", "metric", "evidence")
+    read = read_quantities(facts, "fact_id", "value", "unit", "metric", "evidence", table_symbols(conversion))
     common = common_quantities(read, conversion, "fact_id").where("common_value is not null")
     obs = observations.select("obs_id", "source_fact_id", "normalised_value").dropDuplicates(["obs_id"])
     joined = obs.join(common, obs["source_fact_id"] == common["fact_id"], "left")

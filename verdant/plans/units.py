@@ -26,5 +26,6 @@ def p5_observations(spark: SparkSession, folder: str) -> DataFrame:
 @query("p5_facts")
 def p5_facts(spark: SparkSession, folder: str) -> DataFrame:
     facts = read_table(spark, folder, "extracted_fact")
-    read = units.read_quantities(facts, "fact_id", "value", "unit", "metric", "evidence")
-    return units.common_quantities(read, read_table(spark, folder, "unit_conversion"), "fact_id")
+    conversion = read_table(spark, folder, "unit_conversion")
+    read = units.read_quantities(facts, "fact_id", "value", "unit", "metric", "evidence", units.table_symbols(conversion))
+    return units.common_quantities(read, conversion, "fact_id")

@@ -83,7 +83,8 @@ def test_unit_dictionary_is_fuzzy_but_strict(spark):
 def test_bigram_join_loses_no_unit(spark):
     """Every pair within the cost budget is found, against all pairs by brute force; no phrase is cut short."""
     rng = random.Random(4)
-    names = list(quantity.unit_book().names)
+    book = quantity.unit_book()
+    names = list(book.plain)
     odd = set()
     for _ in range(150):
         w = list(rng.choice(names))
@@ -93,7 +94,7 @@ def test_bigram_join_loses_no_unit(spark):
         odd.add(" ".join("".join(w).split()))
     got = {r.unit_text for r in units.unit_dictionary(spark.createDataFrame([(t,) for t in odd], "unit_text string")).collect()}
     most = lambda a, b: quantity.MAX_COST * max(len(a), len(b))
-    spelt = {t: " ".join(quantity.unit_tokens(t)) for t in odd}
+    spelt = {t: book.stem(t)[0] for t in odd}
     want = {t for t, a in spelt.items() if a and any(quantity.weighted_distance(a, n, most(a, n)) <= most(a, n) for n in names)}
     assert got == want and len(want) > 40
     far = "12 " + "million " * 1 + "kilogrammes of " + "CO2 equivalents per metric ton produced"

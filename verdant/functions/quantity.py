@@ -79,7 +79,8 @@ def weighted_distance(a: str, b: str, most: float) -> float:
 
     A blank costs 0.05, a plural s at a word's end 0.2, a vowel left out 0.25; a vowel for
     another, a vowel too many, a vowel and its neighbour swapped and a letter doubled or
-    undoubled cost 0.5; a changed digit costs 2, as it is another unit; all else 1.
+    undoubled cost 0.5; two consonants swapped 1.5; a changed digit 2, as it is another unit;
+    all else 1.
     """
     if abs(len(a) - len(b)) * 0.05 > most:
         return most + 1.0
@@ -97,7 +98,7 @@ def weighted_distance(a: str, b: str, most: float) -> float:
             change = 0.0 if x == y else 2.0 if x.isdigit() or y.isdigit() else 0.5 if x in _VOWELS and y in _VOWELS else 1.0
             cost = min(prev[j - 1] + change, prev[j] + add, row[j - 1] + drop_b[j - 1])
             if before is not None and j > 1 and x == b[j - 2] and a[i - 2] == y and x != y and not (x.isdigit() or y.isdigit()):
-                cost = min(cost, before[j - 2] + (0.5 if x in _VOWELS or y in _VOWELS else 1.0))
+                cost = min(cost, before[j - 2] + (0.5 if x in _VOWELS or y in _VOWELS else 1.5))
             row.append(cost)
         if min(row) > most and min(prev) > most:
             return most + 1.0
@@ -129,11 +130,11 @@ def _plain_names(symbol: str) -> list[str]:
 class UnitBook:
     """The reference spellings of the units of a conversion table.
 
-    names: spelling of words with single blanks -> (symbol, scale); squeezed: the same without
-    blanks; words: all words of the spellings.
+    plain: unscaled spelling of words with single blanks -> symbol; squeezed: scaled spellings
+    too, without blanks -> (symbol, scale); words: all words of the spellings.
     """
 
-    names: dict[str, tuple[str, float]]
+    plain: dict[str, str]
     squeezed: dict[str, tuple[str, float]]
     words: tuple[str, ...]
 
@@ -153,7 +154,16 @@ class UnitBook:
 
     @property
     def symbols(self) -> set[str]:
-        return {symbol for symbol, _ in self.names.values()}
+        return set(self.plain.values())
+
+    def stem(self, text: str) -> tuple[str, float]:
+        """The words of a text without a scale word at its beginning or end, misspelt or not, and that scale; a scale alone is one of count."""
+        tokens = unit_tokens(text)
+        for at in (0, -1) if tokens else ():
+            if (scale := self.word(tokens[at])) in SCALES:
+                rest = tokens[1:] if at == 0 else tokens[:-1]
+                return (" ".join(rest) if rest else "count" if "count" in self.plain else ""), SCALES[scale]
+        return " ".join(tokens), 1.0
 
 
 @lru_cache(maxsize=8)
@@ -178,7 +188,7 @@ def unit_book(symbols: tuple[str, ...] = SYMBOLS) -> UnitBook:
         squeezed.setdefault(name.replace(" ", ""), hit)
     squeezed |= {name.replace(" ", ""): hit for name, hit in plain.items()}
     parts = {*PREFIXES.values(), *(w for base in BASE_NAMES.values() for n in base for w in n.split())}  # of names written apart
-    return UnitBook(names, squeezed, tuple(sorted(parts | {w for n in names for w in n.split()})))
+    return UnitBook({name: symbol for name, (symbol, _) in plain.items()}, squeezed, tuple(sorted(parts | {w for n in names for w in n.split()})))
 
 
 @lru_cache(maxsize=1 << 16)

@@ -22,7 +22,7 @@ from verdant.session import cut_lineage
 _QUANTITY = T.StructType(
     [T.StructField("number", T.DoubleType()), T.StructField("beside", T.DoubleType()), T.StructField("unit_text", T.StringType()), T.StructField("found_in", T.StringType())]
 )
-_SPELLING = T.StructType([T.StructField("spelling", T.StringType()), T.StructField("symbol", T.StringType())])
+_SPELLING = T.StructType([T.StructField("spelling", T.StringType()), T.StructField("scale", T.DoubleType()), T.StructField("symbol", T.StringType())])
 
 
 def _read_udf(symbols: tuple[str, ...]):
@@ -38,13 +38,12 @@ def _read_udf(symbols: tuple[str, ...]):
 def _spelling_udf(symbols: tuple[str, ...]):
     @F.pandas_udf(_SPELLING)
     def run(texts: pd.Series) -> pd.DataFrame:
-        """The words of a unit text, and the symbol if it is written in exactly the letters of one that lower case would hide."""
-        rows = []
+        """The words of a unit text and its scale, and the symbol if it is written in exactly the letters of one that lower case would hide."""
+        book, rows = unit_book(symbols), []
         for text in texts:
-            bare = re.sub(r"\s", "", text).replace("₂", "2")
-            mega = bare.startswith("MtCO2") and "MtCO2e" in symbols
-            rows.append((" ".join(unit_tokens(text)), "MtCO2e" if mega else None))
-        return pd.DataFrame(rows, columns=["spelling", "symbol"])
+            mega = re.sub(r"\s", "", text).replace("₂", "2").startswith("MtCO2") and "MtCO2e" in symbols
+            rows.append((" ".join(unit_tokens(text)), 1.0, "MtCO2e") if mega else (*book.stem(text), None))
+        return pd.DataFrame(rows, columns=["spelling", "scale", "symbol"])
 
     return once(run)
 
@@ -77,22 +76,23 @@ def unit_dictionary(texts: DataFrame, text_col: str = "unit_text", symbols: tupl
     distinct = texts.select(F.col(text_col).alias("unit_text")).where("unit_text is not null and trim(unit_text) <> ''").distinct()
     looked = distinct.withColumn("u", _spelling_udf(symbols)("unit_text")).select("unit_text", "u.*")
     looked = cut_lineage(looked.withColumn("skeleton", _skeleton(F.col("spelling"))).where("spelling <> '' or symbol is not null"))
-    sure = looked.where("symbol is not null").select("unit_text", "symbol", F.lit(1.0).alias("scale"), F.lit(0.0).alias("cost"))
+    sure = looked.where("symbol is not null").select("unit_text", "symbol", "scale", F.lit(0.0).alias("cost"))
+    odd = looked.where("symbol is null").select("spelling", "skeleton").distinct()
 
-    book = unit_book(symbols)
-    known = spark.createDataFrame([(n, s, x) for n, (s, x) in book.names.items()], "name string, known string, scale double")
+    known = spark.createDataFrame(list(unit_book(symbols).plain.items()), "name string, known string")
     known = known.withColumn("known_skeleton", _skeleton(F.col("name"))).withColumn("gram", F.explode(_bigrams(F.col("known_skeleton"))))
-    grams = looked.where("symbol is null").withColumn("gram", F.explode(_bigrams(F.col("skeleton"))))
-    shared = grams.join(F.broadcast(known), "gram").groupBy("unit_text", "spelling", "skeleton", "name", "known", "scale", "known_skeleton").agg(F.count(F.lit(1)).alias("shared"))
-    longer = F.greatest(F.length("spelling"), F.length("name"))
-    # An edit of cost 1 spoils at most three bigrams of the skeleton and cheaper ones none; so
-    # does a changed vowel beside a consonant.  One more is left for bigrams that occur twice.
-    least = F.greatest(F.length("skeleton"), F.length("known_skeleton")) - 2 - F.floor(longer * 3 * MAX_COST)
-    near = shared.where(F.col("shared") >= least)
-    near = near.withColumn("cost", _distance("spelling", "name")).where(F.col("cost") <= MAX_COST * longer)
-    best = Window.partitionBy("unit_text").orderBy("cost", F.length("name"), "name")
-    fuzzy = near.withColumn("n", F.row_number().over(best)).where("n = 1")
-    return sure.unionByName(fuzzy.select("unit_text", F.col("known").alias("symbol"), "scale", "cost"))
+    most = MAX_COST * F.greatest(F.length("spelling"), F.length("name"))
+    a, b = F.length("skeleton"), F.length("known_skeleton")
+    # An edit changes the skeleton's length by at most its cost, and spoils at most two bigrams for each 1 it costs.
+    grams = odd.withColumn("gram", F.explode(_bigrams(F.col("skeleton")))).join(F.broadcast(known), "gram").where(F.abs(a - b) <= most)
+    shared = grams.groupBy("spelling", "skeleton", "name", "known", "known_skeleton").agg(F.count(F.lit(1)).alias("shared"))
+    # One more is left for bigrams that occur twice.
+    near = shared.where(F.col("shared") >= F.greatest(a, b) - 2 - F.floor(2 * most))
+    near = near.withColumn("cost", _distance("spelling", "name")).where(F.col("cost") <= most)
+    best = Window.partitionBy("spelling").orderBy("cost", F.length("name"), "name")
+    found = near.withColumn("n", F.row_number().over(best)).where("n = 1").select("spelling", F.col("known").alias("symbol"), "cost")
+    fuzzy = looked.where("symbol is null").drop("symbol").join(found, "spelling")
+    return sure.unionByName(fuzzy.select("unit_text", "symbol", "scale", "cost"))
 
 
 def table_symbols(conversion: DataFrame) -> tuple[str, ...]:

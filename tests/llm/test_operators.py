@@ -32,6 +32,11 @@ def test_real_differences_stay(a, b):
     assert skeleton.consistent(a) != skeleton.consistent(b)
 
 
+@pytest.mark.parametrize("a, b", [("a\U000E0100", "a"), ("a\U000E0041b", "ab"), ("\U0001D400", "A"), ("\U0001D7CF", "1"), ("ℊ", "g")])
+def test_characters_past_the_first_plane(a, b):
+    assert skeleton.consistent(a) == b
+
+
 def test_form_is_idempotent_for_every_character():
     for code in range(0x80, 0x3000):
         once = skeleton.consistent(chr(code))
@@ -43,7 +48,8 @@ def test_look_alike_pairs(spark):
     df = docs(spark, ["abc", "аbc", "abc", "ABC", None, "", "", "abd"]).unionByName(docs(spark, ["abc"]))
     got = {tuple(r) for r in skeleton.look_alike_pairs(df).collect()}
     assert got == {(0, 1), (1, 2)}
-    assert skeleton.look_alike_pairs(df.limit(0)).count() == 0
+    assert skeleton.look_alike_pairs(df.limit(0)).count() == 0 and skeleton.look_alike_classes(df.limit(0)).count() == 0
+    assert {tuple(r) for r in skeleton.look_alike_classes(df).collect()} == {(0, 0, 0), (1, 0, 1), (2, 0, 0)}
     forms = {(r.doc_id, r.text, r.changed) for r in skeleton.consistent_texts(df).collect()}
     assert (1, "abc", True) in forms and (4, None, False) in forms and (5, "", False) in forms
 
@@ -78,6 +84,8 @@ def test_leaks_match_brute_force(spark):
     assert got == want and want
     assert leak.leaked_passages(frame.limit(0), queries).count() == 0
     assert leak.leaked_passages(frame, queries.limit(0)).count() == 0
+    named = leak.leaked_passages(frame.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")), queries.withColumn("item_id", F.concat(F.lit("i"), "item_id")))
+    assert {(int(r.doc_id[1:]), int(r.item_id[1:])) for r in named.where("words >= 12").collect()} == want  # ids of any type
     blocks = leak.leaked_passages(frame, queries, max_index_mb=0)  # one item a block
     assert {(r.doc_id, r.item_id) for r in blocks.where("words >= 12").collect()} == want
 
@@ -209,6 +217,24 @@ def test_survivor_rules(spark):
     assert golden.merge_facts(frame.limit(0)).count() == 0
 
 
+def test_votes_are_summed_and_chunks_listed(spark):
+    # two rescued records outvote a kept one for the entity only while each counts for half of it, and age halves a vote
+    rows = [
+        (*fact("a", conf=0.9, chunk="k1")[:10], "Plant A", *fact("a")[11:]),
+        (*fact("b", conf=0.4, chunk="k2")[:10], "plant b ", *fact("b")[11:]),
+        (*fact("c", conf=0.3, chunk="k2")[:10], "Plant B", *fact("c")[11:]),
+        (*fact("d", conf=0.2, chunk="k3", at="2022-01-01")[:10], "Plant C", *fact("d")[11:]),
+    ]
+    frame = spark.createDataFrame(rows, FACT).withColumn("decision", F.when(F.col("fact_id").isin("b", "c"), "rescue").otherwise("keep"))
+    one = lambda trust: golden.merge_facts(frame, source_trust=trust).collect()[0]
+    assert one({"rescue": 0.6, "keep": 1.0}).entity.strip().lower() == "plant b"
+    assert one({"rescue": 0.4, "keep": 1.0}).entity == "Plant A"
+    survivor = one(None)
+    assert survivor.fact_id == "a" and survivor.duplicate_chunk_ids == ["k2", "k3"]
+    assert {tuple(r) for r in golden.duplicate_chunks(frame).collect()} == {("a", "k2"), ("a", "k3")}
+    assert golden.duplicate_chunks(frame.limit(0)).count() == 0
+
+
 def test_plain_number(spark):
     samples = {"1,200.50": "1200.5", "0012": "12", "-0.0": "0", "-3": "-3", "1 000": "1000", ".5": None, "5.": None, "1e3": None, "": None, "~4": None}
     frame = spark.createDataFrame([(k,) for k in samples], "v string")

@@ -5,8 +5,8 @@ votes for its normalised value with source trust times recency decay; votes are
 (group, field, normalised value), the winner of each field is taken by max_by, and the
 winners are pivoted back to one row a group.
 
-All steps are aggregations with map-side partial sums, so a group that holds a third of
-the rows is reduced where it lies; only groups of two or more records are unpivoted.
+All steps are aggregations with map-side partial sums; only the rows of groups of two or more
+records are unpivoted, and only those leave the place where they were read.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verdant.session import cut_lineage, small_join
 
 LEAST = -1.7976931348623157e308
 
@@ -82,9 +83,9 @@ def best_records(records: DataFrame, group: Column, record_id: str, fields: list
         columns |= {f"_v{i}": f.value.cast("string"), f"_n{i}": same.cast("string"), f"_w{i}": F.coalesce(f.vote.cast("double"), F.lit(0.0)), f"_o{i}": rank}
     columns |= {f"_c_{name}": value for name, value in (carry or {}).items()}
     base = records.select(*(c.alias(n) for n, c in columns.items())).where(F.col("_group").isNotNull() & F.col("_id").isNotNull())
-    base = base.dropDuplicates(["_id"])
-    sizes = base.groupBy("_group").agg(F.count(F.lit(1)).alias("members")).where("members >= 2")
-    base = base.join(sizes, "_group")
+    # Groups of one record are most of them: they are told apart by two columns, before any text moves.
+    several = base.groupBy("_group").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo <> hi").select("_group")
+    base = small_join(base, cut_lineage(several), ["_group"], "left_semi").dropDuplicates(["_id"])
 
     unpivoted = F.array(*(F.struct(F.lit(i).alias("field"), F.col(f"_n{i}").alias("norm"), F.col(f"_v{i}").alias("value"), F.col(f"_w{i}").alias("vote"), F.col(f"_o{i}").alias("rank")) for i in range(len(fields))))
     long = base.select("_group", F.inline(unpivoted)).where("value is not null")
@@ -93,7 +94,7 @@ def best_records(records: DataFrame, group: Column, record_id: str, fields: list
     )
     won = votes.groupBy("_group", "field").agg(F.max_by("value", F.struct("vote", "rank", _reversed(F.col("norm")).alias("n"))).alias("value"))
     wide = won.groupBy("_group").agg(*(F.max(F.when(F.col("field") == i, F.col("value"))).alias(f.name) for i, f in enumerate(fields)))
-    carried = base.groupBy("_group").agg(F.max("members").alias("members"), *(F.array_sort(F.collect_set(f"_c_{n}")).alias(n) for n in (carry or {})))
+    carried = base.groupBy("_group").agg(F.count(F.lit(1)).alias("members"), *(F.array_sort(F.collect_set(f"_c_{n}")).alias(n) for n in (carry or {})))
     return carried.join(wide, "_group").withColumnRenamed("_group", "group_key")
 
 
@@ -102,21 +103,29 @@ def _reversed(text: Column) -> Column:
     return F.concat(F.translate(F.hex(text), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
 
 
-def merge_facts(facts: DataFrame, half_life_days: float = 365.0) -> DataFrame:
+# Trust of the ways in which a fact got into the table, where no other is given.
+SOURCE_TRUST = {"keep": 1.0, "rescue": 0.5, "drop": 0.25}
+
+
+def merge_facts(facts: DataFrame, half_life_days: float = 365.0, source_col: str = "decision", source_trust: dict[str, float] | None = None) -> DataFrame:
     """The surviving record of each group of extracted facts of one report (see fact_group_key).
 
     fact_id and chunk_id are those of the record with the best confidence, then the longest
     evidence, the latest extraction and the smallest id; evidence is the longest;
-    evidence_fact_id is where it stands; the descriptive fields go by confidence times
-    recency votes; duplicate_chunk_ids lists every other chunk of the group once.
+    evidence_fact_id is where it stands.  Each of the descriptive fields is voted on: a record
+    gives its value the trust of its source (source_trust of source_col, 1 for a source not
+    listed) times 0.5 ** (age / half_life_days), age counted from the newest record of the
+    table; votes for values that are equal without case and outer blanks are summed, and the
+    value with most wins.  duplicate_chunk_ids lists every other chunk of the group once; its
+    rows one by one are duplicate_chunks().
     """
-    newest = facts.agg(F.max("extracted_at").alias("_newest")).withColumn("_one", F.lit(1))
-    facts = facts.withColumn("_one", F.lit(1)).join(F.broadcast(newest), "_one")  # one row
+    newest = facts.agg(F.max("extracted_at")).scalar()
     trust = trust_of_confidence(F.col("confidence"))
     size = F.coalesce(F.char_length(F.trim("evidence")), F.lit(0))
     moment = F.unix_micros(F.col("extracted_at").cast("timestamp"))
-    kept = F.when(F.col("decision") == "drop", 0.25).when(F.col("decision") == "rescue", 0.5).otherwise(1.0)
-    weight = F.greatest(trust, F.lit(0.05)) * kept * recency_decay(F.col("extracted_at"), F.col("_newest"), half_life_days)
+    listed = SOURCE_TRUST if source_trust is None else source_trust
+    source = F.coalesce(*(F.when(F.col(source_col) == k, F.lit(float(v))) for k, v in listed.items()), F.lit(1.0))
+    weight = source * recency_decay(F.col("extracted_at"), newest, half_life_days)
     own = F.col("fact_id")
     plain = [Field(c, F.nullif(F.trim(F.col(c).cast("string")), F.lit("")), weight, F.lower(F.trim(F.col(c).cast("string")))) for c in ("company_id", "metric", "value", "unit", "period", "period_type", "fact_type", "entity", "segment", "page_start", "page_end")]
     fields = [
@@ -127,10 +136,24 @@ def merge_facts(facts: DataFrame, half_life_days: float = 365.0) -> DataFrame:
         Field("confidence", F.when(trust >= 0, trust), trust, own),
         *plain,
     ]
-    merged = best_records(facts, fact_group_key(facts), "fact_id", fields, {"chunks": F.col("chunk_id"), "member_ids": own})
+    merged = best_records(facts, fact_group_key(facts), "fact_id", fields, {"chunks": F.col("chunk_id")})
     return merged.withColumns({"duplicate_chunk_ids": F.array_except("chunks", F.array("chunk_id")), "confidence": F.col("confidence").cast("double")}).drop("chunks", "group_key")
 
 
+def duplicate_chunks(facts: DataFrame) -> DataFrame:
+    """(fact_id, chunk_id): the survivor of each group and every other chunk of it once, one row each.
+
+    The same as duplicate_chunk_ids, for groups too large for one array.
+    """
+    keyed = facts.select(fact_group_key(facts).alias("group_key"), "chunk_id").where("group_key is not null and chunk_id is not null").distinct()
+    size = F.coalesce(F.char_length(F.trim("evidence")), F.lit(0))
+    moment = F.unix_micros(F.col("extracted_at").cast("timestamp"))
+    own = F.col("fact_id")
+    home = Field("home", F.col("chunk_id"), trust_of_confidence(F.col("confidence")), own, (size, moment))
+    best = best_records(facts, fact_group_key(facts), "fact_id", [survivor_fields()[0], home]).select("group_key", "fact_id", "home")
+    return keyed.join(best, "group_key").where(~F.col("chunk_id").eqNullSafe(F.col("home"))).select("fact_id", "chunk_id")
+
+
 def survivor_fields() -> list[Field]:
     """The survivor's fact_id and the fact_id that holds the most complete evidence."""
     size = F.coalesce(F.char_length(F.trim("evidence")), F.lit(0))

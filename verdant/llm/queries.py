@@ -37,6 +37,10 @@ def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return golden.merge_facts(read_table(spark, folder, "extracted_fact"))
 
 
+def p2_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return golden.duplicate_chunks(read_table(spark, folder, "extracted_fact"))
+
+
 def _mapped(spark: SparkSession, folder: str) -> DataFrame:
     return canonical.map_values(read_table(spark, folder, "extracted_fact"), ["fact_id"], "metric", read_table(spark, folder, "consumer_master_registry_v1"))
 
@@ -100,12 +104,16 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
 
 
+def p8_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return skeleton.look_alike_classes(read_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def p8_consistent(spark: SparkSession, folder: str) -> DataFrame:
     return skeleton.consistent_texts(read_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_survivors, p3_found, p3_dictionary, p4_found, p4_classes, p4_links, p6_found, p6_leaks, p7_found, p7_mixture, p7_report, p8_found, p8_consistent)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_survivors, p2_chunks, p3_found, p3_dictionary, p4_found, p4_classes, p4_links, p6_found, p6_leaks, p7_found, p7_mixture, p7_report, p8_found, p8_classes, p8_consistent)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,7 +3,7 @@
 Method: confusables skeleton.  A text is decomposed, every character is replaced by its
 prototype from a look-alike table, and the result is decomposed again; texts with equal
 skeletons look the same.  The table is made by rule from the Unicode character database
-(widths, joined letters, blanks, hyphens, invisible characters) plus the short fixed
+(widths, letters in mathematical fonts, joined letters, blanks, hyphens, invisible characters) plus the short fixed
 lists of look-alike letters below.
 
 Kept as real differences: case, accents, subscripts and superscripts, visible
@@ -32,16 +32,20 @@ LOOK_ALIKE_LETTERS = {
 # Hyphen characters that are drawn as the ordinary hyphen.
 HYPHENS = "‐‑﹣－"
 # Invisible characters outside the Unicode category Cf.
-INVISIBLE = "͏ᅟᅠ឴឵ㅤﾠ" + "".join(map(chr, range(0xFE00, 0xFE10)))
+INVISIBLE = "͏ᅟᅠ឴឵ㅤﾠ" + "".join(map(chr, [*range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)]))
 # Characters of category Cf that are drawn.
 VISIBLE_FORMAT = "؀؁؂؃؄؅۝܏࣢"
 
 
+# Planes 0, 1 and 14; of the others only ideographs with canonical decompositions are assigned.
+ASSIGNED = [*range(0x80, 0x2_0000), *range(0xE_0000, 0xE_1000)]
+
+
 @lru_cache(maxsize=1)
 def prototypes() -> dict[int, str]:
     """Code point -> prototype, for every character that has one."""
     table: dict[int, str] = {}
-    for code in range(0x80, 0x1_1000):
+    for code in ASSIGNED:
         char = chr(code)
         kind, _, rest = unicodedata.decomposition(char).rpartition(">")
         category = unicodedata.category(char)
@@ -49,7 +53,7 @@ def prototypes() -> dict[int, str]:
             table[code] = " "
         elif category == "Cf" and char not in VISIBLE_FORMAT:
             table[code] = ""
-        elif kind in ("<wide", "<narrow"):
+        elif kind in ("<wide", "<narrow", "<font"):
             table[code] = unicodedata.normalize("NFKD", char)
         elif kind == "<compat":
             plain = "".join(chr(int(x, 16)) for x in rest.split())
@@ -153,3 +157,16 @@ def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .distinct()
     )
 
+
+def look_alike_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, class_id, variant_id): each document that has a look-alike, once.
+
+    class_id is the smallest id of all that look the same, variant_id the smallest with the
+    same stored text; documents with one class_id and different variant_id are the pairs of
+    look_alike_pairs.  It grows with the documents, however many copies a text has.
+    """
+    classes = cut_lineage(look_classes(df, id_col, text_col))
+    variants = classes.groupBy("look", "exact").agg(F.min("id").alias("variant_id"))
+    mixed = variants.groupBy("look").agg(F.min("variant_id").alias("class_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    named = variants.join(mixed, "look")
+    return classes.join(named, ["look", "exact"]).select("id", "class_id", "variant_id").distinct()

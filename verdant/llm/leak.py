@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from verdant.llm.skeleton import consistent
 from verdant.session import spread
 
 WORD = re.compile(r"[^\W_]+")
-FOUND_SCHEMA = "doc_id long, item_id long, words int, matched_chars int, edits int, item_start int, doc_start int"
+FOUND_SCHEMA = "doc_id {doc}, item_id {item}, words int, matched_chars int, edits int, item_start int, doc_start int"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BITS = 22
@@ -271,8 +272,9 @@ class LeakIndex:
         return best + k - 1 if best else 0
 
 
-def _scan(index: LeakIndex):
+def _scan(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index: LeakIndex = shared.value
         for batch in batches:
             texts = batch["text"].tolist()
             ids = batch["doc_id"].tolist()
@@ -302,7 +304,7 @@ def leaked_passages(
     text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
-    max_index_mb: int = 64,
+    max_index_mb: int = 256,
 ) -> DataFrame:
     """One row per document and item with a passage in common: `min_words` whole words of the item
     in a row, found in the document with at most `rule.edits` edits.
@@ -311,22 +313,27 @@ def leaked_passages(
     (an edited passage, for which `edits` over `matched_chars` tell how near it is).  These
     describe the longest stretch of item words of which every run of min_words qualifies.
 
-    Null and empty texts match nothing; items shorter than min_words are no passages;
+    Ids keep their type.  Null ids of items and null and empty texts match nothing; items shorter than min_words are no passages;
     repeated rows of a document come out once; an empty table gives no rows; other columns
     are not read.  Texts of any length are scanned whole, some million characters at a time.
     """
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    spark = documents.sparkSession
+    docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = spread(docs.where(F.col("text").isNotNull() & (F.length("text") > 0)))
-    wanted = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    wanted = wanted.where("text is not null").dropDuplicates(["item_id"])
-    out, block, chars = None, [], 0
-    for row in wanted.orderBy("item_id").toLocalIterator():
+    wanted = items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+    wanted = wanted.where("text is not null and item_id is not null").dropDuplicates(["item_id"])
+    schema = FOUND_SCHEMA.format(doc=docs.schema["doc_id"].dataType.simpleString(), item=wanted.schema["item_id"].dataType.simpleString())
+
+    def found(block: list) -> DataFrame:
+        return docs.mapInPandas(_scan(spark.sparkContext.broadcast(LeakIndex(block, rule))), schema)
+
+    parts, block, chars = [], [], 0
+    for row in wanted.orderBy("item_id").toLocalIterator():  # the stated query set, a block at a time
         block.append((row["item_id"], row["text"]))
         chars += len(row["text"])
         if chars * 80 > max_index_mb * 1_000_000:  # about 80 bytes of index a character
-            part = docs.mapInPandas(_scan(LeakIndex(block, rule)), FOUND_SCHEMA)
-            out, block, chars = part if out is None else out.unionByName(part), [], 0
-    if block or out is None:
-        part = docs.mapInPandas(_scan(LeakIndex(block, rule)), FOUND_SCHEMA)
-        out = part if out is None else out.unionByName(part)
-    return out.dropDuplicates(["doc_id", "item_id"])
+            parts.append(found(block))
+            block, chars = [], 0
+    if block or not parts:
+        parts.append(found(block))
+    return reduce(DataFrame.unionByName, parts).dropDuplicates(["doc_id", "item_id"])

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdant.session import cut_lineage, small_join
+from verdant.session import cut_lineage, small_join, stored
 
 LEAST = -1.7976931348623157e308
 
@@ -85,7 +85,7 @@ def best_records(records: DataFrame, group: Column, record_id: str, fields: list
     base = records.select(*(c.alias(n) for n, c in columns.items())).where(F.col("_group").isNotNull() & F.col("_id").isNotNull())
     # Groups of one record are most of them: they are told apart by two columns, before any text moves.
     several = base.groupBy("_group").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo <> hi").select("_group")
-    base = small_join(base, cut_lineage(several), ["_group"], "left_semi").dropDuplicates(["_id"])
+    base = stored(small_join(base, cut_lineage(several), ["_group"], "left_semi").dropDuplicates(["_id"]))
 
     unpivoted = F.array(*(F.struct(F.lit(i).alias("field"), F.col(f"_n{i}").alias("norm"), F.col(f"_v{i}").alias("value"), F.col(f"_w{i}").alias("vote"), F.col(f"_o{i}").alias("rank")) for i in range(len(fields))))
     long = base.select("_group", F.inline(unpivoted)).where("value is not null")

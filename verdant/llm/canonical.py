@@ -12,6 +12,7 @@ Work is done on distinct wordings; the dictionary they make is then joined to al
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant.functions.udf import once
-from verdant.llm.wording import metric_form, name_forms
+from verdant.llm.wording import by_frequency, metric_form, name_forms, vocabulary_of
 from verdant.session import cut_lineage
 
 UNMATCHED = "unmatched"
+VOCABULARY_WORDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -67,34 +69,70 @@ def _edits(a: str, b: str, most: float) -> float:
     return prev[-1]
 
 
-def verify(form: str, name: str, rotations: list[str], rule: MatchRule) -> float:
-    """The score of a pair: mean of the Jaccard similarities of cyclic bigrams and trigrams; -1 if it is no match."""
+def score(form: str, name: str, rule: MatchRule) -> float:
+    """Mean of the Jaccard similarities of cyclic bigrams and trigrams; -1 if that of trigrams is under rule.join."""
     x, y = _cyclic(form, 3), _cyclic(name, 3)
     tri = len(x & y) / len(x | y)
     if tri < rule.join:
         return -1.0
     x, y = _cyclic(form, 2), _cyclic(name, 2)
-    score = (tri + len(x & y) / len(x | y)) / 2
-    if score >= rule.sure:
-        return score
+    return (tri + len(x & y) / len(x | y)) / 2
+
+
+def near_edits(form: str, name: str, rotations: list[str], rule: MatchRule) -> bool:
+    """Whether few enough edits make the form of the name or of one of its rotations by words."""
     most = rule.edit * len(name)
-    return score if any(_edits(form, r, most) <= most for r in rotations) else -1.0
+    return any(_edits(form, r, most) <= most for r in rotations)
 
 
-def _verify_udf(rule: MatchRule):
-    @F.pandas_udf(T.DoubleType())
+def verify(form: str, name: str, rotations: list[str], rule: MatchRule) -> float:
+    """The score of a pair; -1 if it is no match."""
+    got = score(form, name, rule)
+    return got if got < 0 or got >= rule.sure or near_edits(form, name, rotations, rule) else -1.0
+
+
+def _edits_udf(rule: MatchRule):
+    @F.pandas_udf(T.BooleanType())
     def run(forms: pd.Series, names: pd.Series, rotations: pd.Series) -> pd.Series:
-        return pd.Series([verify(f, n, list(r), rule) for f, n, r in zip(forms, names, rotations)], dtype="float64")
+        return pd.Series([near_edits(f, n, list(r), rule) for f, n, r in zip(forms, names, rotations)], dtype="bool")
+
+    return once(run)
+
+
+def _score_udf(rule: MatchRule):
+    @F.pandas_udf(T.DoubleType())
+    def run(forms: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([score(f, n, rule) for f, n in zip(forms, names)], dtype="float64")
 
     return once(run)
 
 
-@F.pandas_udf(T.StringType())
-def _form(texts: pd.Series) -> pd.Series:
-    return texts.map(metric_form, na_action="ignore")
+def _form_udf(vocabulary: tuple[str, ...]):
+    @F.pandas_udf(T.StringType())
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: metric_form(t, vocabulary), na_action="ignore")
+
+    return run
+
+
+def reference_vocabulary(reference: DataFrame, name_cols: list[str], alias_col: str | None) -> tuple[str, ...]:
+    """The words of the reference list's names, from which abbreviations are written out.
+
+    They are the words of one list of names, not of the rows; VOCABULARY_WORDS bounds them,
+    and a list of more is refused rather than cut.
+    """
+    names = F.array(*(F.col(c).cast("string") for c in name_cols))
+    if alias_col:
+        names = F.concat(names, F.coalesce(F.col(alias_col).cast("array<string>"), F.array().cast("array<string>")))
+    words: Counter[str] = Counter()
+    for row in reference.select(F.explode(names).alias("name")).where("name is not null").distinct().toLocalIterator():
+        words += vocabulary_of([row["name"]])
+        if len(words) > VOCABULARY_WORDS:
+            raise ValueError(f"the reference list has more than {VOCABULARY_WORDS} different words")
+    return by_frequency(words)
 
 
-def reference_forms(reference: DataFrame, id_col: str, name_cols: list[str], alias_col: str | None) -> DataFrame:
+def reference_forms(reference: DataFrame, id_col: str, name_cols: list[str], alias_col: str | None, vocabulary: tuple[str, ...] = ()) -> DataFrame:
     """(canonical_id, name, rotations) for every normal form of every name; ids repeated in the list are merged."""
     names = F.array(*(F.col(c).cast("string") for c in name_cols))
     if alias_col:
@@ -103,7 +141,7 @@ def reference_forms(reference: DataFrame, id_col: str, name_cols: list[str], ali
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(c, form, turns) for c, n in zip(batch["canonical_id"], batch["name"]) for form, turns in name_forms(n).items() if form]
+            rows = [(c, form, turns) for c, n in zip(batch["canonical_id"], batch["name"]) for form, turns in name_forms(n, vocabulary).items() if form]
             yield pd.DataFrame(rows, columns=["canonical_id", "name", "rotations"])
 
     forms = plain.where("name is not null and trim(name) <> ''").mapInPandas(run, "canonical_id string, name string, rotations array<string>")
@@ -138,10 +176,19 @@ def match_forms(forms: DataFrame, reference: DataFrame, rule: MatchRule = MatchR
     t = rule.join
     near = a.join(b, "gram").where((F.col("m") >= t * F.col("n")) & (F.col("n") >= t * F.col("m")))
     # The first common trigram is the least position on both sides: what may still follow it bounds the overlap.
-    pairs = near.groupBy("form", "name").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.min("at").alias("at"), F.min("bt").alias("bt"))
-    bound = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("bt"))
-    pairs = pairs.where(bound >= F.lit(t / (1 + t)) * (F.col("n") + F.col("m")) - 1e-9)
-    scored = pairs.join(reference, "name").withColumn("score", _verify_udf(rule)("form", "name", "rotations")).where("score >= 0")
+    firsts = F.first("n").alias("n"), F.first("m").alias("m"), F.min("at").alias("at"), F.min("bt").alias("bt"), F.count(F.lit(1)).alias("shared")
+    pairs = near.groupBy("form", "name").agg(*firsts)
+    n, m = F.col("n"), F.col("m")
+    least = F.ceil(F.lit(t / (1 + t)) * (n + m) - 1e-9)
+    # Of the prefixes a pair shares what it must share in all, less what is left out of either.
+    spare = least - F.greatest(F.ceil(t * n), F.ceil(t * m)) + 1
+    pairs = pairs.where((F.least(n - F.col("at"), m - F.col("bt")) >= least) & (F.col("shared") >= spare)).select("form", "name")
+    scored = cut_lineage(pairs.withColumn("score", _score_udf(rule)("form", "name")).where("score >= 0"))
+    # Edits are counted only where they can decide: below `sure`, for forms that no name is sure for.
+    sure = scored.where(F.col("score") >= rule.sure).join(reference.select("name", "canonical_id"), "name")
+    open_ = scored.join(sure.select("form").distinct(), "form", "left_anti").join(reference, "name")
+    close = open_.where(_edits_udf(rule)("form", "name", "rotations")).select(*sure.columns)
+    scored = sure.unionByName(close)
     best = scored.groupBy("form").agg(F.max("score").alias("best"), F.min_by(F.struct("name", "canonical_id"), F.struct(-F.col("score"), "name", "canonical_id")).alias("w"))
     return best.select("form", "w.canonical_id", "w.name", F.col("best").alias("score"))
 
@@ -159,8 +206,9 @@ def map_values(
     context = rows.sparkSession
     parts = max(context.sparkContext.defaultParallelism, int(context.conf.get("spark.sql.shuffle.partitions")))
     words = kept.select("_value").repartition(parts, "_value").distinct()  # a fixed number: the rows are small, the work on each is not
-    words = cut_lineage(words.withColumn("form", _form("_value")))
-    names = cut_lineage(reference_forms(reference, id_col, list(name_cols), alias_col))
+    vocabulary = reference_vocabulary(reference, list(name_cols), alias_col)
+    words = cut_lineage(words.withColumn("form", _form_udf(vocabulary)("_value")))
+    names = cut_lineage(reference_forms(reference, id_col, list(name_cols), alias_col, vocabulary))
     found = match_forms(words.select("form").distinct(), names, rule)
     dictionary = words.join(found, "form", "left")
     return kept.join(dictionary, "_value", "left").select(

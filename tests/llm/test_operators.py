@@ -163,6 +163,8 @@ def test_mixture_reaches_shares_and_caps(spark):
     assert r["small"].short and r["small"].reached == r["small"].capacity == 20 * 10 * 3
     assert r["none"].reached == 0 and not r["none"].short
     assert sampled.where("copies > 3").count() == 0 and sampled.select("doc_id").distinct().count() == sampled.count()
+    _, even = mixing.mix_sources(frame, targets.where("target_share > 0"), keep_shares=True)
+    assert all(abs(x.reached_share - x.target_share) < 0.01 and not x.short for x in even.collect())
     _, nothing = mixing.mix_sources(frame.limit(0), targets)
     assert {x.reached for x in nothing.collect()} == {0}
 

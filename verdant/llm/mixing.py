@@ -38,20 +38,25 @@ def sized_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
     return documents.select(F.col(id_col).alias("doc_id"), source_key(F.col(source_col)).alias("source"), token_count(F.col(text_col)).alias("n_tokens"))
 
 
-def mixture_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
+def mixture_plan(sized: DataFrame, targets: DataFrame, keep_shares: bool = False) -> DataFrame:
     """One row per listed source: what it has, may give at most, should give, and its copies a document.
 
     `wanted` is target_share of the tokens of all rows used once; rows of null or unlisted
     sources count only there.  A source without documents has zero available tokens.
+    With keep_shares the mixture is made smaller instead of letting short sources fall behind:
+    each source gives its share of the largest total that all with any tokens can fill (the
+    shares of those without stay empty).
     """
     wanted = targets.select(source_key(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("long"))
     wanted = wanted.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     held = sized.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count(F.lit(1)).alias("documents"))
-    one = F.lit(1).alias("_one")
-    total = held.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("total")).select(one, "total")  # one row
-    plan = wanted.select("*", one).join(held, "source", "left").fillna(0, ["available", "documents"]).join(F.broadcast(total), "_one").drop("_one")
+    total = held.agg(F.coalesce(F.sum("available"), F.lit(0))).scalar()
     capacity = F.col("available") * F.col("max_repeats")
-    goal = F.col("target_share") * F.col("total")
+    plan = wanted.join(held, "source", "left").fillna(0, ["available", "documents"])
+    if keep_shares:
+        filled = plan.where("target_share > 0 and available > 0").agg(F.min(capacity / F.col("target_share"))).scalar()
+        total = F.least(total.cast("double"), F.coalesce(filled, F.lit(0.0)))
+    goal = F.col("target_share") * total
     return plan.withColumns({"capacity": capacity, "wanted": goal}).withColumn(
         "copies_each", F.when(F.col("available") > 0, F.least(F.col("wanted") / F.col("available"), F.col("max_repeats").cast("double"))).otherwise(0.0)
     )
@@ -93,13 +98,13 @@ def mixture_report(sampled: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
+def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 17, keep_shares: bool = False) -> tuple[DataFrame, DataFrame]:
     """(sampled documents, report) of the mixture.
 
     Null texts and sources, extra columns, an empty table (a report of zero rows reached)
     and unlisted sources are all allowed; see mixture_plan and sample_mixture.
     """
     sized = cut_lineage(sized_documents(documents))  # texts are tokenised once
-    plan = cut_lineage(mixture_plan(sized, targets))
+    plan = cut_lineage(mixture_plan(sized, targets, keep_shares))
     sampled = sample_mixture(sized, plan, seed)
     return sampled, mixture_report(sampled, plan)

@@ -128,7 +128,7 @@ def test_financial_names(spark, name, want):
 
 
 def test_semantic_gate(spark):
-    rows = [("water recharge potential", "water withdrawal"), ("renewable energy used", "non-renewable energy used"), ("water used", "water used")]
+    rows = [("water capacity created", "water withdrawal"), ("renewable energy used", "non-renewable energy used"), ("water used", "water used")]
     why = semantics.gate_reasons(semantics.semantics_of(F.col("a")), semantics.semantics_of(F.col("b")), F.lit("volume"), F.lit("volume"))
     got = column(spark, rows, why, "a string, b string")
     assert "role_mismatch" in got[0] or "polarity_mismatch" in got[0]

@@ -11,30 +11,39 @@ from verdant.sources import read_table
 LOADED = ("normalized", "partial", "new_metric")
 
 
-def once(df: DataFrame, key: str | list[str], arrival: str) -> DataFrame:
-    """Rows delivered again fold into one; they differ only in the arrival time, which is dropped."""
+def once(df: DataFrame, key: str | list[str], arrival: str, where: Column | str | None = None) -> DataFrame:
+    """Rows delivered again fold into one; they differ only in the arrival time, which is dropped.
+
+    As the other columns are equal, `where` on them is applied first: it then reaches the scan,
+    and only the rows that pass it are shuffled.
+    """
+    if where is not None:
+        df = df.where(where)
     return df.drop(arrival).dropDuplicates([key] if isinstance(key, str) else key)
 
 
-def observations(spark: SparkSession, folder: str) -> DataFrame:
-    return once(read_table(spark, folder, "observation"), "obs_id", "loaded_at")
+def observations(spark: SparkSession, folder: str, where: Column | str | None = None) -> DataFrame:
+    return once(read_table(spark, folder, "observation"), "obs_id", "loaded_at", where)
 
 
-def report_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return once(read_table(spark, folder, "report_document"), "doc_id", "ingested_at")
+def report_documents(spark: SparkSession, folder: str, where: Column | str | None = None) -> DataFrame:
+    return once(read_table(spark, folder, "report_document"), "doc_id", "ingested_at", where)
 
 
-def facts(spark: SparkSession, folder: str) -> DataFrame:
-    return once(read_table(spark, folder, "extracted_fact"), "fact_id", "ingested_at")
+def facts(spark: SparkSession, folder: str, where: Column | str | None = None) -> DataFrame:
+    return once(read_table(spark, folder, "extracted_fact"), "fact_id", "ingested_at", where)
 
 
-def loaded(spark: SparkSession, folder: str) -> DataFrame:
+def loaded(spark: SparkSession, folder: str, where: Column | str | None = None) -> DataFrame:
     """Loaded observations with a finite value, and `period`, the year they report on.
 
+    `where` may use the columns of the table; put a condition on `period` behind.
     Observations whose document is unknown keep a period only if their label states one.
     """
-    obs = observations(spark, folder).where(F.col("normalization_status").isin(*LOADED))
-    obs = obs.where(F.col("normalised_value").isNotNull() & ~F.isnan("normalised_value"))
+    kept = F.col("normalization_status").isin(*LOADED) & F.col("normalised_value").isNotNull() & ~F.isnan("normalised_value")
+    if where is not None:
+        kept = kept & (F.expr(where) if isinstance(where, str) else where)
+    obs = observations(spark, folder, kept)
     docs = report_documents(spark, folder).select(F.col("doc_id").alias("source_doc_id"), F.col("fiscal_year").alias("document_period"))
     return obs.join(docs, "source_doc_id", "left").withColumn("period", period_key(F.col("period_label"), F.col("document_period")))
 

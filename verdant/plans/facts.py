@@ -77,7 +77,7 @@ def metric_decisions(spark: SparkSession, folder: str) -> DataFrame:
 @query("match_calibration")
 def match_calibration(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of the decisions against the metrics of the loaded observations."""
-    truth = star.observations(spark, folder).where("canonical_id is not null").groupBy(F.col("source_fact_id").alias("key")).agg(F.min("canonical_id").alias("expected"))
+    truth = star.observations(spark, folder, "canonical_id is not null").groupBy(F.col("source_fact_id").alias("key")).agg(F.min("canonical_id").alias("expected"))
     return matching.calibrate(matching.decide(_scored(spark, folder)), truth)
 
 

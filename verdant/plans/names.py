@@ -32,7 +32,7 @@ def name_risks(spark: SparkSession, folder: str) -> DataFrame:
 SELECT obs_id, nullif(array_to_string(list_filter(regexp_extract_all(lower(coalesce(raw_name, '')), '[a-z0-9]+'), lambda w: w NOT IN ({_STOP}) AND NOT regexp_matches(w, '^[0-9]+$'))[1:5], '_'), '') AS proposed_id
 FROM {OBS} WHERE canonical_id IS NULL""")
 def proposed_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return star.observations(spark, folder).where("canonical_id is null").select("obs_id", say.proposed_id(F.col("raw_name")).alias("proposed_id"))
+    return star.observations(spark, folder, "canonical_id is null").select("obs_id", say.proposed_id(F.col("raw_name")).alias("proposed_id"))
 
 
 @query("registry_usage", f"""
@@ -63,7 +63,7 @@ def remembered_decisions(spark: SparkSession, folder: str) -> DataFrame:
 @query("leader_clusters")
 def leader_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Greedy leader clusters of new metric names inside each company, in the order of first sight."""
-    new = star.observations(spark, folder).where("normalization_status = 'new_metric' and raw_name is not null and company_id is not null")
+    new = star.observations(spark, folder, "normalization_status = 'new_metric' and raw_name is not null and company_id is not null")
     first = new.groupBy("company_id", F.lower(F.trim("raw_name")).alias("name")).agg(F.min("obs_id").alias("seq"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -90,7 +90,7 @@ WITH f AS (SELECT fact_id, doc_id, value, {_CL.format(c='evidence')} AS e FROM {
  SELECT a.fact_id AS dropped, b.fact_id AS kept, length(b.e) AS n FROM f a JOIN f b ON a.doc_id = b.doc_id AND a.value = b.value AND length(a.e) < length(b.e) AND length(a.e) > 0 AND contains(b.e, a.e))
 SELECT dropped, arg_min(kept, (-n, kept)) AS kept FROM h GROUP BY ALL""")
 def contained_evidence(spark: SparkSession, folder: str) -> DataFrame:
-    f = star.facts(spark, folder).where("value is not null").select("fact_id", "doc_id", "value", dedup.clean(F.col("evidence")).alias("e"))
+    f = star.facts(spark, folder, "value is not null").select("fact_id", "doc_id", "value", dedup.clean(F.col("evidence")).alias("e"))
     return pages.contained_rows(f, ["doc_id", "value"], "fact_id", "e").select("dropped", "kept")
 
 

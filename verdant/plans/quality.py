@@ -40,7 +40,7 @@ def unit_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("failed_units", f"SELECT trim(raw_unit_string) AS unit, count(*) AS n FROM {OBS} WHERE normalisation_confidence = 'failed' AND trim(coalesce(raw_unit_string, '')) <> '' GROUP BY ALL")
 def failed_units(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.observations(spark, folder).where((F.col("normalisation_confidence") == "failed") & (F.trim(F.coalesce("raw_unit_string", F.lit(""))) != ""))
+    obs = star.observations(spark, folder, (F.col("normalisation_confidence") == "failed") & (F.trim(F.coalesce("raw_unit_string", F.lit(""))) != ""))
     return obs.groupBy(F.trim("raw_unit_string").alias("unit")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -79,7 +79,7 @@ def field_presence(spark: SparkSession, folder: str) -> DataFrame:
 @query("exact_without_value", f"SELECT obs_id FROM {OBS} WHERE normalisation_confidence IN ('exact', 'inferred') AND (normalised_value IS NULL OR isnan(normalised_value))")
 def exact_without_value(spark: SparkSession, folder: str) -> DataFrame:
     no_value = F.col("normalised_value").isNull() | F.isnan("normalised_value")
-    return star.observations(spark, folder).where(F.col("normalisation_confidence").isin("exact", "inferred") & no_value).select("obs_id")
+    return star.observations(spark, folder, F.col("normalisation_confidence").isin("exact", "inferred") & no_value).select("obs_id")
 
 
 @query("missing_dimension_rows", f"""
@@ -130,7 +130,7 @@ def recurring_names(spark: SparkSession, folder: str) -> DataFrame:
 SELECT lower(trim(raw_name)) AS name, CASE WHEN count(DISTINCT coalesce(canonical_id, '(none)')) = 1 THEN arg_max(coalesce(canonical_id, '(none)'), obs_id) END AS decision, count(DISTINCT coalesce(canonical_id, '(none)')) > 1 AS conflict
 FROM {OBS} WHERE raw_name IS NOT NULL GROUP BY ALL""")
 def review_memory(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.observations(spark, folder).where("raw_name is not null")
+    obs = star.observations(spark, folder, "raw_name is not null")
     rows = obs.select(F.lower(F.trim("raw_name")).alias("name"), F.coalesce("canonical_id", F.lit("(none)")).alias("signature"), "obs_id")
     return validate.merge_reviews(rows, "name", "signature", "obs_id")
 

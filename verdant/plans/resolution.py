@@ -123,7 +123,7 @@ def embedding_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 def _provisional(spark: SparkSession, folder: str) -> DataFrame:
     """Names of new metrics: one row per name and company, with unit family and words."""
-    new = star.observations(spark, folder).where("normalization_status = 'new_metric' and company_id is not null and raw_name is not null")
+    new = star.observations(spark, folder, "normalization_status = 'new_metric' and company_id is not null and raw_name is not null")
     rows = new.groupBy(metric_key(F.col("raw_name")).alias("name"), "company_id").agg(F.min(unit_family(F.col("raw_unit_string"))).alias("family"))
     return rows.where("name <> ''").withColumns({"id": F.concat_ws("|", "company_id", "name"), "tokens": F.split("name", " ")})
 

@@ -32,7 +32,8 @@ _BOTH = "lower(coalesce(value, '') || ' ' || coalesce(evidence, ''))"
 
 @query("primary_numbers", f"""
 SELECT fact_id, CASE WHEN len({_NUMS}) = 1 THEN try_cast(replace({_NUMS}[1], ',', '') AS DOUBLE)
-  WHEN len({_NUMS}) = 2 AND contains({_BOTH}, 'from') AND contains({_BOTH}, 'to') AND NOT regexp_matches({_BOTH}, {_q(number.GUIDANCE_PATTERN)})
+  WHEN len({_NUMS}) = 2 AND ((contains({_BOTH}, 'from') AND contains({_BOTH}, 'to')) OR (contains(lower(trim(coalesce(value, ''))), ' to ')
+  AND regexp_matches(coalesce(evidence, ''), {_q("(?i)" + number.MOVEMENT_PATTERN)}))) AND NOT regexp_matches({_BOTH}, {_q("(?i)" + number.GUIDANCE_PATTERN)})
   THEN try_cast(replace({_NUMS}[2], ',', '') AS DOUBLE) END AS number FROM {FACTS}""")
 def primary_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return star.facts(spark, folder).select("fact_id", number.primary_number(F.col("value"), F.col("evidence")).alias("number"))
@@ -92,7 +93,7 @@ b AS (SELECT *, CASE WHEN starts_with(label, 'CY') THEN make_date({_FY}, 1, 1) E
 SELECT obs_id, CAST(CASE WHEN kind IN ('full_year', 'baseline') THEN s END AS VARCHAR) AS start, CAST(CASE WHEN kind IN ('full_year', 'baseline', 'point_in_time') THEN e END AS VARCHAR) AS "end",
 CASE WHEN kind IN ('full_year', 'baseline') THEN 'range' WHEN kind = 'point_in_time' THEN 'point' ELSE 'unresolvable' END AS resolution FROM b""")
 def period_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.observations(spark, folder).where(F.col("period_label").rlike(r"^(FY|CY)\d{4}$"))
+    obs = star.observations(spark, folder, F.col("period_label").rlike(r"^(FY|CY)\d{4}$"))
     b = period.resolve_bounds(F.col("period_label"), F.col("period_type"), F.lit(3))
     return obs.select("obs_id", b.alias("b")).select("obs_id", F.col("b.start").cast("string").alias("start"), F.col("b.end").cast("string").alias("end"), "b.resolution")
 
@@ -122,7 +123,7 @@ def quarter_bounds(spark: SparkSession, folder: str) -> DataFrame:
 _T = "lower(trim(coalesce(metric, '')))"
 
 
-@query("financial_flags", f"SELECT fact_id, {_T} = 'sales' OR regexp_matches({_T}, {_q(semantics.FINANCIAL_PATTERN)}) OR regexp_matches({_T}, {_q(semantics.GROWTH_PATTERN)}) AS financial FROM {FACTS}")
+@query("financial_flags", f"SELECT fact_id, {_T} IN ({", ".join(_q(n) for n in semantics.FINANCIAL_NAMES)}) OR regexp_matches({_T}, {_q(semantics.FINANCIAL_PATTERN)}) OR regexp_matches({_T}, {_q(semantics.GROWTH_PATTERN)}) AS financial FROM {FACTS}")
 def financial_flags(spark: SparkSession, folder: str) -> DataFrame:
     return star.facts(spark, folder).select("fact_id", semantics.is_financial(F.col("metric")).alias("financial"))
 
@@ -131,7 +132,8 @@ _S = "lower(coalesce(metric, ''))"
 
 
 @query("metric_semantics", f"""
-WITH s AS (SELECT fact_id, {_case(_S, semantics.SUBJECTS)} AS subject, {_case(_S, semantics.ROLES)} AS role, {_case(_S, semantics.ENERGY_SOURCES)} AS energy_source FROM {FACTS})
+WITH t AS (SELECT fact_id, {_case(_S, semantics.SUBJECTS)} AS subject, {_case(_S, semantics.ROLES)} AS said, {_case(_S, semantics.ENERGY_SOURCES)} AS energy_source, {_case(_S, semantics.DENOMINATORS)} AS denominator FROM {FACTS}),
+s AS (SELECT * EXCLUDE (said), CASE WHEN denominator IS NOT NULL AND coalesce(said, '') NOT IN ('intensity', 'generation', 'consumption', 'withdrawal') THEN 'intensity' ELSE said END AS role FROM t)
 SELECT *, CASE {" ".join(f"WHEN role = '{r}' THEN '{p}'" for r, p in semantics.POLARITIES.items())} END AS polarity FROM s""")
 def metric_semantics(spark: SparkSession, folder: str) -> DataFrame:
     s = semantics.semantics_of(F.lower(F.coalesce("metric", F.lit(""))))
@@ -144,7 +146,7 @@ r AS (SELECT canonical_id, lower(display_name) AS t, {_case("trim(unit)", number
 x AS (SELECT o.obs_id, o.fam AS of, r.fam AS rf, {", ".join(f"{_case('o.t', rules)} AS o{i}, {_case('r.t', rules)} AS r{i}" for i, rules in enumerate((semantics.SUBJECTS, semantics.ENERGY_SOURCES)))} FROM o JOIN r USING (canonical_id))
 SELECT obs_id, o0 IS NOT NULL AND r0 IS NOT NULL AND o0 <> r0 AS subject_differs, o1 IS NOT NULL AND r1 IS NOT NULL AND o1 <> r1 AS source_differs, of <> rf AND of <> 'unknown' AND rf <> 'unknown' AS unit_differs FROM x""")
 def semantic_gate(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.observations(spark, folder).where("canonical_id is not null")
+    obs = star.observations(spark, folder, "canonical_id is not null")
     obs = obs.select("obs_id", "canonical_id", semantics.semantics_of(F.lower(F.coalesce("raw_name", F.lit("")))).alias("a"), number.unit_family(F.col("raw_unit_string")).alias("af"))
     reg = read_table(spark, folder, "consumer_master_registry_v1").select("canonical_id", semantics.semantics_of(F.lower("display_name")).alias("b"), number.unit_family(F.col("unit")).alias("bf"))
     why = obs.join(reg, "canonical_id").select("obs_id", semantics.gate_reasons(F.col("a"), F.col("b"), F.col("af"), F.col("bf")).alias("why"))
@@ -175,5 +177,5 @@ FROM {OBS} o JOIN (SELECT fact_id, try_cast(replace(value, ',', '') AS DOUBLE) A
 WHERE v IS NOT NULL AND o.normalised_value IS NOT NULL AND NOT isnan(o.normalised_value) GROUP BY ALL""")
 def value_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     facts = star.facts(spark, folder).select(F.col("fact_id").alias("source_fact_id"), F.regexp_replace("value", ",", "").try_cast("double").alias("v")).where("v is not null")
-    obs = star.observations(spark, folder).where(F.col("normalised_value").isNotNull() & ~F.isnan("normalised_value"))
+    obs = star.observations(spark, folder, F.col("normalised_value").isNotNull() & ~F.isnan("normalised_value"))
     return obs.join(facts, "source_fact_id").groupBy("company_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(number.close_to(F.col("normalised_value"), F.col("v"))).alias("near"))

@@ -35,7 +35,7 @@ def cross_company_compare(spark: SparkSession, folder: str) -> DataFrame:
 SELECT company_id, canonical_id, period, normalised_unit_symbol, max(normalised_value) AS value, count(*) AS observations
 FROM {LOADED} WHERE canonical_id IS NOT NULL GROUP BY ALL""")
 def metric_time_series(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).where("canonical_id is not null")
+    obs = star.loaded(spark, folder, "canonical_id is not null")
     return obs.groupBy("company_id", "canonical_id", "period", "normalised_unit_symbol").agg(F.max("normalised_value").alias("value"), F.count(F.lit(1)).alias("observations"))
 
 
@@ -44,7 +44,7 @@ SELECT c.name, l.period, max(l.normalised_value) AS value FROM {LOADED} l JOIN c
 JOIN consumer_master_registry_v1 r USING (canonical_id) WHERE r.category = 'water' AND l.normalised_value < 1e6 GROUP BY ALL""")
 def bounded_time_series(spark: SparkSession, folder: str) -> DataFrame:
     metrics = read_table(spark, folder, "consumer_master_registry_v1").where("category = 'water'").select("canonical_id")
-    obs = star.loaded(spark, folder).where("normalised_value < 1e6").join(metrics, "canonical_id")
+    obs = star.loaded(spark, folder, "normalised_value < 1e6").join(metrics, "canonical_id")
     named = obs.join(read_table(spark, folder, "company").select("company_id", "name"), "company_id")
     return named.groupBy("name", "period").agg(F.max("normalised_value").alias("value"))
 
@@ -53,7 +53,7 @@ def bounded_time_series(spark: SparkSession, folder: str) -> DataFrame:
 SELECT company_id, canonical_id, max(normalised_value) AS value FROM {LOADED}
 WHERE canonical_id IN ('energy_green', 'energy_total') AND period = 'FY2024' GROUP BY ALL""")
 def two_metric_compare(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).where(F.col("canonical_id").isin("energy_green", "energy_total") & (F.col("period") == "FY2024"))
+    obs = star.loaded(spark, folder, F.col("canonical_id").isin("energy_green", "energy_total")).where("period = 'FY2024'")
     return obs.groupBy("company_id", "canonical_id").agg(F.max("normalised_value").alias("value"))
 
 
@@ -66,7 +66,7 @@ def share_of_total(spark: SparkSession, folder: str) -> DataFrame:
     def most(metric):
         return F.max(F.when(F.col("canonical_id") == metric, F.col("normalised_value")))
 
-    obs = star.loaded(spark, folder).where(F.col("canonical_id").isin("energy_green", "energy_total"))
+    obs = star.loaded(spark, folder, F.col("canonical_id").isin("energy_green", "energy_total"))
     both = obs.groupBy("company_id", "period").agg(most("energy_green").alias("part"), most("energy_total").alias("total"))
     return both.where("part is not null and total > 0").withColumn("rest_percent", F.round(100 - 100 * F.col("part") / F.col("total"), 4))
 
@@ -76,7 +76,7 @@ SELECT a.company_id, a.period, round(max(a.normalised_value / b.normalised_value
 FROM {LOADED} a JOIN {LOADED} b ON a.company_id = b.company_id AND a.period = b.period
 WHERE a.canonical_id = 'water_loop' AND b.canonical_id = 'water_in' AND b.normalised_value > 0 GROUP BY ALL""")
 def metric_ratio_self_join(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).select("company_id", "period", "canonical_id", "normalised_value")
+    obs = star.loaded(spark, folder, "canonical_id in ('water_loop', 'water_in')").select("company_id", "period", "canonical_id", "normalised_value")
     # The largest ratio is the largest numerator over the smallest denominator of its sign: one aggregation, no self-join.
     up, down = F.col("canonical_id") == "water_loop", (F.col("canonical_id") == "water_in") & (F.col("normalised_value") > 0)
     v = F.col("normalised_value")
@@ -89,7 +89,7 @@ def metric_ratio_self_join(spark: SparkSession, folder: str) -> DataFrame:
 SELECT company_id, raw_name, max(normalised_value) AS value FROM {LOADED}
 WHERE contains(lower(raw_name), 'renewable') AND normalised_unit_symbol = '%' GROUP BY ALL""")
 def raw_name_percent(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).where(F.lower("raw_name").contains("renewable") & (F.col("normalised_unit_symbol") == "%"))
+    obs = star.loaded(spark, folder, F.lower("raw_name").contains("renewable") & (F.col("normalised_unit_symbol") == "%"))
     return obs.groupBy("company_id", "raw_name").agg(F.max("normalised_value").alias("value"))
 
 
@@ -117,7 +117,7 @@ def best_with_evidence(spark: SparkSession, folder: str) -> DataFrame:
 SELECT canonical_id, period, company_id, round(max(normalised_value) / 1000.0, 6) AS value_thousands
 FROM {LOADED} WHERE period IN ('FY2023', 'FY2024') AND canonical_id IS NOT NULL GROUP BY ALL""")
 def metric_explorer(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).where(F.col("period").isin("FY2023", "FY2024") & F.col("canonical_id").isNotNull())
+    obs = star.loaded(spark, folder, "canonical_id is not null").where(F.col("period").isin("FY2023", "FY2024"))
     return obs.groupBy("canonical_id", "period", "company_id").agg(F.round(F.max("normalised_value") / 1000.0, 6).alias("value_thousands"))
 
 
@@ -137,14 +137,14 @@ SELECT obs_id, company_id, raw_name, normalised_value FROM {LOADED} WHERE canoni
 AND normalised_value BETWEEN 10 AND 1000000 AND NOT contains(lower(raw_name), 'restated') AND NOT contains(lower(raw_name), 'contract')""")
 def headcount_rows(spark: SparkSession, folder: str) -> DataFrame:
     name = F.lower("raw_name")
-    obs = star.loaded(spark, folder).where((F.col("canonical_id") == "staff_total") & F.col("normalised_value").between(10, 1_000_000))
+    obs = star.loaded(spark, folder, (F.col("canonical_id") == "staff_total") & F.col("normalised_value").between(10, 1_000_000))
     return obs.where(~name.contains("restated") & ~name.contains("contract")).select("obs_id", "company_id", "raw_name", "normalised_value")
 
 
 @query("raw_name_listing", f"""
 SELECT company_id, raw_name, raw_value, raw_unit_string, page FROM {OBS} WHERE starts_with(lower(raw_name), 'scope')""")
 def raw_name_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return star.observations(spark, folder).where(F.lower("raw_name").startswith("scope")).select("company_id", "raw_name", "raw_value", "raw_unit_string", "page")
+    return star.observations(spark, folder, F.lower("raw_name").startswith("scope")).select("company_id", "raw_name", "raw_value", "raw_unit_string", "page")
 
 
 @query("graph_stats", f"""
@@ -164,7 +164,7 @@ def graph_stats(spark: SparkSession, folder: str) -> DataFrame:
 SELECT canonical_id, company_id, period, count(*) AS n, min(normalised_value) AS least, max(normalised_value) AS most FROM {LOADED}
 WHERE canonical_id IS NOT NULL GROUP BY ALL""")
 def observations_of_metric(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).where("canonical_id is not null")
+    obs = star.loaded(spark, folder, "canonical_id is not null")
     return obs.groupBy("canonical_id", "company_id", "period").agg(F.count(F.lit(1)).alias("n"), F.min("normalised_value").alias("least"), F.max("normalised_value").alias("most"))
 
 
@@ -172,7 +172,7 @@ def observations_of_metric(spark: SparkSession, folder: str) -> DataFrame:
 SELECT lower(trim(raw_name)) AS name, count(*) AS n, count(DISTINCT company_id) AS companies FROM {OBS}
 WHERE normalization_status = 'new_metric' GROUP BY ALL ORDER BY n DESC, name LIMIT 20""")
 def provisional_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    new = star.observations(spark, folder).where("normalization_status = 'new_metric'")
+    new = star.observations(spark, folder, "normalization_status = 'new_metric'")
     counts = new.groupBy(F.lower(F.trim("raw_name")).alias("name")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("company_id").alias("companies"))
     return counts.orderBy(F.desc("n"), "name").limit(20)  # a top-20 report
 
@@ -208,7 +208,7 @@ def status_pivot(spark: SparkSession, folder: str) -> DataFrame:
 SELECT canonical_id, count(DISTINCT company_id) AS companies, count(DISTINCT source_doc_id) AS documents FROM {OBS} WHERE canonical_id IS NOT NULL
 GROUP BY ALL HAVING count(DISTINCT company_id) > 1""")
 def metric_cross_listing(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.observations(spark, folder).where("canonical_id is not null")
+    obs = star.observations(spark, folder, "canonical_id is not null")
     return obs.groupBy("canonical_id").agg(F.count_distinct("company_id").alias("companies"), F.count_distinct("source_doc_id").alias("documents")).where("companies > 1")
 
 
@@ -218,7 +218,7 @@ SELECT company_id, canonical_id, min(period) AS first_period, max(period) AS las
   round(100 * (arg_max(v, period) - arg_min(v, period)) / arg_min(v, period), 4) AS change_percent
 FROM m GROUP BY ALL HAVING count(*) > 1 AND arg_min(v, period) <> 0""")
 def change_first_to_last(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).where("canonical_id is not null and period like 'FY%'")
+    obs = star.loaded(spark, folder, "canonical_id is not null").where("period like 'FY%'")
     m = obs.groupBy("company_id", "canonical_id", "period").agg(F.max("normalised_value").alias("v"))
     ends = m.groupBy("company_id", "canonical_id").agg(F.min("period").alias("first_period"), F.max("period").alias("last_period"), F.min_by("v", "period").alias("a"), F.max_by("v", "period").alias("b"), F.count(F.lit(1)).alias("n"))
     return ends.where("n > 1 and a <> 0").select("company_id", "canonical_id", "first_period", "last_period", F.round(100 * (F.col("b") - F.col("a")) / F.col("a"), 4).alias("change_percent"))
@@ -230,7 +230,7 @@ WITH m AS (SELECT company_id, period, canonical_id, max(normalised_value) AS v F
 s AS (SELECT company_id, period, round(sum(v), 2) AS total FROM m GROUP BY ALL)
 SELECT period, company_id, total FROM (SELECT *, row_number() OVER (PARTITION BY period ORDER BY total DESC, company_id) AS n FROM s WHERE period IS NOT NULL) WHERE n = 1""")
 def largest_summed_scopes(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).where(F.col("canonical_id").isin("ghg_direct_total", "ghg_power_location", "ghg_value_chain") & F.col("period").isNotNull())
+    obs = star.loaded(spark, folder, F.col("canonical_id").isin("ghg_direct_total", "ghg_power_location", "ghg_value_chain")).where("period is not null")
     m = obs.groupBy("company_id", "period", "canonical_id").agg(F.max("normalised_value").alias("v"))
     s = m.groupBy("company_id", "period").agg(F.round(F.sum("v"), 2).alias("total"))
     return star.argmax_rows(s, ["period"], "total", "company_id").select("period", "company_id", "total")
@@ -322,7 +322,7 @@ WITH seen AS (SELECT canonical_id, min(normalised_unit_symbol) AS unit FROM {OBS
 SELECT coalesce(r.canonical_id, s.canonical_id) AS canonical_id, coalesce(r.unit, s.unit) AS keep_base, coalesce(s.unit, r.unit) AS keep_override
 FROM consumer_master_registry_v1 r FULL OUTER JOIN seen s ON r.canonical_id = s.canonical_id""")
 def registry_override_merge(spark: SparkSession, folder: str) -> DataFrame:
-    seen = star.observations(spark, folder).where("canonical_id is not null").groupBy("canonical_id").agg(F.min("normalised_unit_symbol").alias("over"))
+    seen = star.observations(spark, folder, "canonical_id is not null").groupBy("canonical_id").agg(F.min("normalised_unit_symbol").alias("over"))
     base = read_table(spark, folder, "consumer_master_registry_v1").select("canonical_id", "unit")
     return base.join(seen, "canonical_id", "full").select("canonical_id", F.coalesce("unit", "over").alias("keep_base"), F.coalesce("over", "unit").alias("keep_override"))
 
@@ -344,7 +344,7 @@ SELECT company_id, name, CAST(number AS INT) AS number, 'prov_' || company_id ||
   SELECT company_id, name, row_number() OVER (PARTITION BY company_id ORDER BY first, name) AS number FROM (
     SELECT company_id, lower(trim(raw_name)) AS name, min(obs_id) AS first FROM {OBS} WHERE normalization_status = 'new_metric' AND company_id IS NOT NULL GROUP BY ALL))""")
 def provisional_numbering(spark: SparkSession, folder: str) -> DataFrame:
-    new = star.observations(spark, folder).where("normalization_status = 'new_metric' and company_id is not null").select("company_id", F.lower(F.trim("raw_name")).alias("name"), "obs_id")
+    new = star.observations(spark, folder, "normalization_status = 'new_metric' and company_id is not null").select("company_id", F.lower(F.trim("raw_name")).alias("name"), "obs_id")
     label = F.concat(F.lit("prov_"), F.col("company_id"), F.lit("_"), F.lpad(F.col("number").cast("string"), 6, "0"))
     return star.numbered_first_seen(new, "company_id", "name", "obs_id", label)
 
@@ -358,7 +358,7 @@ def uniqueness_violations(spark: SparkSession, folder: str) -> DataFrame:
 SELECT fiscal_year, prefix, lead(fiscal_year) OVER (PARTITION BY prefix ORDER BY fiscal_year) AS next_year FROM (
   SELECT DISTINCT fiscal_year, left(fiscal_year, 2) AS prefix FROM {DOCS} WHERE fiscal_year IS NOT NULL)""")
 def year_chain(spark: SparkSession, folder: str) -> DataFrame:
-    years = star.report_documents(spark, folder).where("fiscal_year is not null").select("fiscal_year", F.substring("fiscal_year", 1, 2).alias("prefix")).distinct()
+    years = star.report_documents(spark, folder, "fiscal_year is not null").select("fiscal_year", F.substring("fiscal_year", 1, 2).alias("prefix")).distinct()
     return years.withColumn("next_year", F.lead("fiscal_year").over(Window.partitionBy("prefix").orderBy("fiscal_year")))
 
 
@@ -367,7 +367,7 @@ WITH m AS (SELECT company_id, canonical_id, period, max(normalised_value) AS v F
 w AS (SELECT *, lag(v) OVER (PARTITION BY company_id, canonical_id ORDER BY period) AS prior FROM m)
 SELECT company_id, canonical_id, period, v AS value, prior FROM w WHERE prior IS NOT NULL AND prior <> 0 AND abs((v - prior) / prior) > 1""")
 def extreme_movement(spark: SparkSession, folder: str) -> DataFrame:
-    obs = star.loaded(spark, folder).where("canonical_id is not null and period like 'FY%'")
+    obs = star.loaded(spark, folder, "canonical_id is not null").where("period like 'FY%'")
     m = obs.groupBy("company_id", "canonical_id", "period").agg(F.max("normalised_value").alias("value"))
     m = m.withColumn("prior", F.lag("value").over(Window.partitionBy("company_id", "canonical_id").orderBy("period")))  # one row a year
     return m.where("prior <> 0 and abs((value - prior) / prior) > 1")

@@ -66,10 +66,14 @@ def dimension(text: Column) -> Column:
 SCOPE3_WORDS = ("purchased goods", "capital goods", "fuel", "upstream transport", "waste", "business travel", "commut", "upstream leased", "downstream transport", "processing", "use of sold", "end-of-life", "downstream leased", "franchise", "investment")
 
 
+def about_scope3(text: Column) -> Column:
+    return F.lower(F.coalesce(text, F.lit(""))).rlike(r"scope[\s-]*3|value chain emission")
+
+
 def scope3_category(name: Column, context: Column) -> Column:
     """Number of the scope 3 category a name speaks of, where name or context is about scope 3; null otherwise."""
     t = F.lower(F.coalesce(name, F.lit("")))
-    about = F.concat_ws(" ", t, F.lower(F.coalesce(context, F.lit("")))).rlike(r"scope[\s-]*3|value chain emission")
+    about = about_scope3(F.concat_ws(" ", t, F.coalesce(context, F.lit(""))))
     stated = F.nullif(F.regexp_extract(t, r"category\s*(1[0-5]|[1-9])\b", 1), F.lit("")).cast("int")
     by_word = F.coalesce(*(F.when(t.contains(w), F.lit(i + 1)) for i, w in enumerate(SCOPE3_WORDS)))
     return F.when(about, F.coalesce(stated, by_word))
@@ -122,3 +126,38 @@ def singular(word: Column) -> Column:
         .when(word.rlike(r"[^su]s$") & (F.length(word) > 3), F.regexp_replace(word, "s$", ""))
         .otherwise(word)
     )
+
+
+# Words in place of a value, words that are numbers, ids of tables to skip, and nouns that count themselves.
+JUNK_VALUE = r"(?i)^(unknown|n/?a|na|nil|none|percentage|percent|days?|years?|months?|quarters?)$"
+NUMBER_WORDS = r"(?i)\b(one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|hundred|thousand|million|billion|lakh|crore|half|quarter|third|double|triple)\b"
+SKIPPED_IDS = ("exchange_rate", "exchange_rates", "principal_exchange", "companies_of_the", "list_of_companies")
+COUNTED_NOUNS = r"(?i)\b(lines?|plants?|facilities?|sites?|factories?|warehouses?|suppliers?|incidents?|injuries?|products?|skus?|outlets?|stores?|hubs?|depots?)\b"
+
+
+def drop_reason(sentence: Column, value: Column) -> Column:
+    """Why a candidate is dropped, the first that holds: no sentence, no value, a junk word, no number; null if it stays."""
+    s, v = F.trim(F.coalesce(sentence, F.lit(""))), F.trim(F.coalesce(value, F.lit("")))
+    return (
+        F.when(s == "", "missing_source_sentence").when(v == "", "missing_raw_value_candidate").when(v.rlike(JUNK_VALUE), "junk_raw_value_candidate")
+        .when(~(v.rlike("[0-9]") | v.rlike(NUMBER_WORDS)), "non_numeric_raw_value_candidate")
+    )
+
+
+def skipped_table(kind: Column, chunk_id: Column) -> Column:
+    """Whether a chunk is a table whose id is one of those to skip."""
+    hit = F.lit(False)
+    for part in SKIPPED_IDS:
+        hit = hit | F.lower(chunk_id).contains(part)
+    return (kind == "table") & hit
+
+
+def sanitised(text: Column) -> Column:
+    """The trimmed text; punctuation alone and null become empty."""
+    t = F.trim(F.coalesce(text, F.lit("")))
+    return F.when(t.rlike(r"^[,.;:\-?()\[\]{}/\\]+$"), "").otherwise(t)
+
+
+def clear_unit(unit: Column, context: Column) -> Column:
+    """Whether a unit is stated, or the context names things that are counted."""
+    return ~F.lower(F.trim(F.coalesce(unit, F.lit("")))).isin("", "n/a", "unknown", "not stated") | F.coalesce(context, F.lit("")).rlike(COUNTED_NOUNS)

@@ -91,3 +91,117 @@ def resolve_bounds(label: Column, period_type: Column, end_month: Column) -> Col
     e = F.when(dated & (kind == "target"), F.make_date(year, F.lit(12), F.lit(31))).when(dated & kind.isin("full_year", "baseline", "point_in_time"), end).otherwise(none)
     how = F.when(e.isNull(), "unresolvable").when(kind == "target", "end_only").when(kind == "point_in_time", "point").otherwise("range")
     return F.struct(s.alias("start"), e.alias("end"), how.alias("resolution"))
+
+
+# How a text states a year, and strings that state none.
+FISCAL, CALENDAR = r"(?i)\bFY\s*([12][90]\d{2})\b", r"(?i)\bCY\s*([12][90]\d{2})\b"
+YEAR_RANGE = r"(?i)\b(?:FY\s*)?([12][90]\d{2})\s*[-/]\s*(\d{4}|\d{2})\b"
+AS_OF = r"(?i)\bas of\b[^.:\n]{0,40}\b([12][90]\d{2})\b"
+BARE_YEAR, BY_YEAR, SINCE_YEAR = r"((?:19|20)\d{2})", r"(?i)\bby\s+([12][90]\d{2})\b", r"(?i)\bsince\s+([12][90]\d{2})\b"
+QUARTER, MONTH = r"(?i)\bQ([1-4])\b", r"(?i)\b(january|february|march|april|may|june|july|august|september|october|november|december)\b"
+MONTH_NAMES = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+NO_YEAR_STRINGS = (
+    "current", "ongoing", "present", "now", "currently", "current year", "this year", "annual", "yearly", "as of date", "as at", "to date", "cumulative",
+    "rolling", "continuous", "permanent", "indefinite", "open ended", "open-ended", "no fixed date", "not applicable", "year", "period", "reporting period",
+    "reporting year",
+)
+OPEN_ENDED_STRINGS = ("open ended", "open-ended", "no fixed date", "indefinite", "permanent")
+
+
+def _found(text: Column, pattern: str, group: int = 1) -> Column:
+    return F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), pattern, group), F.lit(""))
+
+
+def period_kind(document_period: Column) -> Column:
+    return F.when(F.upper(F.coalesce(document_period, F.lit(""))).startswith("FY"), "FY").otherwise("CY")
+
+
+def year_token(text: Column, kind: Column) -> Column:
+    """FYyyyy or CYyyyy that a text states: fiscal, calendar, the end of a range, "as of", then any year; null without one."""
+    start, end = _found(text, YEAR_RANGE, 1).cast("int"), _found(text, YEAR_RANGE, 2)
+    century = F.floor(start / 100).cast("int") * 100 + end.cast("int")
+    last = F.when(F.length(end) == 4, end.cast("int")).when(century < start, century + 100).otherwise(century)
+    bare = _found(text, BARE_YEAR)
+    calendar = F.coalesce(text, F.lit("")).rlike(r"(?i)\bcalendar\b")
+    return F.coalesce(
+        F.concat(F.lit("FY"), _found(text, FISCAL)), F.concat(F.lit("CY"), _found(text, CALENDAR)), F.concat(kind, last.cast("string")),
+        F.concat(kind, _found(text, AS_OF)), F.concat(F.when(calendar, "CY").otherwise(kind), bare),
+    )
+
+
+def stated_label(raw: Column, sentence: Column, fact_type: Column, document_period: Column, filing_year: Column) -> tuple[Column, Column]:
+    """(label, extracted or inferred).
+
+    A period that is one of the strings without a year takes the report's, and open_ended
+    for an open-ended target; any other takes the year of its own text, then of the
+    sentence, then the report's.
+    """
+    kind = period_kind(document_period)
+    own = F.coalesce(year_token(document_period, kind), F.concat(kind, filing_year.cast("string")), F.lit(""))
+    bare = F.regexp_replace(F.lower(F.trim(F.coalesce(raw, F.lit("")))), r"^[.,;: ]+|[.,;: ]+$", "")
+    fixed = bare.isin(*NO_YEAR_STRINGS)
+    stated = F.coalesce(year_token(raw, kind), year_token(sentence, kind))
+    opened = (F.lower(F.trim(F.coalesce(fact_type, F.lit("")))) == "target") & bare.isin(*OPEN_ENDED_STRINGS)
+    label = F.when(fixed & opened, "open_ended").when(fixed, own).otherwise(F.coalesce(stated, own))
+    return label, F.when(~fixed & stated.isNotNull(), "extracted").otherwise("inferred")
+
+
+def half_bounds(year: Column, end_month: Column, half: Column) -> tuple[Column, Column]:
+    """First and last day of half 1 or 2 of the fiscal year that ends in end_month of `year`."""
+    start, _ = fiscal_bounds(year, end_month)
+    first = F.add_months(start, (half - 1) * 6)
+    return first, F.last_day(F.add_months(first, 5))
+
+
+def _token_bounds(token: Column, end_month: Column) -> tuple[Column, Column]:
+    year = F.substring(token, 3, 4).try_cast("int")
+    return fiscal_bounds(year, F.when(token.startswith("FY"), end_month).otherwise(12))
+
+
+def resolve_period(label: Column, period_type: Column, sentence: Column, document_period: Column, end_month: Column) -> Column:
+    """struct(start, end, resolution) of a fact's period.
+
+    Full years and baselines have both bounds, targets ("by 2030") the end only; cumulative
+    figures run from "since" to the end of the report's year; points in time are the last day
+    of the month that label or sentence name in an "as of" year; parts are the quarter or
+    half that they name.  resolution is resolved, inferred or unresolvable.
+    """
+    kind, none = period_kind(document_period), F.lit(None).cast("date")
+    both = F.concat_ws(" ", F.coalesce(label, F.lit("")), F.coalesce(sentence, F.lit("")))
+    own, report = year_token(label, kind), year_token(document_period, kind)
+    what = F.lower(F.trim(F.coalesce(period_type, F.lit(""))))
+    whole = what.isin("full_year", "baseline")
+    year_start, year_end = _token_bounds(F.coalesce(own, report), end_month)
+    _, report_end = _token_bounds(report, end_month)
+    target, since = _found(both, BY_YEAR).cast("int"), _found(both, SINCE_YEAR).cast("int")
+    as_of = F.coalesce(_found(label, AS_OF), _found(sentence, AS_OF)).cast("int")
+    months = F.create_map(*(F.lit(x) for pair in ((m, i + 1) for i, m in enumerate(MONTH_NAMES)) for x in pair))
+    month = F.coalesce(F.try_element_at(months, F.lower(_found(both, MONTH))), F.lit(12))
+    point = F.last_day(F.make_date(as_of, month, F.lit(1)))
+    token = F.coalesce(own, year_token(sentence, kind))
+    year, quarter = F.substring(token, 3, 4).try_cast("int"), _found(both, QUARTER).cast("int")
+    half = F.when(both.rlike(r"(?i)\bh1\b|half year"), 1).when(both.rlike(r"(?i)\bh2\b"), 2)
+    q_start, q_end = quarter_bounds(year, F.when(token.startswith("FY"), end_month).otherwise(12), quarter)
+    h_start, h_end = half_bounds(year, end_month, half)
+    fiscal = token.startswith("FY")
+    start = (
+        F.when(whole, year_start).when((what == "cumulative") & since.isNotNull(), F.make_date(since, F.lit(1), F.lit(1))).when(what == "point_in_time", point)
+        .when((what == "partial") & quarter.isNotNull(), q_start).when((what == "partial") & fiscal, h_start).otherwise(none)
+    )
+    end = (
+        F.when(whole, year_end).when(what == "target", F.make_date(target, F.lit(12), F.lit(31))).when(what == "cumulative", report_end).when(what == "point_in_time", point)
+        .when((what == "partial") & quarter.isNotNull(), q_end).when((what == "partial") & fiscal, h_end).otherwise(none)
+    )
+    how = (
+        F.when(what == "cumulative", F.when(since.isNotNull(), "resolved").when(report_end.isNotNull(), "inferred").otherwise("unresolvable"))
+        .when(end.isNotNull(), "resolved").when(what == "partial", "inferred").otherwise("unresolvable")
+    )
+    return F.struct(start.alias("start"), end.alias("end"), how.alias("resolution"))
+
+
+def rolling_bounds(year: Column, end_month: Column, quarter: Column) -> tuple[Column, Column]:
+    """First and last day of the twelve months that end with a quarter, or with the year if it is null."""
+    _, year_end = fiscal_bounds(year, end_month)
+    _, q_end = quarter_bounds(year, end_month, quarter)
+    end = F.coalesce(q_end, year_end)
+    return F.trunc(F.add_months(end, -11), "month"), end

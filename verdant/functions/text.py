@@ -44,6 +44,18 @@ def quantity_score(text: Column) -> Column:
     return score
 
 
+# Signs and words that make a number on a page a quantity.
+QUANTITY_WORDS = (
+    r"[%₹$€£]|\b(?:crore|lakh|million|billion|tonnes?|tons?|kg|kl|litres?|employees?|workers?|sites?|plants?|factories?|facilities?|"
+    r"stores?|outlets?|suppliers?|hours?|days?|women|men|co2|co2e)\b"
+)
+
+
+def states_quantity(text: Column) -> Column:
+    """Whether a text holds a digit and a sign or word of quantity; null text holds none."""
+    return F.coalesce(text.rlike("[0-9]") & text.rlike(f"(?i){QUANTITY_WORDS}"), F.lit(False))
+
+
 def phrase_score(text: Column, weights: dict[str, int]) -> Column:
     """Sum of the weights of the phrases that occur, each once."""
     lower = F.lower(text)

@@ -45,11 +45,6 @@ def fact_dimensions(spark: SparkSession, folder: str) -> DataFrame:
     return star.facts(spark, folder).select("fact_id", say.dimension(F.col("metric")).alias("d")).select("fact_id", "d.type", "d.member")
 
 
-@query("scope3_categories")
-def scope3_categories(spark: SparkSession, folder: str) -> DataFrame:
-    return star.facts(spark, folder).select("fact_id", say.scope3_category(F.col("metric"), F.col("evidence")).alias("category")).where("category is not null")
-
-
 @query("period_types", f"""
 WITH x AS (SELECT fact_id, lower(trim(period_type)) AS k, fact_type, lower(coalesce(period, '') || ' ' || coalesce(evidence, '')) AS t FROM {FACTS})
 SELECT fact_id, CASE WHEN k IS NOT NULL AND k NOT IN ('', 'unknown') THEN k WHEN fact_type = 'target' OR regexp_matches(t, '\\bby (?:19|20)[0-9]{{2}}\\b') THEN 'target'

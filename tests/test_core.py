@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from verdant.functions import facts as say
 from verdant.functions import number, period, quantity, semantics, similarity, text, unit
-from verdant.operators import chunks, cluster, dedup, intervals, matching, resolve, star, units, validate, vectors
+from verdant.operators import chunks, cluster, dedup, intervals, matching, resolve, review, star, units, validate, vectors
 from verdant.plans import router
 from verdant.sources import files, providers
 from verdant.streaming import resume
@@ -421,3 +421,66 @@ def test_page_operators(spark):
     assert {(r.dropped, r.kept) for r in pages.contained_rows(rows, ["k"], "id", "t").collect()} == {("1", "4"), ("2", "4")}
     table = spark.createDataFrame([("s", ["h", "-"], [str(i) for i in range(5)])], "k string, h array<string>, b array<string>")
     assert [r.content for r in pages.split_table_rows(table, ["k"], "h", "b", 2).orderBy("part").collect()] == ["h\n-\n0\n1", "h\n-\n2\n3", "h\n-\n4"]
+
+
+def test_registry_files_and_review_sink(spark, tmp_path):
+    (tmp_path / "r.json").write_text(json.dumps({"metrics": [{"canonical_id": "a", "aliases": ["x"]}, {"display_name": "no id"}, 7]}))
+    (tmp_path / "o.json").write_text(json.dumps([{"canonical_id": "a", "unit": "kL", "aliases": ["X ", "y"]}, {"canonical_id": "b"}]))
+    base, override = files.read_registry(spark, str(tmp_path / "r.json")), files.read_registry(spark, str(tmp_path / "o.json"))
+    merged = {r.canonical_id: (r.unit, r.aliases) for r in review.merge_registry(base, override, "canonical_id", "aliases").collect()}
+    assert merged == {"a": ("kL", ["x", "y"]), "b": (None, [])}
+    files.write_review(spark.createDataFrame([("p|q", 1), (None, 2)], "name string, n int"), str(tmp_path / "out"))
+    lines = sorted(r.value for r in spark.read.text(str(tmp_path / "out" / "markdown")).collect())
+    assert lines == sorted(["| name | n |", "|---|---|", "| p\\|q | 1 |", "|  | 2 |"])
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "csv")).count() == 2
+    rows = spark.createDataFrame([("see #/texts/3 and #/texts/12, #/tables/3", 10), (None, 1)], "t string, o int")
+    assert [r[0] for r in rows.select(files.shifted_references(F.col("t"), "texts", F.col("o"))).collect()] == ["see #/texts/13 and #/texts/22, #/tables/3", ""]
+
+
+def test_long_registries_and_long_chains(spark, tmp_path, monkeypatch):
+    registry = spark.range(30_000).select(F.concat(F.lit("m"), "id").alias("canonical_id"), F.concat(F.lit("metric no "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("display_name"), F.array().cast("array<string>").alias("aliases"))
+    asked = []
+    monkeypatch.setattr(router, "read_table", lambda *a: registry)
+    monkeypatch.setattr(router.catalogue, "queries", lambda: {"cross_company_compare": lambda s, f: asked.append(f) or spark.createDataFrame([("m29999", "FY2024"), ("m1", "FY2024")], "canonical_id string, period string")})
+    assert [r.canonical_id for r in router.route(spark, "x", "Compare metric no 029999").collect()] == ["m29999"]
+    chain = spark.range(300)
+    found = cluster.connected_components(chain.select("id"), chain.where("id > 0").select(F.col("id").alias("a"), (F.col("id") - 1).alias("b")))
+    assert {r.component for r in found.collect()} == {0}
+
+
+def test_new_number_and_period_rules(spark):
+    values = ["(1,234.5)", "-3.4.5", "-", "abc", "--7", "(-2)", ""]
+    assert column(spark, values, number.accounting_number(F.col("v"))) == [-1234.5, -3.45, None, None, -7.0, -2.0, None]
+    assert column(spark, ["-"], number.accounting_number(F.col("v"), True)) == [0.0]
+    assert column(spark, ["2,024", "1999", "(2020)", "2031"], number.year_like(F.col("v"))) == [True, False, False, False]
+    rows = [("12 to 15", "it improved"), ("5 to 7", "it reduced from 5 to 7"), ("5 to 7", "plain"), ("5 to 7", "expects it reached")]
+    assert column(spark, rows, number.primary_number(F.col("v"), F.col("s")), "v string, s string") == [None, 7.0, None, None]
+    labels = [("current year", "under Rules 2016", "measurement"), ("open-ended", "", "target"), ("2023-24", "", ""), ("as of March 2022", "", ""), ("", "calendar 2021", ""), (None, None, None)]
+    label, how = period.stated_label(F.col("a"), F.col("b"), F.col("c"), F.lit("FY2024"), F.lit(2024))
+    frame = spark.createDataFrame(labels, "a string, b string, c string").select(label.alias("l"), how.alias("h"))
+    assert [tuple(r) for r in frame.collect()] == [("FY2024", "inferred"), ("open_ended", "inferred"), ("FY2024", "extracted"), ("FY2022", "extracted"), ("CY2021", "extracted"), ("FY2024", "inferred")]
+    asked = [("FY2023", "full_year", ""), ("", "target", "by 2030"), ("", "cumulative", "since 2018"), ("as of June 2022", "point_in_time", ""), ("Q2 FY2024", "partial", ""), ("H2 FY2024", "partial", ""), ("", "partial", ""), ("x", "other", "")]
+    r = period.resolve_period(F.col("a"), F.col("b"), F.col("c"), F.lit("FY2024"), F.lit(3))
+    got = [(str(x.r.start), str(x.r.end), x.r.resolution) for x in spark.createDataFrame(asked, "a string, b string, c string").select(r.alias("r")).collect()]
+    assert got == [
+        ("2022-04-01", "2023-03-31", "resolved"), ("None", "2030-12-31", "resolved"), ("2018-01-01", "2024-03-31", "resolved"), ("2022-06-30", "2022-06-30", "resolved"),
+        ("2023-07-01", "2023-09-30", "resolved"), ("2023-10-01", "2024-03-31", "resolved"), ("None", "None", "inferred"), ("None", "None", "unresolvable"),
+    ]
+    names = ["Category 4 upstream transport in scope 3", "scope 3 business travel", "business travel"]
+    assert column(spark, names, say.scope3_category(F.col("v"), F.lit(""))) == [4, 6, None]
+
+
+def test_checkpoint_folder_is_refused_on_a_cluster(monkeypatch):
+    from verdant import session
+
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Context:
+        master, getCheckpointDir, getConf = "spark://host:7077", staticmethod(lambda: None), staticmethod(lambda: Conf)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session._shared_folder(Session)

@@ -14,6 +14,11 @@ QUANTITY_PATTERNS = (
     r"water\s+withdrawal.*\d",
     r"energy\s+consumption.*\d",
 )
+# Words one of which each of these patterns needs.
+QUANTITY_LITERALS = (
+    ("tco2e", "kl", "kilolitre", "mj", "gj", "tj", "kwh", "mwh", "mt"), ("metric", "kilolitre", "gigajoule", "megajoule"), ("kt",),
+    ("scope",), ("withdrawal",), ("consumption",),
+)
 # Phrases of pages to leave out, and their weights.
 EXCLUDED_PHRASES = {
     "independent auditor": 7, "financial statements": 7, "consolidated financial": 7, "standalone financial": 7, "notes to accounts": 6,
@@ -38,9 +43,12 @@ def normalise_space(text: Column) -> Column:
 
 def quantity_score(text: Column) -> Column:
     """Matches of all quantity patterns, whatever the case."""
-    score = F.lit(0)
-    for pattern in QUANTITY_PATTERNS:
-        score = score + F.regexp_count(text, F.lit(f"(?i){pattern}"))
+    lower, score = F.lower(text), F.lit(0)
+    for pattern, words in zip(QUANTITY_PATTERNS, QUANTITY_LITERALS, strict=True):
+        held = F.lit(False)  # a pattern is tried only where the text holds a word that it needs
+        for word in words:
+            held = held | lower.contains(word)
+        score = score + F.when(text.isNotNull() & ~held, 0).otherwise(F.regexp_count(text, F.lit(f"(?i){pattern}")))
     return score
 
 

@@ -32,7 +32,7 @@ def blocked_pairs(names: DataFrame, key: str, owner: str, block: str, tokens: st
     return both.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") >= least - 1e-12)
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): component is the smallest id reachable over the edges (columns a, b).
 
     Every round each node takes the smallest label among its neighbours and then that
@@ -41,7 +41,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, most_rounds: int =
     """
     both = cut_lineage(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut_lineage(nodes.select(F.col("id"), F.col("id").alias("component")).distinct())
-    for _ in range(most_rounds):
+    while True:  # labels only fall, so it ends; the rounds grow with the logarithm of the longest chain
         near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m"))
         stepped = labels.join(near, "id", "left").select("id", F.least("component", "m").alias("component"), F.col("component").alias("before"))
         jumped = stepped.join(stepped.select(F.col("id").alias("component"), F.col("component").alias("further")), "component", "left")
@@ -50,7 +50,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, most_rounds: int =
         labels = after.select("id", "component")
         if not changed:
             return labels
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def leader_clusters(names: list[tuple[str, str]], least: float) -> list[tuple[str, str, str]]:

@@ -28,21 +28,27 @@ def in_order(streams: list[tuple[str, DataFrame]], key: str) -> DataFrame:
     return whole.groupBy(key).agg(F.min_by(F.struct(*rest), F.col("precedence")).alias("_row")).select(key, "_row.*")
 
 
+def value_band(value: Column, share: float) -> Column:
+    """Sign and logarithmic band of a value: values within `share` of each other lie in one band or in two that touch."""
+    return F.struct(F.signum(value).cast("int").alias("sign"), F.when(value == 0, 0).otherwise(F.floor(F.ln(F.abs(value)) / -math.log1p(-share))).cast("long").alias("band"))
+
+
+def touching_bands(value: Column, share: float) -> Column:
+    """The bands in which a value's partners lie."""
+    own = value_band(value, share)
+    return F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.struct(own["sign"].alias("sign"), (own["band"] + i).alias("band")))
+
+
 def nearest_values(asked: DataFrame, rows: DataFrame, keys: list[str], asked_id: str, row_id: str, value: str, document: str, share: float = 0.04, most: int = 5) -> DataFrame:
     """(asked_id, row_id, same_document, gap, place): rows of the same keys within `share` of the asked value, own document first, then nearest.
 
     Values meet in logarithmic bands as wide as the share, so a hot key is not compared with
     itself; zero and negative values have bands of their own.
     """
-    width = math.log1p(share)
-
-    def band(v: Column) -> Column:
-        return F.when(v == 0, F.lit(0)).otherwise(F.floor(F.ln(F.abs(v)) / width)).cast("long")
-
-    left = asked.select(*keys, F.col(asked_id).alias("_a"), F.col(value).alias("_x"), F.col(document).alias("_d"), F.signum(value).alias("_sign"))
-    left = left.withColumn("_band", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: band(F.col("_x")) + i)))
-    right = rows.select(*keys, F.col(row_id).alias("_b"), F.col(value).alias("_y"), F.col(document).alias("_e"), F.signum(value).alias("_sign")).withColumn("_band", band(F.col("_y")))
-    near = left.join(right, [*keys, "_sign", "_band"]).where((F.col("_a") != F.col("_b")) & (F.abs(F.col("_y") - F.col("_x")) <= share * F.abs(F.col("_x"))))
+    left = asked.select(*keys, F.col(asked_id).alias("_a"), F.col(value).alias("_x"), F.col(document).alias("_d"))
+    left = left.withColumn("_band", F.explode(touching_bands(F.col("_x"), share)))
+    right = rows.select(*keys, F.col(row_id).alias("_b"), F.col(value).alias("_y"), F.col(document).alias("_e")).withColumn("_band", value_band(F.col("_y"), share))
+    near = left.join(right, [*keys, "_band"]).where((F.col("_a") != F.col("_b")) & (F.abs(F.col("_y") - F.col("_x")) <= share * F.abs(F.col("_x"))))
     near = near.select(F.col("_a").alias("asked"), F.col("_b").alias("found"), F.coalesce(F.col("_d") == F.col("_e"), F.lit(False)).alias("same_document"), F.abs(F.col("_y") - F.col("_x")).alias("gap"))
     order = F.struct(F.when(F.col("same_document"), 0).otherwise(1).alias("o"), "gap", "found", "same_document")
     # The first few of each asked row, kept as a sorted array while partial results are merged.

@@ -137,13 +137,11 @@ SELECT d.doc_id, CAST(sum(w.weight) AS BIGINT) AS score, count(*) AS terms FROM
 def keyword_scores(spark: SparkSession, folder: str) -> DataFrame:
     reg = read_table(spark, folder, "consumer_master_registry_v1")
     terms = reg.select(F.explode(F.concat("aliases", F.array("display_name"))).alias("a")).where(F.length("a") >= 3).select(F.lower("a").alias("term")).distinct()
-    # The registry is a fixed list; its terms become one array literal checked against every page in a single pass.
-    listed = [r["term"] for r in terms.orderBy("term").limit(20_001).collect()]
-    if len(listed) > 20_000:
-        raise ValueError("the keyword list is larger than the 20,000 terms a page scan allows")
-    t = F.lower("text")
-    hits = F.filter(F.array(*map(F.lit, listed)), lambda k: F.contains(F.col("_t"), k))
-    pages = read_table(spark, folder, "documents").where("text is not null").select("doc_id", t.alias("_t")).select("doc_id", hits.alias("hits")).where(F.size("hits") > 0)
+    # The registry is a fixed list; its terms become one value that every page is checked against in a single pass.
+    listed = terms.agg(F.array_sort(F.collect_set("term"))).scalar()
+    hits = F.filter("_terms", lambda k: F.contains(F.col("_t"), k))
+    pages = read_table(spark, folder, "documents").where("text is not null").select("doc_id", F.lower("text").alias("_t"), listed.alias("_terms"))
+    pages = pages.select("doc_id", hits.alias("hits")).where(F.size("hits") > 0)
     weight = F.aggregate("hits", F.lit(0).cast("long"), lambda acc, k: acc + text.keyword_weight(k).cast("long"))
     return pages.select("doc_id", weight.alias("score"), F.size("hits").cast("long").alias("terms"))
 

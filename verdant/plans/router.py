@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from verdant.plans import catalogue
 from verdant.sources import TABLES, read_table
@@ -40,11 +41,12 @@ def route(spark: SparkSession, folder: str, question: str) -> DataFrame:
     over_time = re.search(r"\b(trend|over time|by year|time series|history|since)\b", text)
     out = catalogue.queries()["metric_time_series" if over_time else "cross_company_compare"](spark, folder)
     registry = read_table(spark, folder, "consumer_master_registry_v1").select("canonical_id", "display_name", "aliases")
-    names = [(n.lower(), r["canonical_id"]) for r in registry.limit(10_000).collect() for n in [r["display_name"], *(r["aliases"] or [])]]  # the registry is a fixed list
-    named = max((x for x in names if x[0] in text), key=lambda x: len(x[0]), default=None)
+    names = registry.select("canonical_id", F.explode(F.concat(F.array("display_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"))
+    # The longest name that the question holds; only that one row comes here, however long the registry is.
+    named = names.where((F.length("name") > 0) & F.contains(F.lit(text), F.lower("name"))).orderBy(F.desc(F.length("name")), "name", "canonical_id").first()
     if named is None:
         raise ValueError("the question names no metric of the registry")
-    out = out.where(out["canonical_id"] == named[1])
+    out = out.where(out["canonical_id"] == named["canonical_id"])
     if m := re.search(r"\b(?:(fy|cy)\s?)?(20\d{2})\b", text):
         out = out.where(out["period"].endswith(m.group(2)))
     if m := re.search(r"\bco_\d+\b", text):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verdant.operators import star
+from verdant.operators.review import touching_bands, value_band
 from verdant.plans.catalogue import query
 from verdant.sources import read_table
 
@@ -282,8 +283,10 @@ AND b.normalised_value BETWEEN least(a.normalised_value * 0.99, a.normalised_val
 def tolerance_match(spark: SparkSession, folder: str) -> DataFrame:
     obs = star.loaded(spark, folder).select("obs_id", "company_id", "canonical_id", "period", "source_doc_id", "normalised_value")
     v = F.col("a.normalised_value")
-    a, b = obs.alias("a"), obs.alias("b")
-    same = (F.col("a.company_id") == F.col("b.company_id")) & (F.col("a.canonical_id") == F.col("b.canonical_id")) & (F.col("a.period") == F.col("b.period"))
+    # Values meet in bands of one percent, so a hot key is not compared with itself.
+    a = obs.withColumn("band", F.explode(touching_bands(F.col("normalised_value"), 0.01))).alias("a")
+    b = obs.withColumn("band", value_band(F.col("normalised_value"), 0.01)).alias("b")
+    same = (F.col("a.company_id") == F.col("b.company_id")) & (F.col("a.canonical_id") == F.col("b.canonical_id")) & (F.col("a.period") == F.col("b.period")) & (F.col("a.band") == F.col("b.band"))
     near = F.col("b.normalised_value").between(F.least(v * 0.99, v * 1.01), F.greatest(v * 0.99, v * 1.01)) & (F.col("a.source_doc_id") > F.col("b.source_doc_id"))
     return a.join(b, same & near).select(F.col("a.obs_id").alias("incoming"), F.col("b.obs_id").alias("existing"))
 
@@ -295,9 +298,14 @@ SELECT obs_id, other, rank FROM (
   WHERE abs(a.normalised_value - b.normalised_value) <= CASE WHEN a.normalised_value = 0 THEN 1 ELSE 0.02 * abs(a.normalised_value) END) WHERE rank <= 5""")
 def nearest_facts(spark: SparkSession, folder: str) -> DataFrame:
     obs = star.loaded(spark, folder).select("obs_id", "company_id", "canonical_id", "period", "normalised_value")
-    a, b = obs.alias("a"), obs.alias("b")
+    # Bands of two percent; what lies within 1 of zero meets zeros in a band of its own.
+    x = F.col("normalised_value")
+    zero = F.array(F.struct(F.lit(9).alias("sign"), F.lit(0).cast("long").alias("band")))
+    a = obs.withColumn("band", F.explode(F.when(x == 0, zero).otherwise(touching_bands(x, 0.02)))).alias("a")
+    own = F.array(value_band(x, 0.02))
+    b = obs.withColumn("band", F.explode(F.when(F.abs(x) <= 1, F.concat(own, zero)).otherwise(own))).alias("b")
     v, gap = F.col("a.normalised_value"), F.abs(F.col("a.normalised_value") - F.col("b.normalised_value"))
-    same = (F.col("a.company_id") == F.col("b.company_id")) & (F.col("a.canonical_id") == F.col("b.canonical_id")) & (F.col("a.period") == F.col("b.period")) & (F.col("a.obs_id") != F.col("b.obs_id"))
+    same = (F.col("a.company_id") == F.col("b.company_id")) & (F.col("a.canonical_id") == F.col("b.canonical_id")) & (F.col("a.period") == F.col("b.period")) & (F.col("a.obs_id") != F.col("b.obs_id")) & (F.col("a.band") == F.col("b.band"))
     near = a.join(b, same & (gap <= F.when(v == 0, 1.0).otherwise(F.lit(0.02) * F.abs(v)))).select(F.col("a.obs_id").alias("obs_id"), F.col("b.obs_id").alias("other"), gap.alias("gap"))
     return near.withColumn("rank", F.row_number().over(Window.partitionBy("obs_id").orderBy("gap", "other"))).where("rank <= 5").select("obs_id", "other", "rank")
 

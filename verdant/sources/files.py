@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,3 +64,34 @@ def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; arrays and structs are written as JSON text."""
     flat = [F.to_json(f.name).alias(f.name) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name) for f in df.schema.fields]
     df.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+METRIC = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("canonical_id", "display_name", "category", "unit_family", "unit", "fact_type", "notes")]
+    + [T.StructField("aliases", T.ArrayType(T.StringType())), T.StructField("valid_period_types", T.ArrayType(T.StringType()))]
+)
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """Registry or override entries of JSON files: a list, or {"metrics": [...]}; entries without canonical_id are dropped."""
+    whole = spark.read.text(path, wholetext=True)
+    texts = T.ArrayType(T.StringType())
+    listed = F.coalesce(F.from_json("value", T.StructType([T.StructField("metrics", texts)]))["metrics"], F.from_json("value", texts))
+    return whole.select(F.explode(listed).alias("entry")).select(F.from_json("entry", METRIC).alias("m")).where("m.canonical_id is not null").select("m.*")
+
+
+def write_review(df: DataFrame, folder: str) -> None:
+    """A review list as CSV (folder/csv) and as rows of a Markdown table (folder/markdown), bars in the texts escaped."""
+    write_csv(df, f"{folder}/csv")
+    cells = [F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")) for c in df.columns]
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    head = df.sparkSession.createDataFrame([("| " + " | ".join(df.columns) + " |",), ("|" + "---|" * len(df.columns),)], "value string")
+    head.coalesce(1).write.mode("overwrite").text(f"{folder}/markdown")
+    df.select(F.regexp_replace(line, r"[\r\n]+", " ").alias("value")).write.mode("append").text(f"{folder}/markdown")
+
+
+def shifted_references(text: Column, collection: str, offset: Column) -> Column:
+    """References #/collection/n in a text with n raised by an offset, as joined batches need it."""
+    parts = F.split(F.coalesce(text, F.lit("")), rf"(?<=#/{collection}/)(?=\d)|(?<=#/{collection}/\d{{1,18}})(?!\d)")
+    moved = F.transform(parts, lambda p, i: F.when((i > 0) & p.rlike(r"^\d+$") & F.element_at(parts, F.greatest(i, F.lit(1))).endswith(f"#/{collection}/"), (p.cast("long") + offset).cast("string")).otherwise(p))
+    return F.array_join(moved, "")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verdant.functions import facts as say
-from verdant.functions import number, period, quantity, semantics, similarity, text, unit
+from verdant.functions import number, period, quantity, semantics, similarity, text
 from verdant.operators import chunks, cluster, dedup, intervals, matching, resolve, review, star, units, validate, vectors
 from verdant.plans import router
 from verdant.sources import files, providers
@@ -38,11 +38,18 @@ def column(spark, values, expression, schema="v string"):
         (None, "kg", "", (None, "kg", "needs_context")),
     ],
 )
-def test_unit_normaliser(value, raw, name, want):
-    got = unit.normalise_value(value, raw, name)
+def test_unit_normaliser(spark, value, raw, name, want):
+    rows = spark.createDataFrame([(1, value, raw, name, "")], "k int, v string, u string, n string, s string")
+    got = tuple(units.normalise_units(rows, conversions(spark), "k", "v", "u", "n", "s").select("value", "symbol", "confidence").first())
     assert got[1:] == want[1:] and (got[0] == want[0] or got[0] == pytest.approx(want[0]))
 
 
+def conversions(spark):
+    rows = [("weight", "kg", "kg", 1.0), ("weight", "tonne", "kg", 1000.0), ("energy", "GJ", "GJ", 1.0), ("count", "count", "count", 1.0), ("emissions", "tCO2e", "tCO2e", 1.0)]
+    rows += [("emission_intensity", "kgCO2e/tonne", "tCO2e/tonne", 0.001), ("water_intensity", "kL/tonne", "kL/tonne", 1.0)]
+    return spark.createDataFrame(rows, "unit_family string, from_symbol string, to_symbol string, factor double")
+
+
 @pytest.mark.parametrize(
     "raw, want",
     [("1,234.5", 1234.5), ("1,23,456", 123456.0), ("1 234.5", 1234.5), ("718,2", 718.2), ("1.234,5", 1234.5), ("−7", -7.0), ("12,345", 12345.0), ("abc", None), ("", None), (".", None)],

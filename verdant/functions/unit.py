@@ -1,86 +1,35 @@
-"""Raw units brought to common symbols, with the confidence of the mapping."""
+"""Spelling and context of raw units, as Column expressions."""
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from verdant.functions.udf import once
-from verdant.functions.quantity import SCALES, exact_unit, parse_number, read_value, unit_book, unit_key, unit_tokens
-
-# Symbol -> (common symbol of its family, factor). The clean conversion table of the reports.
-COMMON = {
-    "L": ("L", 1.0), "kL": ("L", 1e3), "m3": ("L", 1e3), "ML": ("L", 1e6), "gal_us": ("L", 3.78541), "kg": ("kg", 1.0), "tonne": ("kg", 1e3),
-    "kt": ("kg", 1e6), "g": ("kg", 1e-3), "quintal": ("kg", 1e2), "lb": ("kg", 0.453592), "GJ": ("GJ", 1.0), "MJ": ("GJ", 1e-3), "TJ": ("GJ", 1e3),
-    "kWh": ("GJ", 3.6e-3), "MWh": ("GJ", 3.6), "GWh": ("GJ", 3.6e3), "tCO2e": ("tCO2e", 1.0), "kgCO2e": ("tCO2e", 1e-3), "ktCO2e": ("tCO2e", 1e3),
-    "MtCO2e": ("tCO2e", 1e6), "tCO2e/tonne": ("tCO2e/tonne", 1.0), "kgCO2e/tonne": ("tCO2e/tonne", 1e-3), "GJ/tonne": ("GJ/tonne", 1.0),
-    "MJ/tonne": ("GJ/tonne", 1e-3), "kWh/tonne": ("GJ/tonne", 3.6e-3), "kL/tonne": ("kL/tonne", 1.0), "m3/tonne": ("kL/tonne", 1.0), "L/kg": ("kL/tonne", 1.0),
-    "L/tonne": ("kL/tonne", 1e-3), "kg/tonne": ("kg/tonne", 1.0), "g/kg": ("kg/tonne", 1.0), "g/tonne": ("kg/tonne", 1e-3), "%": ("%", 1.0), "bps": ("%", 1e-2),
-    "count": ("count", 1.0), "INR": ("INR", 1.0),
-}
-# Nouns that are counted.
-COUNTED = re.compile(r"\b(number of|count of|no\. of|employees|workers|suppliers|farmers|trees|sites|outlets|injuries|fatalities|complaints|beneficiaries|units)\b", re.I)
-
-
-def normalise_unit(unit: str | None, name: str | None = None) -> tuple[str | None, float | None, str]:
-    """(symbol, factor, confidence): exact for a known spelling, inferred for a scaled or derived one.
-
-    A blank unit is a count where the name says what is counted, else needs_context; a unit
-    per money is brought to millions of it; joules "or multiples" are taken as GJ; anything
-    else is failed.
-    """
-    if unit is None or not unit.strip() or unit.strip() == "-":
-        return ("count", 1.0, "inferred") if name and COUNTED.search(name) else (None, None, "needs_context")
-    if hit := exact_unit(unit):
-        symbol, factor = COMMON[hit[0]]
-        return symbol, factor * hit[1], "exact" if hit[1] == 1.0 else "inferred"
-    tokens = [unit_book().word(t) or t for t in unit_tokens(unit)]
-    key = "".join(tokens)
-    if "per" in tokens:
-        at = tokens.index("per")
-        over, below = exact_unit(" ".join(tokens[:at])), tokens[at + 1 :]
-        scale = next((SCALES[t] for t in below if t in SCALES), 1.0)
-        money = [t for t in below if t not in SCALES]
-        if over and money and all(t in ("inr", "rs", "rupee", "rupees", "revenue", "turnover") for t in money):
-            symbol, factor = COMMON[over[0]]
-            return f"{symbol}/MINR", factor * over[1] / (scale / 1e6), "inferred"
-    if re.search(r"\bjoules?\b.*\bmultiples?\b", unit, re.I):
-        return "GJ", 1.0, "inferred"
-    if (m := re.fullmatch(r"(.+?)co2(?:e|eq|equivalent)?s?", key)) and (hit := exact_unit(m.group(1))):
-        if hit[0] in ("kg", "tonne", "kt"):
-            return "tCO2e", {"kg": 1e-3, "tonne": 1.0, "kt": 1e3}[hit[0]] * hit[1], "inferred"
-    return None, None, "failed"
-
-
-def normalise_value(value: str | None, unit: str | None, name: str | None = None) -> tuple[float | None, str | None, str]:
-    """(value, symbol, confidence) of a stated value; without a number a known unit needs context."""
-    read = read_value(value)
-    if read is None:
-        symbol, _, how = normalise_unit(unit, name)
-        return None, symbol, "needs_context" if how in ("exact", "inferred") else how
-    number, rest = read
-    stated = unit if unit and unit.strip() not in ("", "-") else (rest or None)
-    beside = SCALES.get(unit_book().word(unit_key(rest)) or "", 1.0) if rest and stated is unit else 1.0
-    symbol, factor, how = normalise_unit(stated, name)
-    return (number * beside * factor if factor is not None else None), symbol, how
-
-
-_VALUE = T.StructType([T.StructField("value", T.DoubleType()), T.StructField("symbol", T.StringType()), T.StructField("confidence", T.StringType())])
-
-
-@once
-@F.pandas_udf(_VALUE)
-def _normalised(value: pd.Series, unit: pd.Series, name: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([normalise_value(*x) for x in zip(value, unit, name)], columns=["value", "symbol", "confidence"]).astype({"value": "float64"})
-
-
-def normalised_value(value: Column, unit: Column, name: Column) -> Column:
-    """struct(value, symbol, confidence), see normalise_value."""
-    return _normalised(value.cast("string"), unit.cast("string"), name.cast("string"))
-
 
-__all__ = ["COMMON", "normalise_unit", "normalise_value", "normalised_value", "parse_number"]
+from verdant.functions.quantity import SCALES
+
+# Nouns that are counted, ways of writing a share, and money that an intensity is stated for.
+COUNTED = r"(?i)\b(number of|count of|no\. of|employees|workers|suppliers|farmers|trees|sites|outlets|injuries|fatalities|complaints|beneficiaries|units)\b"
+SHARE, POINTS = r"(?i)%|\b(percent|percentage)\b", r"(?i)\b(bps|basis points?)\b"
+MONEY = "inr|rs|rupee|revenue|turnover"
+SCALE_WORDS = "|".join(sorted(SCALES))
+# Order matters: what each step finds is no longer seen by the next. Pattern and replacement are read alike by Spark and by DuckDB.
+KEY_STEPS = (
+    ("₹", " inr "), ("₂", "2"), ("³", "3"), ("['’`]?\\b000\\b", " thousand "), ("/", " per "), ("[.'’`]", ""), ("[^a-z0-9%+]+", " "), ("\\b(in|of)\\b", " "),
+    ("liter", "litre"), ("\\b(cubic) meter", "$1 metre"), ("\\b([a-z0-9]+[^isu ])s\\b", "$1"), (" +", " "),
+)
+
+
+def unit_key(unit: Column) -> Column:
+    """Lower-case words of a unit without plural s; a slash is "per", '000 is "thousand"; null becomes empty."""
+    key = F.lower(F.coalesce(unit, F.lit("")))
+    for pattern, put in KEY_STEPS:
+        key = F.regexp_replace(key, pattern, put)
+    return F.trim(key)
+
+
+def unit_key_sql(column: str) -> str:
+    """The same for DuckDB."""
+    out = f"lower(coalesce({column}, ''))"
+    for pattern, put in KEY_STEPS:
+        out = f"regexp_replace({out}, '{pattern.replace(chr(39), chr(39) * 2)}', '{put.replace('$1', chr(92) + '1')}', 'g')"
+    return f"trim({out})"

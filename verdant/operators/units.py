@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdant.functions.quantity import MAX_COST, MISSING, SYMBOLS, read_quantity, unit_book, unit_tokens, weighted_distance
+from verdant.functions import unit as unit_text
+from verdant.functions.number import primary_number, scale_of
+from verdant.functions.quantity import MAX_COST, MISSING, SCALES, SYMBOLS, read_quantity, unit_book, unit_tokens, weighted_distance
 from verdant.functions.udf import once
 from verdant.session import cut_lineage
 
@@ -155,3 +157,72 @@ def check_observations(observations: DataFrame, facts: DataFrame, conversion: Da
         .otherwise("right")
     )
     return joined.select("obs_id", "source_fact_id", "common_value", "common_unit", "normalised_value", verdict.alias("verdict"))
+
+
+def unit_names(conversion: DataFrame) -> DataFrame:
+    """(name, symbol, factor, family): every reference spelling without blanks, with the common unit it is brought to.
+
+    Made by rule from the symbols of the conversion table; a fixed list, which is broadcast.
+    """
+    symbols = table_symbols(conversion)
+    spark = conversion.sparkSession
+    known = spark.createDataFrame(list(unit_book(symbols).plain.items()), "spelling string, from_symbol string")
+    table = conversion.select("from_symbol", F.col("to_symbol").alias("symbol"), "factor", F.col("unit_family").alias("family")).dropDuplicates(["from_symbol"])
+    keyed = known.join(table, "from_symbol").select(F.replace(unit_text.unit_key(F.col("spelling")), F.lit(" "), F.lit("")).alias("name"), "from_symbol", "symbol", "factor", "family")
+    return keyed.groupBy("name").agg(F.min_by(F.struct("symbol", "factor", "family"), "from_symbol").alias("u")).select("name", "u.*")
+
+
+def normalise_units(rows: DataFrame, conversion: DataFrame, key: str, value: str, raw: str, name: str, sentence: str) -> DataFrame:
+    """(key, value, symbol, confidence) of each row: its value in the common unit of its family.
+
+    The unit's words are looked up as they stand (exact), else behind or before a scale word, as
+    an intensity for a tonne (kept at its scale) or for money (per million), or as a mass of CO2;
+    then name and sentence may say percent or basis points, and a unit of plain words counts
+    things (all inferred).  A blank unit or a dash is a count where the name counts things, else
+    needs_context; anything else is failed, without value and symbol.  A known unit without a
+    single number needs_context.  Four lookups in a broadcast list; no row goes to Python.
+    """
+    names = F.broadcast(unit_names(conversion))
+    k, context = F.col("_k"), F.concat_ws(" ", F.coalesce(F.col(raw), F.lit("")), F.coalesce(F.col(name), F.lit("")), F.coalesce(F.col(sentence), F.lit("")))
+    before, behind = rf"^({unit_text.SCALE_WORDS}) (.+)$", rf"^(.+) ({unit_text.SCALE_WORDS})$"
+    scales = F.create_map(*(F.lit(x) for pair in SCALES.items() for x in pair))
+    per_money = rf"^(.+) per (?:({unit_text.SCALE_WORDS}) )?(?:{unit_text.MONEY})(?: ({unit_text.SCALE_WORDS}))?$"
+    parts = {
+        "a": (k, F.lit(1.0)),
+        "b": (F.when(k.rlike(before), F.regexp_extract(k, before, 2)).when(k.rlike(behind), F.regexp_extract(k, behind, 1)), F.try_element_at(scales, F.coalesce(F.nullif(F.regexp_extract(k, before, 1), F.lit("")), F.regexp_extract(k, behind, 2)))),
+        "c": (F.regexp_extract(k, r"^(.+) per (?:t|ton|tonne|mt|metric ton|metric tonne)$", 1), F.lit(1.0)),
+        "d": (F.regexp_extract(k, per_money, 1), 1e6 / F.coalesce(F.try_element_at(scales, F.regexp_extract(k, per_money, 2)), F.try_element_at(scales, F.regexp_extract(k, per_money, 3)), F.lit(1.0))),
+        "e": (F.regexp_extract(k, r"^(.+?) ?co2 ?(?:e|eq|equivalent)?$", 1), F.lit(0.001)),
+    }
+    out = rows.withColumn("_k", unit_text.unit_key(F.col(raw)))
+    for tag, (part, times) in parts.items():
+        known = names.select(F.col("name").alias(f"_{tag}n"), F.struct("symbol", "factor", "family").alias(f"_{tag}"))
+        out = out.withColumns({f"_{tag}k": F.replace(part, F.lit(" "), F.lit("")), f"_{tag}t": times}).join(known, F.col(f"_{tag}k") == F.col(f"_{tag}n"), "left")
+    blank = F.trim(F.coalesce(F.col(raw), F.lit(""))).isin("", "-", "–", "—")
+    plain = k.rlike("^[a-z ]+$") & ~k.rlike(r"\b(per|ratio|index|rate|times)\b")
+
+    def found(symbol: Column | str, factor: Column | float, how: str) -> Column:
+        return F.struct((F.lit(symbol) if isinstance(symbol, str) else symbol).alias("symbol"), (F.lit(factor) if isinstance(factor, float) else factor).cast("double").alias("factor"), F.lit(how).alias("how"))
+
+    nothing = F.lit(None).cast("string")
+    hit = (
+        F.when(blank & F.coalesce(F.col(name), F.lit("")).rlike(unit_text.COUNTED), found("count", 1.0, "inferred"))
+        .when(blank, found(nothing, 1.0, "needs_context"))
+        .when(F.col("_a").isNotNull(), found(F.col("_a.symbol"), F.col("_a.factor"), "exact"))
+        .when(F.col("_b").isNotNull() & F.col("_bt").isNotNull(), found(F.col("_b.symbol"), F.col("_b.factor") * F.col("_bt"), "inferred"))
+        .when(k.isin(*SCALES), found("count", F.try_element_at(scales, k), "inferred"))
+        .when(F.col("_c").isNotNull(), found(F.concat("_c.symbol", F.lit("/tonne")), 1.0, "inferred"))
+        .when(F.col("_d").isNotNull(), found(F.concat("_d.symbol", F.lit("/MINR")), F.col("_d.factor") * F.col("_dt"), "inferred"))
+        .when(F.col("_e").isNotNull() & (F.col("_e.family") == "weight"), found("tCO2e", F.col("_e.factor") * F.col("_et"), "inferred"))
+        .when(k.rlike(r"\bjoule\b.*\bmultiple\b"), found("GJ", 1.0, "inferred"))
+        .when(context.rlike(unit_text.SHARE), found("%", 1.0, "inferred"))
+        .when(context.rlike(unit_text.POINTS), found("%", 0.01, "inferred"))
+        .when(plain, found("count", 1.0, "inferred"))
+        .otherwise(found(nothing, 1.0, "failed"))
+    )
+    number = primary_number(F.col(value), F.col(sentence)) * scale_of(F.col(value), F.lit(""))
+    out = out.withColumns({"_u": hit, "_x": number})
+    known = F.col("_u.how").isin("exact", "inferred")
+    common = F.when(known, F.when(F.col("_u.symbol") == "%", F.col("_x") * F.when(F.col("_u.factor") < 1, F.col("_u.factor")).otherwise(1.0)).otherwise(F.col("_x") * F.col("_u.factor")))
+    how = F.when(known & F.col("_x").isNull(), "needs_context").otherwise(F.col("_u.how"))
+    return out.select(F.col(key).alias("key"), common.alias("value"), F.col("_u.symbol").alias("symbol"), how.alias("confidence"))

@@ -6,19 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions import facts as say
-from verdant.functions.unit import normalised_value
 from verdant.operators import matching, star
 from verdant.plans.catalogue import query
 from verdant.plans.star import FACTS, LOADED
 from verdant.sources import providers, read_table
 
 
-@query("unit_normalise")
-def unit_normalise(spark: SparkSession, folder: str) -> DataFrame:
-    facts = star.facts(spark, folder)
-    return facts.select("fact_id", normalised_value(F.col("value"), F.col("unit"), F.col("metric")).alias("n")).select("fact_id", "n.*")
-
-
 _N = "(-?[0-9][0-9,]*\\.?[0-9]*)"
 _FT = f"(?i)\\bfrom\\s+{_N}[^.;]*?\\bto\\s+{_N}"
 _BA = f"(?i)\\bbetween\\s+{_N}[^.;]*?\\band\\s+{_N}"

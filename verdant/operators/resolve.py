@@ -38,9 +38,9 @@ def definition_tokens(text: Column) -> Column:
 
 def idf_weights(texts: DataFrame, tokens: Column) -> DataFrame:
     """(token, df, idf): ln((1 + N) / (1 + df)) + 1 over all rows."""
-    total = texts.agg(F.count(F.lit(1)).alias("_total")).withColumn("_one", F.lit(1))
-    df = texts.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")).withColumn("_one", F.lit(1))
-    return df.join(F.broadcast(total), "_one").select("token", "df", (F.log((F.col("_total") + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
+    total = texts.agg(F.count(F.lit(1))).scalar()
+    df = texts.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return df.select("token", "df", (F.log((total + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
 
 
 def hashed_vectors(texts: DataFrame, key: str, text: str, idf: DataFrame | None = None, tokens: Callable[[Column], Column] = word_tokens) -> DataFrame:

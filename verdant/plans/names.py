@@ -86,8 +86,8 @@ def selected_pages(spark: SparkSession, folder: str) -> DataFrame:
     entries = read_table(spark, folder, "consumer_master_registry_v1")
     listed = F.concat(F.array("display_name", "canonical_id"), F.coalesce("aliases", F.array().cast("array<string>")))
     terms = entries.select(F.explode(listed).alias("k")).select(F.regexp_replace(F.lower(F.trim(F.replace("k", F.lit("_"), F.lit(" ")))), r"\s+", " ").alias("k"))
-    terms = terms.where("length(k) >= 3").agg(F.collect_set("k").alias("keywords"))  # the registry is a fixed dimension table
-    d = d.crossJoin(F.broadcast(terms))
+    listed = terms.where("length(k) >= 3").agg(F.array_sort(F.collect_set("k"))).scalar()  # the registry is a fixed dimension table
+    d = d.withColumn("keywords", listed)
     scored = d.select(F.concat_ws(":", "company_id", F.col("fiscal_year").cast("string")).alias("report"), "page", text.quantity_score(t).alias("s"), text.phrase_score(t, text.EXCLUDED_PHRASES).alias("x"), text.page_exclusion(t, F.col("keywords")).isNotNull().alias("out"), F.regexp_count(t, F.lit("[0-9]+")).alias("n"))
     p = scored.groupBy("report", "page").agg(F.max("s").alias("score"), F.max("x").alias("exclude"), F.max("out").alias("out"), F.max("n").alias("numbers"))
     last = p.groupBy("report").agg(F.max("page").alias("last"))

@@ -15,10 +15,29 @@ from verdant.sources import read_table
 
 def _cascade_rows(spark: SparkSession, folder: str) -> DataFrame:
     facts = star.facts(spark, folder).select("fact_id", "doc_id", "metric", "value", "unit", "evidence", "decision", "confidence", "chunk_id")
-    return facts.withColumn("seq", F.xxhash64("fact_id"))  # an order of arrival that any run agrees on
+    return facts.withColumn("seq", F.regexp_replace("fact_id", "[^0-9]", "").cast("long"))  # the running number is the order of arrival
 
 
-@query("dedup_cascade")
+def _stage(source: str, keys: str, applies: str) -> str:
+    return f"""(SELECT * FROM {source} WHERE NOT ({applies}) UNION ALL SELECT * EXCLUDE (n, every) REPLACE (list_sort(list_filter(every, lambda x: x <> chunk_id)) AS merged) FROM (
+ SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY a DESC, b DESC, c DESC, d DESC, e DESC, seq) AS n, list_distinct(flatten(list(list_concat([chunk_id], merged)) OVER (PARTITION BY {keys}))) AS every FROM {source} WHERE {applies}) WHERE n = 1)"""
+
+
+_CLEAN = "trim(regexp_replace(lower(coalesce({c}, '')), '[ \\t\\n\\r\\f\\x0b]+', ' ', 'g'))"
+_KEY = """array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(regexp_replace(lower(coalesce(metric, '')), '[^a-z% ]+', ' ', 'g'), ' '),
+ lambda w: CASE WHEN length(w) > 4 AND suffix(w, 's') THEN left(w, length(w) - 1) ELSE w END), lambda w: w <> ''))), ' ')"""
+
+
+@query("dedup_cascade", f"""
+WITH f AS (SELECT fact_id, doc_id, chunk_id, metric, decision, confidence, evidence, CAST(regexp_replace(fact_id, '[^0-9]', '', 'g') AS BIGINT) AS seq, CAST([] AS VARCHAR[]) AS merged,
+ {_CLEAN.format(c='evidence')} AS s, {_CLEAN.format(c='value')} AS v, {_CLEAN.format(c='unit')} AS u, {_CLEAN.format(c='metric')} AS m, {_KEY} AS k FROM {FACTS}),
+g AS (SELECT *, replace(regexp_extract(v, '(-?[0-9][0-9,]*\\.?[0-9]*)', 1), ',', '') AS x, CASE WHEN u IN ('percentage', 'percent', 'per cent', 'pct') THEN '%' ELSE u END AS cu FROM f),
+r0 AS (SELECT fact_id, doc_id, chunk_id, seq, merged, s, v, u, m, k, cu, CASE WHEN x = '' THEN v ELSE regexp_replace(regexp_replace(x, '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '') END AS num,
+ CASE decision WHEN 'keep' THEN 3 WHEN 'rescue' THEN 2 WHEN 'drop' THEN 1 ELSE 0 END AS a, CASE WHEN confidence IS NULL OR isnan(confidence) OR NOT confidence BETWEEN 0 AND 1 THEN 0.0 ELSE confidence END AS b,
+ CASE WHEN trim(coalesce(metric, '')) = '' THEN 0 ELSE len(list_filter(string_split(k, ' '), lambda w: w <> '')) + CASE WHEN regexp_matches(metric, '[A-Za-z]') THEN 3 ELSE 0 END END AS c, CASE WHEN cu IN ('', '-') THEN 0 ELSE 3 END AS d, -length(coalesce(evidence, '')) AS e FROM g),
+r1 AS {_stage('r0', 'doc_id, s, v, u, m', "s <> ''")}, r2 AS {_stage('r1', 'doc_id, s, num, cu', "s <> ''")},
+r3 AS {_stage('r2', 'doc_id, s, num', "s <> '' AND len(regexp_extract_all(s, '[0-9][0-9,]*[.]?[0-9]*')) = 1")}, r4 AS {_stage('r3', 'doc_id, k, num, cu', "k <> ''")}
+SELECT fact_id, doc_id, chunk_id, merged FROM r4""")
 def dedup_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.dedup_cascade(_cascade_rows(spark, folder)).select("fact_id", "doc_id", "chunk_id", "merged")
 

@@ -52,11 +52,13 @@ def neighbour_context(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.with_context(c).select("chunk_id", F.md5("context").alias("digest"))
 
 
-@query("broken_links", f"SELECT k.chunk_id FROM {CHUNKS} k LEFT JOIN {CHUNKS} n ON n.chunk_id = k.next_chunk_id WHERE k.next_chunk_id IS NOT NULL AND (n.chunk_id IS NULL OR n.prev_chunk_id IS DISTINCT FROM k.chunk_id)")
+@query("broken_links", f"SELECT k.doc_id, count(*) AS links, count(*) FILTER (n.chunk_id IS NULL OR n.prev_chunk_id IS DISTINCT FROM k.chunk_id) AS broken FROM {CHUNKS} k LEFT JOIN {CHUNKS} n ON n.chunk_id = k.next_chunk_id WHERE k.next_chunk_id IS NOT NULL GROUP BY ALL")
 def broken_links(spark: SparkSession, folder: str) -> DataFrame:
-    c = _chunks(spark, folder, "chunk_id", "prev_chunk_id", "next_chunk_id")
+    """For each report, its links to a next chunk and those that do not lead back."""
+    c = _chunks(spark, folder, "doc_id", "chunk_id", "prev_chunk_id", "next_chunk_id")
     n = c.select(F.col("chunk_id").alias("next_chunk_id"), F.col("prev_chunk_id").alias("back"))
-    return c.where("next_chunk_id is not null").join(n, "next_chunk_id", "left").where(~F.col("back").eqNullSafe(F.col("chunk_id"))).select("chunk_id")
+    linked = c.where("next_chunk_id is not null").join(n, "next_chunk_id", "left")
+    return linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("links"), F.count_if(~F.col("back").eqNullSafe(F.col("chunk_id"))).alias("broken"))
 
 
 @query("table_cells", f"""

@@ -76,10 +76,11 @@ def field_presence(spark: SparkSession, folder: str) -> DataFrame:
     return validate.presence(star.facts(spark, folder), ["metric", "value", "unit", "period", "evidence", "entity", "segment"])
 
 
-@query("exact_without_value", f"SELECT obs_id FROM {OBS} WHERE normalisation_confidence IN ('exact', 'inferred') AND (normalised_value IS NULL OR isnan(normalised_value))")
+@query("exact_without_value", f"SELECT company_id, normalisation_confidence, count(*) AS n, count(*) FILTER (normalised_value IS NULL OR isnan(normalised_value)) AS without_value FROM {OBS} GROUP BY ALL")
 def exact_without_value(spark: SparkSession, folder: str) -> DataFrame:
+    """For each company and confidence, the observations and those without a value: none may be exact or inferred."""
     no_value = F.col("normalised_value").isNull() | F.isnan("normalised_value")
-    return star.observations(spark, folder, F.col("normalisation_confidence").isin("exact", "inferred") & no_value).select("obs_id")
+    return star.observations(spark, folder).groupBy("company_id", "normalisation_confidence").agg(F.count(F.lit(1)).alias("n"), F.count_if(no_value).alias("without_value"))
 
 
 @query("missing_dimension_rows", f"""

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant.functions.udf import once
-from verdant.session import spread
+from verdant.session import cut_lineage, small_join, spread
 
 _GAP = re.compile(r"\n[^\S\n]*\n\s*|\n|(?<=[.!?;])[\"'”»)\]]*[^\S\n]+")
 _WORD = re.compile(r"[^\W\d_]{4,}")
@@ -157,6 +157,19 @@ def _cuts(rule: SplitRule):
     return once(run)
 
 
+def once_each(rows: DataFrame, id_cols: list[str]) -> DataFrame:
+    """id_cols + (_text) with rows repeated whole left once.
+
+    Only rows whose digest occurs twice are shuffled; of the others, which are nearly all,
+    nothing but the digests is.
+    """
+    marked = rows.withColumn("_mark", F.xxhash64(*id_cols, "_text"))
+    twice = cut_lineage(marked.groupBy("_mark").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_mark"))
+    single = small_join(marked, twice, ["_mark"], "left_anti")
+    several = small_join(marked, twice, ["_mark"], "left_semi").dropDuplicates([*id_cols, "_text"])
+    return single.unionByName(several).drop("_mark")
+
+
 def split_oversized(items: DataFrame, id_cols: list[str], content_col: str = "content", rule: SplitRule = SplitRule(), keep_small: bool = False) -> DataFrame:
     """id_cols + (piece_no, n_pieces, start, end, overlap_chars, cut, content, token_estimate).
 
@@ -168,13 +181,13 @@ def split_oversized(items: DataFrame, id_cols: list[str], content_col: str = "co
     rows = items.select(*id_cols, text.alias("_text")).where(F.col("_text").isNotNull())
     if not keep_small:
         rows = rows.where(F.char_length("_text") > 4 * rule.limit)
+    rows = once_each(spread(rows), id_cols)
     names = F.create_map(*(F.lit(x) for pair in KIND_NAMES.items() for x in pair))
-    cut = spread(rows).select(*id_cols, "_text", _cuts(rule)(F.col("_text")).alias("_cuts"))
-    long = cut.select(*id_cols, "_text", F.xxhash64("_text").alias("_same"), F.size("_cuts").alias("n_pieces"), F.posexplode("_cuts").alias("_at", "_cut"))
+    cut = rows.select(*id_cols, "_text", _cuts(rule)(F.col("_text")).alias("_cuts"))
+    long = cut.select(*id_cols, "_text", F.size("_cuts").alias("n_pieces"), F.posexplode("_cuts").alias("_at", "_cut"))
     start, end = F.col("_cut")[0], F.col("_cut")[1]
-    pieces = long.select(
+    return long.select(
         *id_cols,
-        "_same",
         (F.col("_at") + 1).alias("piece_no"),
         "n_pieces",
         start.alias("start"),
@@ -184,4 +197,3 @@ def split_oversized(items: DataFrame, id_cols: list[str], content_col: str = "co
         F.col("_text").substr(start + 1, end - start).alias("content"),
         F.floor((end - start + 3) / 4).cast("int").alias("token_estimate"),
     )
-    return pieces.dropDuplicates([*id_cols, "_same", "piece_no"]).drop("_same")

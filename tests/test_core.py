@@ -491,3 +491,21 @@ def test_checkpoint_folder_is_refused_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session._shared_folder(Session)
+
+
+def test_reprints_encoder_and_candidates(spark):
+    texts = ["News. Reprinted from The Daily. Rest", "plain", "reprinted from ", "Dear shareholders: we", "Intro. To our shareholders : hello", None, "x" * 100_000 + " originally published 1990"]
+    got = column(spark, texts, text.reprint_parts(F.col("v")))
+    assert got[0] == ("News.", "Reprinted from The Daily. Rest") and got[1] is None and got[3] is None and got[5] is None
+    assert got[2] == ("", "reprinted from") and got[6].before == "x" * 100_000
+    letters = column(spark, texts, text.reprint_parts(F.col("v"), at_letters=True))
+    assert letters[3] is None and letters[4] == ("Intro.", "To our shareholders : hello")
+    rows = spark.createDataFrame([(1, "water used"), (2, "Water USED, used"), (3, None), (1, "water used")], "k int, t string")
+    vectors = {r.key: r.vector for r in providers.embed_texts(rows, "k", "t").collect()}
+    assert len(vectors) == 3 and set(vectors[3]) == {0.0} and math.isclose(sum(x * x for x in vectors[1]), 1.0)
+    sparse = {(r.key, r.slot): r.w for r in resolve.hashed_vectors(rows.where("k < 3").distinct(), "k", "t").withColumnRenamed("k", "key").collect()}
+    assert all(math.isclose(vectors[k][slot], w, abs_tol=1e-12) for (k, slot), w in sparse.items())
+    assert providers.embed_texts(rows.limit(0), "k", "t").count() == 0
+    pairs = [("total plastics", "waste_plastic", "kg", "kg"), ("total water", "waste_plastic", "kg", "kg"), ("total water", "waste_plastic", "kg", "GJ")]
+    valid = matching.candidate_valid(F.col("a"), F.col("b"), F.col("c"), F.col("d"), F.lit("scalar"), {"waste_plastic": ["plastics"]})
+    assert column(spark, pairs, valid, "a string, b string, c string, d string") == [False, True, False]

@@ -15,17 +15,24 @@ def _number(text: Column, pattern: str, group: int = 1) -> Column:
 def interpretation(sentence: Column) -> Column:
     """struct(kind, first, second, direction): transition (from a to b), range (between a and b), change (by a) or scalar."""
     s = F.coalesce(sentence, F.lit(""))
-    a1, b1 = _number(s, rf"(?i)\bfrom\s+{_NUM}[^.;]*?\bto\s+{_NUM}", 1), _number(s, rf"(?i)\bfrom\s+{_NUM}[^.;]*?\bto\s+{_NUM}", 2)
-    a2, b2 = _number(s, rf"(?i)\bbetween\s+{_NUM}[^.;]*?\band\s+{_NUM}", 1), _number(s, rf"(?i)\bbetween\s+{_NUM}[^.;]*?\band\s+{_NUM}", 2)
-    by = _number(s, rf"(?i)\b(?:by|of)\s+{_NUM}\s*(?:%|per\s?cent|percent|bps|basis points)", 1)
-    kind = F.when(a1.isNotNull() & b1.isNotNull(), "transition").when(a2.isNotNull() & b2.isNotNull(), "range").when(by.isNotNull(), "change").otherwise("scalar")
-    down = s.rlike(r"(?i)\b(reduc|declin|decreas|fell|fallen|lower|cut|saved)")
-    up = s.rlike(r"(?i)\b(increas|rose|risen|grew|grown|improv|higher|climbed)")
-    first = F.when(kind == "transition", a1).when(kind == "range", a2).when(kind == "change", by)
-    second = F.when(kind == "transition", b1).when(kind == "range", b2)
-    moved = F.when(first < second, "up").when(first > second, "down")
-    direction = F.coalesce(F.when(kind == "transition", moved), F.when(down & ~up, "down").when(up & ~down, "up"))
-    return F.struct(kind.alias("kind"), first.alias("first"), second.alias("second"), direction.alias("direction"))
+    moved, between = rf"(?i)\bfrom\s+{_NUM}[^.;]*?\bto\s+{_NUM}", rf"(?i)\bbetween\s+{_NUM}[^.;]*?\band\s+{_NUM}"
+    read = F.struct(
+        _number(s, moved, 1).alias("a1"), _number(s, moved, 2).alias("b1"), _number(s, between, 1).alias("a2"), _number(s, between, 2).alias("b2"),
+        _number(s, rf"(?i)\b(?:by|of)\s+{_NUM}\s*(?:%|per\s?cent|percent|bps|basis points)", 1).alias("by"),
+        s.rlike(r"(?i)\b(reduc|declin|decreas|fell|fallen|lower|cut|saved)").alias("down"),
+        s.rlike(r"(?i)\b(increas|rose|risen|grew|grown|improv|higher|climbed)").alias("up"),
+    )
+
+    def told(x: Column) -> Column:
+        a1, b1, a2, b2, by = (x[n] for n in ("a1", "b1", "a2", "b2", "by"))
+        kind = F.when(a1.isNotNull() & b1.isNotNull(), "transition").when(a2.isNotNull() & b2.isNotNull(), "range").when(by.isNotNull(), "change").otherwise("scalar")
+        first = F.when(kind == "transition", a1).when(kind == "range", a2).when(kind == "change", by)
+        second = F.when(kind == "transition", b1).when(kind == "range", b2)
+        went = F.when((kind == "transition") & (a1 < b1), "up").when((kind == "transition") & (a1 > b1), "down")
+        direction = F.coalesce(went, F.when(x["down"] & ~x["up"], "down").when(x["up"] & ~x["down"], "up"))
+        return F.struct(kind.alias("kind"), first.alias("first"), second.alias("second"), direction.alias("direction"))
+
+    return F.transform(F.array(read), told)[0]  # the patterns are matched once, however often their finds are used
 
 
 def baseline_year(sentence: Column) -> Column:

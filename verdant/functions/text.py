@@ -161,3 +161,26 @@ def word_windows(text: Column, most: int, overlap: int) -> Column:
     n = F.size(words)
     starts = F.sequence(F.lit(0), F.greatest(n - overlap - 1, F.lit(0)), F.lit(most - overlap))
     return F.when(n > 0, F.transform(starts, lambda s: F.array_join(F.slice(words, s + 1, F.lit(most)), " "))).otherwise(F.array().cast("array<string>"))
+
+
+# How a text says that what follows was printed before, and how a letter to shareholders begins.
+REPRINTS = (
+    r"\breprinted from\b", r"\boriginally published\b", r"\boriginally written\b", r"\bas published in\b", r"\bthe following\b.*?\bwas\b.*?\bpublished\b",
+    r"\bfrom our\s+\d{4}\s+annual report\b", r"\boriginal\s+\d{4}\s+.*?\bletter\s+follows\b",
+)
+LETTER = r"\b(?:dear shareholders|to our shareholders)\s*:"
+
+
+def reprint_parts(content: Column, at_letters: bool = False) -> Column:
+    """struct(before, after) of a text cut where a reprint begins, the earliest of all signs; null without one or with nothing behind it.
+
+    at_letters: a letter to shareholders begins one too, unless it opens the text.
+    """
+    found = [F.nullif(F.regexp_instr(content, F.lit(f"(?is){p}")), F.lit(0)) for p in REPRINTS]
+    if at_letters:
+        letter = F.regexp_instr(content, F.lit(f"(?is)(?<=.){LETTER}"))
+        found.append(F.nullif(letter, F.lit(0)))
+    at = F.least(*found)
+    strip = r"(?U)^\s+|\s+$"
+    before, after = F.regexp_replace(F.substring(content, F.lit(1), at - 1), strip, ""), F.regexp_replace(F.substring(content, at, F.length(content)), strip, "")
+    return F.when(at.isNotNull() & (after != ""), F.struct(before.alias("before"), after.alias("after")))

@@ -6,6 +6,8 @@ order of arrival is an explicit column: equal scores keep the first row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,3 +119,20 @@ def distinct_ids(rows: DataFrame, name: str, parent: str, order: str) -> DataFra
     slugged = F.concat_ws("_", F.col(name), F.regexp_replace(F.lower(F.coalesce(parent, F.lit(""))), "[^a-z0-9]+", "-"), ordinal.cast("string"))
     joined = rows.join(counts, name)
     return joined.withColumn("unique_id", F.when(F.col("_n") == 1, F.col(name)).otherwise(slugged)).drop("_n")
+
+
+def anchored(facts: DataFrame, keys: dict[str, Column], specific: list[str], score: Column, seq: str, record: str) -> DataFrame:
+    """(record, specific): of the rows of an anchor those bound to something, one for each binding, else the best one.
+
+    keys: what the anchor is made of; specific: columns that bind a row, blank ones bind
+    nothing; equal scores keep the first in `seq`.  Two aggregations, no window over a group.
+    """
+    bound = {f"_b{i}": clean(F.col(c)) for i, c in enumerate(specific)}
+    rows = facts.select(F.col(record).alias("record"), F.col(seq).cast("long").alias("_seq"), score.alias("_score"), *(k.alias(n) for n, k in keys.items()), *(b.alias(n) for n, b in bound.items()))
+    own = F.greatest(*(F.when(F.col(n).isin("", "-"), 0).otherwise(1) for n in bound), F.lit(0))
+    rows = rows.withColumn("specific", own)
+    best = rows.groupBy(*keys, *bound, "specific").agg(F.max_by("record", F.struct("_score", -F.col("_seq"))).alias("record"))
+    most = rows.groupBy(*keys).agg(F.max("specific").alias("_most"))
+    same = [best[k].eqNullSafe(most[k]) for k in keys]
+    joined = best.join(most, reduce(lambda a, b: a & b, same)).where(F.col("specific") == F.col("_most"))
+    return joined.select("record", (F.col("specific") == 1).alias("specific"))

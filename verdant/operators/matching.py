@@ -92,3 +92,8 @@ def blacklisted(name: Column, canonical: Column, listed: dict[str, list[str]]) -
         for phrase in phrases:
             hit = hit | ((canonical == cid) & plain.contains(phrase.lower().rstrip("s")))
     return hit
+
+
+def candidate_valid(name: Column, canonical: Column, fact_unit: Column, canonical_unit: Column, fact_class: Column, listed: dict[str, list[str]]) -> Column:
+    """Whether a candidate may be considered: its name not listed against the canonical, the unit families compatible for the class of fact."""
+    return ~blacklisted(name, canonical, listed) & families_compatible(unit_family(fact_unit), unit_family(canonical_unit), fact_class)

@@ -18,15 +18,21 @@ _BA = f"(?i)\\bbetween\\s+{_N}[^.;]*?\\band\\s+{_N}"
 _BY = f"(?i)\\b(?:by|of)\\s+{_N}\\s*(?:%|per\\s?cent|percent|bps|basis points)"
 
 
-def _num(pattern: str, group: int) -> str:
-    return f"try_cast(nullif(replace(regexp_extract(s, '{pattern}', {group}), ',', ''), '') AS DOUBLE)"
+def _num(pattern: str, group: int, text: str = "s") -> str:
+    return f"try_cast(nullif(replace(regexp_extract({text}, '{pattern}', {group}), ',', ''), '') AS DOUBLE)"
+
+
+_UP, _DOWN = "(?i)\\b(increas|rose|risen|grew|grown|improv|higher|climbed)", "(?i)\\b(reduc|declin|decreas|fell|fallen|lower|cut|saved)"
+_INTERPRETED = f"""y AS (SELECT *, {_num(_FT, 1, '{text}')} AS a1, {_num(_FT, 2, '{text}')} AS b1, {_num(_BA, 1, '{text}')} AS a2, {_num(_BA, 2, '{text}')} AS b2, {_num(_BY, 1, '{text}')} AS by_, regexp_matches({{text}}, '{_UP}') AS up, regexp_matches({{text}}, '{_DOWN}') AS down FROM {{source}}),
+y2 AS (SELECT *, CASE WHEN a1 IS NOT NULL AND b1 IS NOT NULL THEN 'transition' WHEN a2 IS NOT NULL AND b2 IS NOT NULL THEN 'range' WHEN by_ IS NOT NULL THEN 'change' ELSE 'scalar' END AS kind FROM y),
+z AS (SELECT *, CASE kind WHEN 'transition' THEN a1 WHEN 'range' THEN a2 WHEN 'change' THEN by_ END AS first, CASE kind WHEN 'transition' THEN b1 WHEN 'range' THEN b2 END AS second,
+ coalesce(CASE WHEN kind = 'transition' AND a1 < b1 THEN 'up' WHEN kind = 'transition' AND a1 > b1 THEN 'down' END, CASE WHEN down AND NOT up THEN 'down' WHEN up AND NOT down THEN 'up' END) AS direction FROM y2)"""
 
 
 @query("fact_interpretation", f"""
-WITH x AS (SELECT fact_id, coalesce(evidence, '') AS s FROM {FACTS}), y AS (SELECT fact_id, {_num(_FT, 1)} AS a1, {_num(_FT, 2)} AS b1, {_num(_BA, 1)} AS a2, {_num(_BA, 2)} AS b2, {_num(_BY, 1)} AS c FROM x)
-SELECT fact_id, CASE WHEN a1 IS NOT NULL AND b1 IS NOT NULL THEN 'transition' WHEN a2 IS NOT NULL AND b2 IS NOT NULL THEN 'range' WHEN c IS NOT NULL THEN 'change' ELSE 'scalar' END AS kind FROM y""")
+WITH x AS (SELECT fact_id, coalesce(evidence, '') AS s FROM {FACTS}), {_INTERPRETED.format(source='x', text='s')} SELECT fact_id, kind, first, second, direction FROM z""")
 def fact_interpretation(spark: SparkSession, folder: str) -> DataFrame:
-    return star.facts(spark, folder).select("fact_id", say.interpretation(F.col("evidence"))["kind"].alias("kind"))
+    return star.facts(spark, folder).select("fact_id", say.interpretation(F.col("evidence")).alias("i")).select("fact_id", "i.*")
 
 
 @query("fact_dimensions", f"""

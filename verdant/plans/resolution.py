@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdant.functions.facts import interpretation
 from verdant.functions.number import unit_family
 from verdant.functions.text import STOPWORDS, metric_key, word_tokens
 from verdant.operators import cluster, dedup, resolve, star, vectors
 from verdant.plans.catalogue import query
+from verdant.plans.facts import _INTERPRETED
 from verdant.plans.star import FACTS, OBS
 from verdant.sources import read_table
 
@@ -28,13 +30,16 @@ _KEY = """array_to_string(list_sort(list_distinct(list_filter(list_transform(str
  lambda w: CASE WHEN length(w) > 4 AND suffix(w, 's') THEN left(w, length(w) - 1) ELSE w END), lambda w: w <> ''))), ' ')"""
 
 
-@query("dedup_cascade", f"""
-WITH f AS (SELECT fact_id, doc_id, chunk_id, metric, decision, confidence, evidence, CAST(regexp_replace(fact_id, '[^0-9]', '', 'g') AS BIGINT) AS seq, CAST([] AS VARCHAR[]) AS merged,
+_SCORED_FACTS = f"""f AS (SELECT fact_id, doc_id, chunk_id, metric, decision, confidence, evidence, period, entity, segment, CAST(regexp_replace(fact_id, '[^0-9]', '', 'g') AS BIGINT) AS seq, CAST([] AS VARCHAR[]) AS merged,
  {_CLEAN.format(c='evidence')} AS s, {_CLEAN.format(c='value')} AS v, {_CLEAN.format(c='unit')} AS u, {_CLEAN.format(c='metric')} AS m, {_KEY} AS k FROM {FACTS}),
 g AS (SELECT *, replace(regexp_extract(v, '(-?[0-9][0-9,]*\\.?[0-9]*)', 1), ',', '') AS x, CASE WHEN u IN ('percentage', 'percent', 'per cent', 'pct') THEN '%' ELSE u END AS cu FROM f),
-r0 AS (SELECT fact_id, doc_id, chunk_id, seq, merged, s, v, u, m, k, cu, CASE WHEN x = '' THEN v ELSE regexp_replace(regexp_replace(x, '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '') END AS num,
+r0 AS (SELECT fact_id, doc_id, chunk_id, seq, merged, s, v, u, m, k, cu, period, evidence, entity, segment, CASE WHEN x = '' THEN v ELSE regexp_replace(regexp_replace(x, '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '') END AS num,
  CASE decision WHEN 'keep' THEN 3 WHEN 'rescue' THEN 2 WHEN 'drop' THEN 1 ELSE 0 END AS a, CASE WHEN confidence IS NULL OR isnan(confidence) OR NOT confidence BETWEEN 0 AND 1 THEN 0.0 ELSE confidence END AS b,
- CASE WHEN trim(coalesce(metric, '')) = '' THEN 0 ELSE len(list_filter(string_split(k, ' '), lambda w: w <> '')) + CASE WHEN regexp_matches(metric, '[A-Za-z]') THEN 3 ELSE 0 END END AS c, CASE WHEN cu IN ('', '-') THEN 0 ELSE 3 END AS d, -length(coalesce(evidence, '')) AS e FROM g),
+ CASE WHEN trim(coalesce(metric, '')) = '' THEN 0 ELSE len(list_filter(string_split(k, ' '), lambda w: w <> '')) + CASE WHEN regexp_matches(metric, '[A-Za-z]') THEN 3 ELSE 0 END END AS c, CASE WHEN cu IN ('', '-') THEN 0 ELSE 3 END AS d, -length(coalesce(evidence, '')) AS e FROM g)"""
+
+
+@query("dedup_cascade", f"""
+WITH {_SCORED_FACTS},
 r1 AS {_stage('r0', 'doc_id, s, v, u, m', "s <> ''")}, r2 AS {_stage('r1', 'doc_id, s, num, cu', "s <> ''")},
 r3 AS {_stage('r2', 'doc_id, s, num', "s <> '' AND len(regexp_extract_all(s, '[0-9][0-9,]*[.]?[0-9]*')) = 1")}, r4 AS {_stage('r3', 'doc_id, k, num, cu', "k <> ''")}
 SELECT fact_id, doc_id, chunk_id, merged FROM r4""")
@@ -42,6 +47,28 @@ def dedup_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.dedup_cascade(_cascade_rows(spark, folder)).select("fact_id", "doc_id", "chunk_id", "merged")
 
 
+def _bound(column: str) -> str:
+    return f"CASE WHEN {_CLEAN.format(c=column)} IN ('', '-') THEN 0 ELSE 1 END"
+
+
+@query("anchored_facts", f"""
+WITH {_SCORED_FACTS}, x AS (SELECT *, coalesce(evidence, '') AS s2 FROM r0), {_INTERPRETED.format(source='x', text='s2')},
+w AS (SELECT fact_id, greatest({_bound('entity')}, {_bound('segment')}) AS spec, k, doc_id, num, cu, period, kind, first, second, {_CLEAN.format(c='entity')} AS en, {_CLEAN.format(c='segment')} AS sg, a, b, c, d, e, seq FROM z),
+r AS (SELECT *, max(spec) OVER (PARTITION BY doc_id, k, num, cu, period, kind, first, second) AS most, row_number() OVER (PARTITION BY doc_id, k, num, cu, period, kind, first, second, en, sg, spec ORDER BY a DESC, b DESC, c DESC, d DESC, e DESC, seq) AS n FROM w)
+SELECT fact_id, spec = 1 AS specific FROM r WHERE n = 1 AND spec = most""")
+def anchored_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """One fact for each anchor: report, metric words, value, unit, period and what the evidence says of a change; facts bound to an entity or segment go first."""
+    facts = star.facts(spark, folder).select("fact_id", "doc_id", "metric", "value", "unit", "period", "entity", "segment", "evidence", "decision", "confidence")
+    said = interpretation(F.col("evidence"))
+    keys = {
+        "k0": F.col("doc_id"), "k1": metric_key(F.col("metric")), "k2": dedup.clean_number(F.col("value")), "k3": dedup.clean_unit(F.col("unit")), "k4": F.col("period"),
+        "k5": said["kind"], "k6": said["first"], "k7": said["second"],
+    }
+    score = dedup.fact_score(F.col("decision"), F.col("confidence"), F.col("metric"), F.col("unit"), F.col("evidence"))
+    ordered = facts.withColumn("seq", F.regexp_replace("fact_id", "[^0-9]", ""))
+    return dedup.anchored(ordered, keys, ["entity", "segment"], score, "seq", "fact_id").withColumnRenamed("record", "fact_id")
+
+
 _CL = "trim(regexp_replace(lower(coalesce({c}, '')), '[ \\t\\n\\r\\f\\x0b]+', ' ', 'g'))"
 
 

@@ -6,6 +6,8 @@ deterministic and need no network, so a plan can be run and tested without a ser
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -13,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verdant.functions.text import STOPWORDS
+
 PageReader = Callable[[bytes], list[str]]
 Extractor = Callable[[str], list[dict]]
 
@@ -82,3 +86,32 @@ def salvage_json_array(text: str | None) -> str | None:
             if c == "}" and depth == 1:
                 last = i
     return body[start : last + 1] + "]" if last is not None else "[]"
+
+
+Encoder = Callable[[list[str]], list[list[float]]]
+
+
+def hashing_encoder(texts: list[str]) -> list[list[float]]:
+    """Default encoder: unit vectors of 512 slots, words by the hash of their letters; a text without words is zero."""
+    out = []
+    for text in texts:
+        counts = [0.0] * 512
+        for word in re.findall("[a-z0-9]+", text.lower()):
+            if word not in STOPWORDS:
+                counts[int(hashlib.md5(word.encode()).hexdigest()[-3:], 16) % 512] += 1.0
+        size = math.sqrt(sum(x * x for x in counts))
+        out.append([x / size for x in counts] if size else counts)
+    return out
+
+
+def embed_texts(df: DataFrame, key: str, text: str, encoder: Encoder = hashing_encoder) -> DataFrame:
+    """(key, vector) of every distinct (key, text); null texts are empty.  The encoder gets one batch at a time, equal texts of it once."""
+    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).distinct()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = list(dict.fromkeys(batch["text"]))
+            vectors = dict(zip(own, encoder(own), strict=True))
+            yield pd.DataFrame({"key": batch["key"], "vector": [vectors[t] for t in batch["text"]]})
+
+    return rows.mapInPandas(run, f"key {rows.schema['key'].dataType.simpleString()}, vector array<double>")

@@ -168,35 +168,38 @@ def resolve_period(label: Column, period_type: Column, sentence: Column, documen
     """
     kind, none = period_kind(document_period), F.lit(None).cast("date")
     both = F.concat_ws(" ", F.coalesce(label, F.lit("")), F.coalesce(sentence, F.lit("")))
-    own, report = year_token(label, kind), year_token(document_period, kind)
-    what = F.lower(F.trim(F.coalesce(period_type, F.lit(""))))
-    whole = what.isin("full_year", "baseline")
-    year_start, year_end = _token_bounds(F.coalesce(own, report), end_month)
-    _, report_end = _token_bounds(report, end_month)
-    target, since = _found(both, BY_YEAR).cast("int"), _found(both, SINCE_YEAR).cast("int")
-    as_of = F.coalesce(_found(label, AS_OF), _found(sentence, AS_OF)).cast("int")
     months = F.create_map(*(F.lit(x) for pair in ((m, i + 1) for i, m in enumerate(MONTH_NAMES)) for x in pair))
-    month = F.coalesce(F.try_element_at(months, F.lower(_found(both, MONTH))), F.lit(12))
-    point = F.last_day(F.make_date(as_of, month, F.lit(1)))
-    token = F.coalesce(own, year_token(sentence, kind))
-    year, quarter = F.substring(token, 3, 4).try_cast("int"), _found(both, QUARTER).cast("int")
-    half = F.when(both.rlike(r"(?i)\bh1\b|half year"), 1).when(both.rlike(r"(?i)\bh2\b"), 2)
-    q_start, q_end = quarter_bounds(year, F.when(token.startswith("FY"), end_month).otherwise(12), quarter)
-    h_start, h_end = half_bounds(year, end_month, half)
-    fiscal = token.startswith("FY")
-    start = (
-        F.when(whole, year_start).when((what == "cumulative") & since.isNotNull(), F.make_date(since, F.lit(1), F.lit(1))).when(what == "point_in_time", point)
-        .when((what == "partial") & quarter.isNotNull(), q_start).when((what == "partial") & fiscal, h_start).otherwise(none)
+    read = F.struct(
+        F.lower(F.trim(F.coalesce(period_type, F.lit("")))).alias("what"), year_token(label, kind).alias("own"), year_token(sentence, kind).alias("spoken"), year_token(document_period, kind).alias("report"),
+        _found(both, BY_YEAR).cast("int").alias("target"), _found(both, SINCE_YEAR).cast("int").alias("since"), F.coalesce(_found(label, AS_OF), _found(sentence, AS_OF)).cast("int").alias("as_of"),
+        F.coalesce(F.try_element_at(months, F.lower(_found(both, MONTH))), F.lit(12)).alias("month"), _found(both, QUARTER).cast("int").alias("quarter"),
+        F.when(both.rlike(r"(?i)\bh1\b|half year"), 1).when(both.rlike(r"(?i)\bh2\b"), 2).alias("half"), end_month.cast("int").alias("end_month"),
     )
-    end = (
-        F.when(whole, year_end).when(what == "target", F.make_date(target, F.lit(12), F.lit(31))).when(what == "cumulative", report_end).when(what == "point_in_time", point)
-        .when((what == "partial") & quarter.isNotNull(), q_end).when((what == "partial") & fiscal, h_end).otherwise(none)
-    )
-    how = (
-        F.when(what == "cumulative", F.when(since.isNotNull(), "resolved").when(report_end.isNotNull(), "inferred").otherwise("unresolvable"))
-        .when(end.isNotNull(), "resolved").when(what == "partial", "inferred").otherwise("unresolvable")
-    )
-    return F.struct(start.alias("start"), end.alias("end"), how.alias("resolution"))
+
+    def told(x: Column) -> Column:
+        what, quarter, since, token, month = x["what"], x["quarter"], x["since"], F.coalesce(x["own"], x["spoken"]), x["end_month"]
+        whole, partial, fiscal = what.isin("full_year", "baseline"), what == "partial", token.startswith("FY")
+        year_start, year_end = _token_bounds(F.coalesce(x["own"], x["report"]), month)
+        _, report_end = _token_bounds(x["report"], month)
+        point = F.last_day(F.make_date(x["as_of"], x["month"], F.lit(1)))
+        year = F.substring(token, 3, 4).try_cast("int")
+        q_start, q_end = quarter_bounds(year, F.when(fiscal, month).otherwise(12), quarter)
+        h_start, h_end = half_bounds(year, month, x["half"])
+        start = (
+            F.when(whole, year_start).when((what == "cumulative") & since.isNotNull(), F.make_date(since, F.lit(1), F.lit(1))).when(what == "point_in_time", point)
+            .when(partial & quarter.isNotNull(), q_start).when(partial & fiscal, h_start).otherwise(none)
+        )
+        end = (
+            F.when(whole, year_end).when(what == "target", F.make_date(x["target"], F.lit(12), F.lit(31))).when(what == "cumulative", report_end).when(what == "point_in_time", point)
+            .when(partial & quarter.isNotNull(), q_end).when(partial & fiscal, h_end).otherwise(none)
+        )
+        how = (
+            F.when(what == "cumulative", F.when(since.isNotNull(), "resolved").when(report_end.isNotNull(), "inferred").otherwise("unresolvable"))
+            .when(end.isNotNull(), "resolved").when(partial, "inferred").otherwise("unresolvable")
+        )
+        return F.struct(start.alias("start"), end.alias("end"), how.alias("resolution"))
+
+    return F.transform(F.array(read), told)[0]  # the texts are searched once, however often their finds are used
 
 
 def rolling_bounds(year: Column, end_month: Column, quarter: Column) -> tuple[Column, Column]:

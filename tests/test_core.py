@@ -509,3 +509,21 @@ def test_reprints_encoder_and_candidates(spark):
     pairs = [("total plastics", "waste_plastic", "kg", "kg"), ("total water", "waste_plastic", "kg", "kg"), ("total water", "waste_plastic", "kg", "GJ")]
     valid = matching.candidate_valid(F.col("a"), F.col("b"), F.col("c"), F.col("d"), F.lit("scalar"), {"waste_plastic": ["plastics"]})
     assert column(spark, pairs, valid, "a string, b string, c string, d string") == [False, True, False]
+
+
+def test_definitions_bands_and_ties(spark):
+    from verdant.plans import outcomes
+
+    assert column(spark, ["", None, "N/A", "too short", "long enough to be one"], outcomes.definition_failed(F.col("v"))) == [True, True, True, True, False]
+    made = outcomes.described(F.col("v"), F.lit("steam"))
+    assert column(spark, ["volume", "other", None], made) == ["The volume associated with steam.", "A business metric measuring steam.", "A business metric measuring steam."]
+    rng = random.Random(6)
+    values = [0.0, -0.0, 1e-9, -5.0, -5.04, 100.0, 101.0] + [rng.uniform(-200, 200) for _ in range(80)]
+    frame = spark.createDataFrame([(i, v, f"d{i % 3}", "k") for i, v in enumerate(values)], "i int, v double, d string, k string")
+    got = {(r.asked, r.found) for r in review.nearest_values(frame, frame, ["k"], "i", "i", "v", "d", most=1000).collect()}
+    assert got == {(a, b) for a, x in enumerate(values) for b, y in enumerate(values) if a != b and abs(x - y) <= 0.04 * abs(x)}
+    scored = spark.createDataFrame([("m", "a", 0.9), ("m", "b", 0.9), ("m", "c", 0.7), ("m", "d", 0.69), ("n", "a", 0.1)], "m string, c string, s double")
+    assert {(r.m, r.c, r.place) for r in review.margin_ties(scored, "m", "c", "s").collect()} == {("m", "a", 1), ("m", "b", 2), ("m", "c", 3), ("n", "a", 1)}
+    facts = spark.createDataFrame([("1", "k", "", None, 5), ("2", "k", "plant", None, 1), ("3", "k", "plant", None, 2), ("4", "k", None, "north", 1), ("5", None, "", "-", 1)], "id string, k string, e string, s string, x int")
+    kept = {(r.record, r.specific) for r in dedup.anchored(facts, {"k0": F.col("k")}, ["e", "s"], F.struct("x"), "id", "id").collect()}
+    assert kept == {("3", True), ("4", True), ("5", False)}

@@ -42,9 +42,9 @@ r0 AS (SELECT fact_id, doc_id, chunk_id, seq, merged, s, v, u, m, k, cu, period,
 WITH {_SCORED_FACTS},
 r1 AS {_stage('r0', 'doc_id, s, v, u, m', "s <> ''")}, r2 AS {_stage('r1', 'doc_id, s, num, cu', "s <> ''")},
 r3 AS {_stage('r2', 'doc_id, s, num', "s <> '' AND len(regexp_extract_all(s, '[0-9][0-9,]*[.]?[0-9]*')) = 1")}, r4 AS {_stage('r3', 'doc_id, k, num, cu', "k <> ''")}
-SELECT fact_id, doc_id, chunk_id, merged FROM r4""")
+SELECT fact_id, doc_id, chunk_id, array_to_string(merged, ',') AS merged FROM r4""")
 def dedup_cascade(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.dedup_cascade(_cascade_rows(spark, folder)).select("fact_id", "doc_id", "chunk_id", "merged")
+    return dedup.dedup_cascade(_cascade_rows(spark, folder)).select("fact_id", "doc_id", "chunk_id", F.array_join("merged", ",").alias("merged"))
 
 
 def _bound(column: str) -> str:
@@ -90,10 +90,14 @@ def dedup_by_canonical(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.dedup_by_canonical(star.observations(spark, folder), {"normalized": 0, "partial": 1})
 
 
-@query("dedup_by_canonical_chunks")
+@query("dedup_by_canonical_chunks", f"""
+WITH r AS (SELECT *, row_number() OVER w AS n, count(*) OVER g AS members FROM {OBS} WHERE canonical_id IS NOT NULL
+ WINDOW g AS (PARTITION BY source_doc_id, canonical_id, period_label, raw_value), w AS (PARTITION BY source_doc_id, canonical_id, period_label, raw_value ORDER BY CASE normalization_status WHEN 'normalized' THEN 0 WHEN 'partial' THEN 1 ELSE 2 END, obs_id))
+SELECT min(obs_id) FILTER (n = 1) AS obs_id, source_doc_id, canonical_id, period_label, raw_value, count(*) AS members, coalesce(array_to_string(list_sort(list_distinct(list(chunk_id) FILTER (n > 1 AND trim(coalesce(chunk_id, '')) <> ''))), ','), '') AS merged FROM r GROUP BY source_doc_id, canonical_id, period_label, raw_value""")
 def dedup_by_canonical_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """dedup_by_canonical with `merged`, the chunk ids of the rows replaced."""
-    return dedup.dedup_by_canonical(star.observations(spark, folder), {"normalized": 0, "partial": 1}, "chunk_id")
+    kept = dedup.dedup_by_canonical(star.observations(spark, folder), {"normalized": 0, "partial": 1}, "chunk_id")
+    return kept.withColumn("merged", F.array_join("merged", ","))
 
 
 @query("renumbered_candidates", f"""
@@ -152,9 +156,11 @@ def hashed_tfidf_top3(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("match_decisions", f"""
 SELECT verdict, count(*) AS n FROM (SELECT metric, CASE WHEN score >= 0.65 AND margin >= 0.2 THEN 'accept' WHEN score >= 0.65 THEN 'review' ELSE 'none' END AS verdict
-FROM (%s) WHERE rank = 1) GROUP BY ALL""")
+FROM (SELECT DISTINCT metric AS m FROM extracted_fact WHERE metric IS NOT NULL) LEFT JOIN (%s) ON metric = m AND rank = 1) GROUP BY ALL""")
 def match_decisions(spark: SparkSession, folder: str) -> DataFrame:
-    top = hashed_tfidf_top3(spark, folder).where("rank = 1")
+    """How many metrics are decided which way; those that share no word with an entry are none."""
+    metrics = read_table(spark, folder, "extracted_fact").select("metric").where("metric is not null").distinct()
+    top = metrics.join(hashed_tfidf_top3(spark, folder).where("rank = 1"), "metric", "left")
     return top.groupBy(resolve.accept(F.col("score"), F.col("margin")).alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
 
 

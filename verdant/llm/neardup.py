@@ -15,8 +15,8 @@ positional bytes with Jaccard similarity t share at least T = ceil(t / (1 + t) *
 Every posting also carries an 88-bit parity fingerprint of the whole set.  Each positional
 byte that is not shared changes at most one of its bits, which bounds what a pair can share
 at all; pairs that cannot reach T are not even tallied.  All filters are exact bounds: no
-link is lost.  Rarity comes from a counting sketch filled from all rows, with about as many
-slots as there are shingles; it only orders the bytes, so its collisions cost time and never
+link is lost.  Rarity comes from a counting sketch filled from all rows, with a slot for
+every two to four shingles; it only orders the bytes, so its collisions cost time and never
 results.  Equal sets form one class: links are made between classes.
 
 The texts are read three times (classes and counts, postings, the candidates for verification);
@@ -220,9 +220,9 @@ def _collected(blocks: DataFrame, size: int, run: Callable) -> np.ndarray:
 
 
 def sketch_bits(rows: DataFrame) -> int:
-    """A slot for every 8 to 16 characters, about as many as there are shingles, within LEAST_BITS and MOST_BITS."""
+    """A slot for every 16 to 32 characters, some two or four shingles, within LEAST_BITS and MOST_BITS."""
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    return min(MOST_BITS, max(LEAST_BITS, (chars // 16).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, (chars // 32).bit_length()))
 
 
 _POSTING = "key long, size int, place int, id_hi long, id_lo long"
@@ -378,9 +378,9 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, rule: NearRul
     members = described.where("block < 0").select("id", "id_hi", "id_lo", "mark")
 
     # One record of each class is posted; the others are its copies.
-    several = members.groupBy(_CLASS).agg(F.min(F.struct("id", "mark")).alias("first"), F.max("id").alias("last")).where("first.id <> last")
+    several = members.groupBy(_CLASS).agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
     copies = cut_lineage(small_join(members, cut_lineage(several.select(*_CLASS, "first")), _CLASS, "inner"))
-    posted = small_join(marked, copies.where("id <> first.id").select("id", "mark").distinct(), ["id", "mark"], "left_anti")
+    posted = small_join(marked, copies.where("id <> first").select("id", "mark").distinct(), ["id", "mark"], "left_anti")
     postings = posted.select("text").mapInPandas(_post(rule, bits, sketch), _POSTING)
     pairs = cut_lineage(tallied_pairs(postings, rule))  # four numbers a pair
 

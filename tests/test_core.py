@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from verdant.functions import facts as say
 from verdant.functions import number, period, quantity, semantics, similarity, text
 from verdant.operators import chunks, cluster, dedup, intervals, matching, resolve, review, star, units, validate, vectors
-from verdant.plans import router
+from verdant.plans import resolution, router
 from verdant.sources import files, providers
 from verdant.streaming import resume
 
@@ -527,3 +527,13 @@ def test_definitions_bands_and_ties(spark):
     facts = spark.createDataFrame([("1", "k", "", None, 5), ("2", "k", "plant", None, 1), ("3", "k", "plant", None, 2), ("4", "k", None, "north", 1), ("5", None, "", "-", 1)], "id string, k string, e string, s string, x int")
     kept = {(r.record, r.specific) for r in dedup.anchored(facts, {"k0": F.col("k")}, ["e", "s"], F.struct("x"), "id", "id").collect()}
     assert kept == {("3", True), ("4", True), ("5", False)}
+
+
+def test_anchored_facts_order_by_numbers_of_any_length(spark, tmp_path):
+    made = [("co_7_p1_fact_" + "9" * 24, "k1"), ("co_7_p1_fact_1" + "0" * 24, "k1"), ("co_07_p1_fact_" + "8" * 24, "k1"), ("fact", "k2"), ("co_7_p2_fact_1", "k3"), ("co_7_p1_fact_21", "k4"), ("co_7_p12_fact_1", "k4")]
+    rows = [(i, "d", m, "5", "kg", None, None, None, "so it is", "keep", 0.5) for i, m in made]
+    schema = "fact_id string, doc_id string, metric string, value string, unit string, period string, entity string, segment string, evidence string, decision string, confidence double"
+    facts = spark.createDataFrame([(*r[:2], f"water {'abcd'[int(r[2][1]) - 1] * 3}", *r[3:]) for r in rows], schema)
+    facts.unionByName(facts).withColumn("ingested_at", F.monotonically_increasing_id()).write.parquet(str(tmp_path / "extracted_fact.parquet"))
+    got = sorted((r.fact_id, r.specific) for r in resolution.anchored_facts(spark, str(tmp_path)).collect())
+    assert got == [("co_07_p1_fact_" + "8" * 24, False), ("co_7_p12_fact_1", False), ("co_7_p2_fact_1", False), ("fact", False)]

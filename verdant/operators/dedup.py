@@ -6,8 +6,6 @@ order of arrival is an explicit column: equal scores keep the first row.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +40,12 @@ def fact_score(decision: Column, confidence: Column, metric: Column, unit: Colum
     return F.struct(rank.alias("a"), sure.alias("b"), quality.alias("c"), stated.alias("d"), (-F.length(F.coalesce(evidence, F.lit("")))).alias("e"))
 
 
+def running_number(record: Column) -> Column:
+    """What orders ids by their digits read as one number of any length: how many without leading zeros, and those."""
+    digits = F.ltrim(F.regexp_replace(record, "[^0-9]", ""), F.lit("0"))
+    return F.struct(F.length(digits).alias("n"), digits.alias("digits"))
+
+
 def keep_best(rows: DataFrame, keys: list[Column], score: str, seq: str, chunk: str, merged: str, applies: Column | None = None) -> DataFrame:
     """One row per key: the largest score, the first in `seq` among equals; `merged` collects the other rows' chunk ids.
 
@@ -125,14 +129,16 @@ def anchored(facts: DataFrame, keys: dict[str, Column], specific: list[str], sco
     """(record, specific): of the rows of an anchor those bound to something, one for each binding, else the best one.
 
     keys: what the anchor is made of; specific: columns that bind a row, blank ones bind
-    nothing; equal scores keep the first in `seq`.  Two aggregations, no window over a group.
+    nothing; score: a struct of numbers, larger is better; equal scores keep the first in
+    `seq`, then the smaller record.  Two aggregations, no window over a group; what the second
+    collects is the best row of each binding.
     """
     bound = {f"_b{i}": clean(F.col(c)) for i, c in enumerate(specific)}
-    rows = facts.select(F.col(record).alias("record"), F.col(seq).cast("long").alias("_seq"), score.alias("_score"), *(k.alias(n) for n, k in keys.items()), *(b.alias(n) for n, b in bound.items()))
+    rows = facts.select(F.col(record).alias("record"), F.col(seq).alias("_seq"), score.alias("_score"), *(k.alias(n) for n, k in keys.items()), *(b.alias(n) for n, b in bound.items()))
     own = F.greatest(*(F.when(F.col(n).isin("", "-"), 0).otherwise(1) for n in bound), F.lit(0))
     rows = rows.withColumn("specific", own)
-    best = rows.groupBy(*keys, *bound, "specific").agg(F.max_by("record", F.struct("_score", -F.col("_seq"))).alias("record"))
-    most = rows.groupBy(*keys).agg(F.max("specific").alias("_most"))
-    same = [best[k].eqNullSafe(most[k]) for k in keys]
-    joined = best.join(most, reduce(lambda a, b: a & b, same)).where(F.col("specific") == F.col("_most"))
-    return joined.select("record", (F.col("specific") == 1).alias("specific"))
+    order = [(-F.col(f"_score.{n}")).alias(n) for n in rows.schema["_score"].dataType.names]
+    best = rows.groupBy(*keys, *bound, "specific").agg(F.min(F.struct(*order, "_seq", "record"))["record"].alias("record"))
+    most = best.groupBy(*keys).agg(F.max("specific").alias("_most"), F.collect_list(F.struct("record", "specific")).alias("_rows"))
+    kept = most.select(F.explode(F.filter("_rows", lambda r: r["specific"] == F.col("_most"))).alias("r"))
+    return kept.select("r.record", (F.col("r.specific") == 1).alias("specific"))

@@ -15,6 +15,12 @@ from verdant.plans.star import FACTS, OBS
 from verdant.sources import read_table
 
 
+def _facts_by_report(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Facts, deliveries folded inside their report: the one shuffle, by doc_id, serves all groupings that have doc_id among their keys."""
+    rows = read_table(spark, folder, "extracted_fact").select("fact_id", "doc_id", *columns).repartition("doc_id")
+    return star.once(rows, ["doc_id", "fact_id"], "ingested_at")
+
+
 def _cascade_rows(spark: SparkSession, folder: str) -> DataFrame:
     facts = star.facts(spark, folder).select("fact_id", "doc_id", "metric", "value", "unit", "evidence", "decision", "confidence", "chunk_id")
     return facts.withColumn("seq", F.regexp_replace("fact_id", "[^0-9]", "").cast("long"))  # the running number is the order of arrival
@@ -58,14 +64,14 @@ r AS (SELECT *, max(spec) OVER (PARTITION BY doc_id, k, num, cu, period, kind, f
 SELECT fact_id, spec = 1 AS specific FROM r WHERE n = 1 AND spec = most""")
 def anchored_facts(spark: SparkSession, folder: str) -> DataFrame:
     """One fact for each anchor: report, metric words, value, unit, period and what the evidence says of a change; facts bound to an entity or segment go first."""
-    facts = star.facts(spark, folder).select("fact_id", "doc_id", "metric", "value", "unit", "period", "entity", "segment", "evidence", "decision", "confidence")
+    facts = _facts_by_report(spark, folder, "metric", "value", "unit", "period", "entity", "segment", "evidence", "decision", "confidence")
     said = interpretation(F.col("evidence"))
     keys = {
         "k0": F.col("doc_id"), "k1": metric_key(F.col("metric")), "k2": dedup.clean_number(F.col("value")), "k3": dedup.clean_unit(F.col("unit")), "k4": F.col("period"),
         "k5": said["kind"], "k6": said["first"], "k7": said["second"],
     }
     score = dedup.fact_score(F.col("decision"), F.col("confidence"), F.col("metric"), F.col("unit"), F.col("evidence"))
-    ordered = facts.withColumn("seq", F.regexp_replace("fact_id", "[^0-9]", ""))
+    ordered = facts.withColumn("seq", dedup.running_number(F.col("fact_id")))
     return dedup.anchored(ordered, keys, ["entity", "segment"], score, "seq", "fact_id").withColumnRenamed("record", "fact_id")
 
 

@@ -537,3 +537,13 @@ def test_anchored_facts_order_by_numbers_of_any_length(spark, tmp_path):
     facts.unionByName(facts).withColumn("ingested_at", F.monotonically_increasing_id()).write.parquet(str(tmp_path / "extracted_fact.parquet"))
     got = sorted((r.fact_id, r.specific) for r in resolution.anchored_facts(spark, str(tmp_path)).collect())
     assert got == [("co_07_p1_fact_" + "8" * 24, False), ("co_7_p12_fact_1", False), ("co_7_p2_fact_1", False), ("fact", False)]
+
+
+def test_dedup_cascade_orders_by_numbers_of_any_length(spark, tmp_path):
+    made = [("co_7_p1_fact_" + "9" * 24, "water", "c1"), ("co_7_p1_fact_1" + "0" * 24, "water", "c2"), ("co_07_p1_fact_" + "8" * 24, "water", "c3"), ("fact", "waste", "c4"), ("co_7_p1_fact_21", "fuel", "c5"), ("co_7_p12_fact_1", "fuel", "c6")]
+    blank = [("x" + "7" * 30, None, "c7"), ("x" + "7" * 31, None, "c8")]  # no stage applies: both stay
+    rows = [(i, "d", m, "5", "kg", m and f"{m} was 5 kg", "keep", 0.5, c) for i, m, c in made + blank]
+    facts = spark.createDataFrame(rows, "fact_id string, doc_id string, metric string, value string, unit string, evidence string, decision string, confidence double, chunk_id string")
+    facts.unionByName(facts).withColumn("ingested_at", F.monotonically_increasing_id()).write.parquet(str(tmp_path / "extracted_fact.parquet"))
+    got = {r.fact_id: r.merged for r in resolution.dedup_cascade(spark, str(tmp_path)).collect()}
+    assert got == {"co_07_p1_fact_" + "8" * 24: "c1,c2", "fact": "", "co_7_p12_fact_1": "c5", "x" + "7" * 30: "", "x" + "7" * 31: ""}

@@ -46,23 +46,21 @@ def running_number(record: Column) -> Column:
     return F.struct(F.length(digits).alias("n"), digits.alias("digits"))
 
 
-def keep_best(rows: DataFrame, keys: list[Column], score: str, seq: str, chunk: str, merged: str, applies: Column | None = None) -> DataFrame:
-    """One row per key: the largest score, the first in `seq` among equals; `merged` collects the other rows' chunk ids.
+def keep_best(rows: DataFrame, group: str, keys: list[Column], order: str, record: str, chunk: str, merged: str, applies: Column) -> DataFrame:
+    """One row per group and keys: the smallest in `order`, then in `record`; `merged` collects the other rows' chunk ids.
 
-    Rows to which the stage does not apply pass through.  The reduction is an aggregation
-    with map-side combination; the collected ids are the group's own output.
+    Rows to which the stage does not apply are each their own key and pass through.  `group`
+    stays a grouping column, so rows that lie together by it are not shuffled again; the
+    collected ids are the group's own output.
     """
-    named = {f"_k{i}": k for i, k in enumerate(keys)}
-    rest = rows if applies is None else rows.where(F.coalesce(applies, F.lit(False)))
-    others = None if applies is None else rows.where(~F.coalesce(applies, F.lit(False)))
-    columns = rows.columns
-    keyed = rest.withColumns(named)
-    best = keyed.groupBy(*named).agg(
-        F.max_by(F.struct(*columns), F.struct(F.col(score), -F.col(seq))).alias("_row"),
+    alone = F.when(~F.coalesce(applies, F.lit(False)), F.col(record))
+    named = {f"_k{i}": k for i, k in enumerate([*keys, alone])}
+    columns = [order, record, *(c for c in rows.columns if c not in (group, order, record))]
+    best = rows.withColumns(named).groupBy(group, *named).agg(
+        F.min(F.struct(*columns)).alias("_row"),
         F.array_distinct(F.flatten(F.collect_list(F.array_union(F.array(chunk), merged)))).alias("_chunks"),
     )
-    out = best.select("_row.*", "_chunks").withColumn(merged, F.array_sort(F.array_except("_chunks", F.array(chunk)))).select(*columns)
-    return out if others is None else out.unionByName(others)
+    return best.select(group, "_row.*", "_chunks").withColumn(merged, F.array_sort(F.array_except("_chunks", F.array(chunk)))).select(*rows.columns)
 
 
 def dedup_cascade(facts: DataFrame) -> DataFrame:
@@ -71,21 +69,21 @@ def dedup_cascade(facts: DataFrame) -> DataFrame:
     the same sentence, value, unit and metric; the same sentence, value and unit; the same
     sentence with one number and the same value; the same metric words, value and unit
     (blank metrics exempt), each inside one document.  Returns those columns with `merged`,
-    the sorted chunk ids of the rows replaced.
+    the sorted chunk ids of the rows replaced.  Facts partitioned by doc_id are not shuffled.
     """
     sentence = clean(F.col("evidence"))
     score = fact_score(F.col("decision"), F.col("confidence"), F.col("metric"), F.col("unit"), F.col("evidence"))
-    rows = facts.withColumns({"_score": score, "merged": F.array().cast("array<string>")})
-    doc, value, unit, metric = F.col("doc_id"), clean_number(F.col("value")), clean_unit(F.col("unit")), metric_key(F.col("metric"))
+    rows = facts.withColumns({"_order": F.struct(*((-score[n]).alias(n) for n in "abcde"), "seq"), "merged": F.array().cast("array<string>")})
+    value, unit, metric = clean_number(F.col("value")), clean_unit(F.col("unit")), metric_key(F.col("metric"))
     stages = [
-        ([doc, sentence, clean(F.col("value")), clean(F.col("unit")), clean(F.col("metric"))], sentence != ""),
-        ([doc, sentence, value, unit], sentence != ""),
-        ([doc, sentence, value], (sentence != "") & (F.regexp_count(sentence, F.lit(r"\d[\d,]*\.?\d*")) == 1)),
-        ([doc, metric, value, unit], metric != ""),
+        ([sentence, clean(F.col("value")), clean(F.col("unit")), clean(F.col("metric"))], sentence != ""),
+        ([sentence, value, unit], sentence != ""),
+        ([sentence, value], (sentence != "") & (F.regexp_count(sentence, F.lit(r"\d[\d,]*\.?\d*")) == 1)),
+        ([metric, value, unit], metric != ""),
     ]
     for keys, applies in stages:
-        rows = keep_best(rows, keys, "_score", "seq", "chunk_id", "merged", applies)
-    return rows.drop("_score")
+        rows = keep_best(rows, "doc_id", keys, "_order", "fact_id", "chunk_id", "merged", applies)
+    return rows.drop("_order")
 
 
 def dedup_by_canonical(facts: DataFrame, order: dict[str, int], chunk: str | None = None) -> DataFrame:

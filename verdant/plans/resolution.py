@@ -22,8 +22,8 @@ def _facts_by_report(spark: SparkSession, folder: str, *columns: str) -> DataFra
 
 
 def _cascade_rows(spark: SparkSession, folder: str) -> DataFrame:
-    facts = star.facts(spark, folder).select("fact_id", "doc_id", "metric", "value", "unit", "evidence", "decision", "confidence", "chunk_id")
-    return facts.withColumn("seq", F.regexp_replace("fact_id", "[^0-9]", "").cast("long"))  # the running number is the order of arrival
+    facts = _facts_by_report(spark, folder, "metric", "value", "unit", "evidence", "decision", "confidence", "chunk_id")
+    return facts.withColumn("seq", dedup.running_number(F.col("fact_id")))  # the running number is the order of arrival
 
 
 def _stage(source: str, keys: str, applies: str) -> str:

@@ -2,8 +2,13 @@
 
 import random
 import re
+import time
+import types
 import unicodedata
+import zlib
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -325,3 +330,57 @@ def test_one_text_in_many_copies_and_long_texts(spark):
         sets = [set(zip(*(t.split()[j:] for j in range(3)))) for t in (texts[0], texts[500], texts[501], texts[502])]
         assert links == {(0, 500, round(len(sets[0] & sets[1]) / len(sets[0] | sets[1]), 6)), (501, 502, round(len(sets[2] & sets[3]) / len(sets[2] | sets[3]), 6))}
         assert near.classes().where("class_id = 0").first().copies == 500
+
+
+def near_texts(n):
+    rng = random.Random(4)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(n // 4)]
+    return [" ".join([*base[i % len(base)][:-1], f"end{i}"]) for i in range(n)]
+
+
+def test_posted_bytes_leave_the_disk_with_their_step(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        found = []
+        while files.hasNext():
+            f = files.next()
+            if re.match(r"shuffle_.*\.data$", f.getName()):
+                found.append(f.length())
+        return sum(found)
+
+    frame = docs(spark, near_texts(2000))
+    rule = neardup.NearRule(words=3, similarity=0.5)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled()
+        near = neardup.near_duplicates(frame, "doc_id", F.col("text"), rule)
+        until = time.time() + 10
+        while shuffled() - before > 300_000 and time.time() < until:  # files are removed in the background
+            time.sleep(0.2)
+        assert shuffled() - before < 300_000  # 1.9 MB where the postings stay
+        assert near.pairs().count() == near.named_links().count() == 500 * 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_postings_are_never_broadcast(spark):
+    columns = [column.split() for column in neardup._POSTING.split(",")]
+    postings = spark.range(9).select(*[F.col("id").cast(kind).alias(name) for name, kind in columns])
+    plan = neardup.tallied_pairs(postings, neardup.NearRule())._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("last", [0, 2, (1 << 23) - 1])
+def test_places_past_the_last_lose_no_pair(spark, monkeypatch, last):
+    monkeypatch.setattr(neardup, "_LAST_PLACE", last)
+    texts, rule, bits = near_texts(40), neardup.NearRule(words=3, similarity=0.5), neardup.LEAST_BITS
+    sketch = types.SimpleNamespace(value=zlib.compress(np.full(1 << bits, 9, np.uint8).tobytes()))
+    posted = pd.concat(neardup._post(rule, bits, sketch)(iter([pd.DataFrame({"text": texts})])))
+    assert (posted["spot"] >= 0).all() and (posted["spot"] // 2**40).max() <= last
+    s = neardup._describe(texts, 3)
+    number = {c: i for i, c in enumerate(zip(s.id_hi.tolist(), s.id_lo.tolist()))}
+    rows = neardup.tallied_pairs(spark.createDataFrame(posted, neardup._POSTING), rule).collect()
+    got = {tuple(sorted((number[r.a_hi, r.a_lo], number[r.b_hi, r.b_lo]))) for r in rows}
+    assert got >= brute_pairs(texts, 3, 0.5)

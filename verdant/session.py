@@ -63,6 +63,21 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+_FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_and_freed(df: DataFrame) -> DataFrame:
+    """cut_lineage for large shuffles: their files go as soon as the copy is written, which needs them
+    no more, and not only when the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_FREES_SHUFFLES, "false")
+    conf.set(_FREES_SHUFFLES, "true")
+    try:
+        return cut_lineage(df.select("*"))  # a plan of its own, which nothing else runs again
+    finally:
+        conf.set(_FREES_SHUFFLES, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df written as a table in the shared checkpoint folder and read back.
 
